@@ -65,7 +65,7 @@ def top_fraction(t: Tables):
 
 
 @query("""
-with r as (select user_id, round(sum(value), 0) as score from events group by 1),
+with r as (select user_id, cast(round(sum(cast(value as decimal(18,2))), 0) as double) as score from events group by 1),
 k as (select *, rank() over (order by score desc) as rk, count(*) over () as n from r)
 select user_id, score, case when rk <= cast(floor(n * 0.1) as bigint) + 1 then 1 else 0 end as referred from k""")
 def top_fraction_ties(t: Tables):

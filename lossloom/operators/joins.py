@@ -28,6 +28,11 @@ def decode(df: DataFrame, lookups: Mapping[str, tuple[DataFrame, str]], code: st
     return df
 
 
+def first_match_table(table: DataFrame, keys: Sequence[str], value: str, line: str) -> DataFrame:
+    """Lookup with one row per key: the value of the lowest line wins, as in a CASE that stops at its first match."""
+    return table.groupBy(*keys).agg(F.min_by(value, line).alias(value))
+
+
 def in_role(dimension: DataFrame, role: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A dimension with every column prefixed, so that it can be joined under several roles."""
     return dimension.select(*[F.col(c).alias(f"{role}_{c}") for c in (columns or dimension.columns)])
