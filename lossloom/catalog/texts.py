@@ -161,7 +161,7 @@ def chi2_terms(t: Tables):
     docs = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id").select(
         "doc_id", "quality", X.tokens(F.col("text"), STOPS).alias("toks"))
     grams = docs.select("doc_id", "quality", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
-    phrases = V.key_phrases(grams, "terms", "quality", 300)
+    phrases = V.key_phrases(grams, "doc_id", "terms", "quality", 300)
     return phrases.select("term", *[F.round(c, 4).alias(c) for c in ("chi2", "idf", "weight")])
 
 
@@ -183,5 +183,5 @@ def chi2_all_terms(t: Tables):
     """The same scores without a vocabulary limit, all in (document, term) form."""
     docs = t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id").select(
         "doc_id", "toxic", X.tokens(F.col("text"), STOPS).alias("toks"))
-    phrases = V.key_phrases(docs, "toks", "toxic", None)
+    phrases = V.key_phrases(docs, "doc_id", "toks", "toxic", None)
     return phrases.select("term", F.round("chi2", 4).alias("chi2"), F.round("idf", 4).alias("idf"))

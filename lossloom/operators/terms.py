@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VOCABULARY_LIMIT = 100_000
@@ -85,8 +85,9 @@ def tfidf_table(docs: DataFrame, key: str, terms: str, idf=smooth_idf_off, min_d
     counts = docs.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
     raw = counts.join(frequencies, "term").withColumn("__raw", F.col("tf") * idf(n, F.col("df"))).filter("__raw <> 0")
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("__raw") * F.col("__raw"))).alias("__norm"))
-    return raw.join(norms, key).select(key, "term", "tf", "df", (F.col("__raw") / F.col("__norm")).alias("weight"))
+    # The window group is one document's distinct terms, bounded by the document itself.
+    norm = F.sqrt(F.sum(F.col("__raw") * F.col("__raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", "tf", "df", (F.col("__raw") / norm).alias("weight"))
 
 
 def class_counts(labels: DataFrame, label: str) -> dict[object, int]:
@@ -97,18 +98,18 @@ def class_counts(labels: DataFrame, label: str) -> dict[object, int]:
 def chi2_scores(weights: DataFrame, classes: dict[object, int], label: str, term: str = "term") -> DataFrame:
     """Chi-square of each term against the class: observed weight per class against class share times term total.
 
-    `weights` holds (term, class, weight) rows for documents that have a class. A class of two thirds of all rows
-    is only a sum per term here.
+    `weights` holds (term, df, class, weight) rows for documents that have a class. A class of two thirds of all
+    rows is only a sum per term here.
     """
     total = sum(classes.values())
     sums = weights.groupBy(term).agg(
-        F.sum("weight").alias("__total"),
+        F.sum("weight").alias("__total"), F.first("df").alias("df"),
         *[F.sum(F.when(F.col(label) == c, F.col("weight")).otherwise(0.0)).alias(f"__o{i}") for i, c in enumerate(classes)])
     score = F.lit(0.0)
     for i, n in enumerate(classes.values()):
         expected = F.col("__total") * F.lit(n / total)
         score = score + (F.col(f"__o{i}") - expected) * (F.col(f"__o{i}") - expected) / expected
-    return sums.select(term, score.alias("chi2"))
+    return sums.select(term, "df", score.alias("chi2"))
 
 
 def chi2_tail(score: Column, degrees: int) -> Column:
@@ -133,19 +134,16 @@ def chi2_tail(score: Column, degrees: int) -> Column:
     return tail(score)
 
 
-def key_phrases(docs: DataFrame, terms: str, label: str, max_features: int | None = 2000) -> DataFrame:
+def key_phrases(docs: DataFrame, key: str, terms: str, label: str, max_features: int | None = 2000) -> DataFrame:
     """(term, chi2, p_value, idf, weight = chi2 * idf) over labelled documents, one row per vocabulary term."""
     classes = class_counts(docs, label)
     if max_features is None:
-        keyed = docs.withColumn("__doc", F.monotonically_increasing_id()) if "__doc" not in docs.columns else docs
-        table = tfidf_table(keyed, "__doc", terms)
-        weights = table.join(keyed.select("__doc", label), "__doc")
-        idf = table.select("term", smooth_idf_off(F.lit(docs.count()), F.col("df")).alias("idf")).distinct()
+        weights = tfidf_table(docs, key, terms).join(docs.select(key, label), key)
     else:
         model, positions = tfidf_model(docs, terms, max_features)
         weights = vector_entries(tfidf_vectors(docs, model), [label], "tfidf").join(F.broadcast(positions), "pos")
-        idf = F.broadcast(positions.select("term", "idf"))
-    scored = chi2_scores(weights, classes, label).join(idf, "term")
+    idf = smooth_idf_off(F.lit(sum(classes.values())), F.col("df"))
+    scored = chi2_scores(weights, classes, label).withColumn("idf", idf)
     return scored.select("term", "chi2", chi2_tail(F.col("chi2"), len(classes) - 1).alias("p_value"), "idf",
                          (F.col("chi2") * F.col("idf")).alias("weight"))
 
