@@ -12,9 +12,10 @@ from lossloom.functions import text as X
 from lossloom.functions.maths import threshold_class
 from lossloom.operators import evaluate as E
 from lossloom.operators import model as G
+from lossloom.operators import neighbours as N
 from lossloom.operators import terms as V
 from lossloom.operators import topics as P
-from lossloom.session import scratch_path
+from lossloom.session import materialise, scratch_path
 from lossloom.sources import readers, sinks
 
 _SCORE_SQL = "(doc_id * 7919 % 1000 + 300 * quality) / 1300.0"
@@ -32,7 +33,8 @@ def _model_frame(t: Tables):
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(X.words(text)).cast("double").alias("n_words"),
         X.phrase_count(text, "\n").cast("double").alias("n_lines"), X.contains_any(text, ["http"]).alias("has_link"))
-    return docs.join(t.labels, "doc_id").withColumn("label", F.col("quality").cast("double"))
+    frame = docs.join(t.labels, "doc_id").withColumn("label", F.col("quality").cast("double"))
+    return materialise(frame)
 
 
 @query("""
@@ -143,7 +145,7 @@ def rf_score(t: Tables):
         "doc_id", F.col("quality").cast("double").alias("label"), X.tokens(F.col("text")).alias("toks"))
     grams = docs.select("doc_id", "label", X.ngram_range(F.col("toks"), 1, 3).alias("terms"))
     vectors, _ = V.tfidf_model(grams, "terms", 500, min_df=2, output="features")
-    frame = G.balanced_weights(V.tfidf_vectors(grams, vectors).drop("terms"), "label")
+    frame = G.balanced_weights(materialise(V.tfidf_vectors(grams, vectors).drop("terms", "toks")), "label")
     return G.score(frame, G.forest(trees=10, depth=8).fit(frame), ["doc_id", "label"], places=4)
 
 
@@ -200,3 +202,35 @@ def nmf_topics(t: Tables):
     factors = P.fit_factors(vectors, "tfidf", 500, topics=10, iterations=20)
     loadings = P.factor_loadings(vectors, "tfidf", factors)
     return P.topic_shares(loadings, "doc_id", "loadings", 10, "Topic_AN_")
+
+
+@query("""
+with e as (select vec_id, embedding::double[] as v, label from embeddings),
+d as (select a.vec_id as a, b.vec_id as b, a.label as la, b.label as lb,
+             row_number() over (partition by a.vec_id order by list_distance(a.v, b.v), b.vec_id) as rk
+      from e a join e b on a.vec_id <> b.vec_id),
+nn as (select * from d where rk = 1)
+select least(x.a, x.b) as first, greatest(x.a, x.b) as second
+from nn x join nn y on x.a = y.b and x.b = y.a where x.a < x.b and x.la <> x.lb""")
+def tomek(t: Tables):
+    """Mutual nearest neighbours of different classes."""
+    return N.tomek_links(t.embeddings, "vec_id", "embedding", "label")
+
+
+@query("""
+with e as (select vec_id, embedding::double[] as v from embeddings),
+d as (select a.vec_id as vec_id, b.vec_id as neighbour, list_distance(a.v, b.v) as distance,
+             row_number() over (partition by a.vec_id order by list_distance(a.v, b.v), b.vec_id) as rk
+      from e a join e b on a.vec_id <> b.vec_id)
+select vec_id, neighbour, round(distance, 4) as distance, cast(rk as integer) as rank from d where rk <= 5""")
+def nearest_neighbours(t: Tables):
+    """Five nearest neighbours of every vector."""
+    return N.nearest_neighbours(t.embeddings, "vec_id", "embedding", 5).withColumn("distance", F.round("distance", 4))
+
+
+@query()
+def smote(t: Tables):
+    """Minority points added until the classes are equal, then Tomek links removed."""
+    e = t.embeddings.withColumn("target", (F.col("label") == 0).cast("int"))
+    return N.balance(e, "vec_id", "embedding", "target", 1).select(
+        "vec_id", "target", "synthetic", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("component_sum"))

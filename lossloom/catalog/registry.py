@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lossloom.session import fill_cores
+
+# Tables whose rows cost much more to process than to read.
+TEXT_TABLES = ("documents", "pages", "embeddings")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +23,8 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return fill_cores(table) if name in TEXT_TABLES else table
 
 
 def query(sql: str | None = None):

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MAX_LENGTH = 2_147_483_647
 ASCII_PUNCTUATION = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 
 # The character filters of the note cleaner. The literal forms look like "keep letters, comma,
@@ -182,14 +183,12 @@ def topic_words(text: Column, stop_words: Sequence[str] = ()) -> Column:
 def ngrams(token_array: Column, n: int) -> Column:
     """Consecutive n-tuples joined by a blank; empty when there are fewer than n tokens.
 
-    Pass a stored column, not an expression: the array is read once per element.
+    Shifted copies are zipped, so the array is read n times whatever its length.
     """
-    if n == 1:
-        return token_array
-    heads = F.slice(token_array, F.lit(1), F.greatest(F.size(token_array) - (n - 1), F.lit(0)))
-    return F.transform(
-        heads, lambda t, i: F.concat_ws(" ", t, *[F.get(token_array, i + j) for j in range(1, n)])
-    )
+    joined = token_array
+    for shift in range(2, n + 1):
+        joined = F.zip_with(joined, F.slice(token_array, shift, MAX_LENGTH), lambda a, b: F.concat(a, F.lit(" "), b))
+    return joined if n == 1 else F.filter(joined, lambda g: g.isNotNull())
 
 
 def ngram_range(token_array: Column, low: int, high: int) -> Column:

@@ -46,13 +46,15 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, M
     the number of id columns, not by the number of measures, and a key with many rows is spread over its ids.
     """
     names = [m for conditions in measures.values() for m in conditions]
+    kinds = {df.schema[i].dataType for i in measures}
+    id_type = kinds.pop() if len(kinds) == 1 else "string"
     slots = []
     for kind, (identifier, conditions) in enumerate(measures.items()):
         flags = [
             (F.coalesce(conditions[m], F.lit(False)).cast("int") if m in conditions else F.lit(0)).alias(m)
             for m in names
         ]
-        slots.append(F.struct(F.lit(kind).alias("kind"), F.col(identifier).cast("string").alias("id"), *flags))
+        slots.append(F.struct(F.lit(kind).alias("kind"), F.col(identifier).cast(id_type).alias("id"), *flags))
     exploded = df.select(*keys, F.explode(F.array(*slots)).alias("slot")).select(*keys, "slot.*")
     per_id = (
         exploded.filter(F.col("id").isNotNull())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lossloom.session import materialise
 
 APPROXIMATION = 10_000
-EXACT_ROWS = 1_000_000
+EXACT_ROWS = 200_000
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column]) -> DataFrame:

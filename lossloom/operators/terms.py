@@ -15,14 +15,24 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lossloom.functions.text import MAX_LENGTH
+
 VOCABULARY_LIMIT = 100_000
 
 
+def entries(terms: str) -> Column:
+    """One row per entry of a term array. Exploding the bare column would make the optimizer test its size in a
+    filter below the projection that computes it, and so compute every term array twice."""
+    return F.explode(F.slice(F.col(terms), 1, MAX_LENGTH))
+
+
 def vocabulary(docs: DataFrame, terms: str, max_features: int | None = None, min_df: int = 1) -> DataFrame:
     """(term, df, tf): documents that hold the term and its occurrences, one pass, combined before the shuffle.
 
     With `max_features` the most frequent terms stay; equal counts are kept in term order.
     """
+    if max_features is not None and min_df <= 1:
+        return _frequent_terms(docs, terms, max_features)
     once = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
     each = F.transform(F.col(terms), lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
     counted = (
@@ -34,6 +44,17 @@ def vocabulary(docs: DataFrame, terms: str, max_features: int | None = None, min
     return counted if max_features is None else counted.orderBy(F.col("tf").desc(), "term").limit(max_features)
 
 
+def _frequent_terms(docs: DataFrame, terms: str, max_features: int) -> DataFrame:
+    """Occurrences decide which terms stay, so documents are counted for those terms only."""
+    counts = docs.select(entries(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    kept = F.broadcast(counts.orderBy(F.col("tf").desc(), "term").limit(max_features))
+    found = docs.select(F.explode(F.array_distinct(terms)).alias("term")).join(kept, "term")
+    return (
+        found.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.first("tf").alias("tf"))
+        .select("term", "df", "tf").orderBy(F.col("tf").desc(), "term").limit(max_features)
+    )
+
+
 def smooth_idf_off(n: Column, df: Column) -> Column:
     """ln(N / df) + 1."""
     return F.log(n / df) + 1
@@ -82,7 +103,7 @@ def tfidf_table(docs: DataFrame, key: str, terms: str, idf=smooth_idf_off, min_d
     join on the term meets one row per term, with adaptive splitting for frequent terms.
     """
     n = F.lit(docs.count())
-    counts = docs.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = docs.select(key, entries(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
     raw = counts.join(frequencies, "term").withColumn("__raw", F.col("tf") * idf(n, F.col("df"))).filter("__raw <> 0")
     # The window group is one document's distinct terms, bounded by the document itself.
@@ -153,7 +174,7 @@ def stem_by_table(docs: DataFrame, key: str, terms: str, stems: DataFrame) -> Da
 
     Tokens are counted per document before the join, so a frequent token is one row per document.
     """
-    counts = docs.select(key, F.explode(terms).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.select(key, entries(terms).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
     return (
         counts.join(stems, "token", "left")
         .groupBy(key, F.coalesce("stem", "token").alias("stem")).agg(F.sum("n").alias("n"))

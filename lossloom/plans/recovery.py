@@ -15,6 +15,7 @@ from lossloom.operators import filters as L
 from lossloom.operators import joins as J
 from lossloom.operators import model as G
 from lossloom.operators import terms as V
+from lossloom.session import materialise
 
 # Company, risk classes, report period, closed status and the types that count as recovery.
 COMPANY = "1"
@@ -73,6 +74,6 @@ def recovery_model(extract: DataFrame, stop_words: Sequence[str] = (), max_featu
     docs = extract.select(F.col("RECOVERY_FLAG").cast("double").alias("label"), X.tokens(text, stop_words).alias("toks"))
     docs = docs.select("label", X.ngram_range(F.coalesce("toks", F.array().cast("array<string>")), 1, 3).alias("terms"))
     vectors, _ = V.tfidf_model(docs, "terms", max_features, min_df=2, output="features")
-    frame = G.balanced_weights(V.tfidf_vectors(docs, vectors).drop("terms"), "label")
+    frame = G.balanced_weights(materialise(V.tfidf_vectors(docs, vectors).drop("terms")), "label")
     fitted = G.forest(trees=trees, depth=depth).fit(frame)
     return PipelineModel(stages=[*vectors.stages, fitted])

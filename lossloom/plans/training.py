@@ -13,6 +13,7 @@ from lossloom.operators import model as G
 from lossloom.operators import ordering as O
 from lossloom.operators import terms as V
 from lossloom.operators import topics as P
+from lossloom.session import materialise
 
 # Columns clamped before training, with the share cut off below and above.
 OUTLIER_LIMITS = {
@@ -62,7 +63,8 @@ def fit_referral_model(frame: DataFrame, key: str, target: str, texts: Sequence[
     rows = G.binary_target(G.categorical(frame, texts), target)
     rows = O.winsorize(rows, {c: q for c, q in limits.items() if c in rows.columns})
     rows = rows.withColumns({"label": F.col(target).cast("double"), "weight": G.fixed_weight(F.col(target))})
-    train, test = G.split(rows, key, 0.7, seed)
+    # Encoding and training pass over the rows many times.
+    train, test = G.split(materialise(rows), key, 0.7, seed)
     encoding: Pipeline = G.encoder(train, texts, numbers)
     pipeline = Pipeline(stages=[*encoding.getStages(), estimator or G.boosted_trees(seed=seed)]).fit(train)
     keep = [key, target]

@@ -56,3 +56,13 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "frame")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than the session has cores.
+
+    Such a scan is small by definition (less than one split per core), so the extra exchange is cheap; a scan of
+    a large table already has more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
