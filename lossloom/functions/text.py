@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_LENGTH = 2_147_483_647
+# Longer than any token array; small enough that start + length stays an int.
+MAX_LENGTH = 1 << 30
 ASCII_PUNCTUATION = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 
 # The character filters of the note cleaner. The literal forms look like "keep letters, comma,

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -57,22 +59,18 @@ class TopicFactors:
         return [[terms[i] for i in np.argsort(-row, kind="stable")[:n]] for row in self.matrix]
 
 
-def _loadings(indices: list, values: list, matrix: np.ndarray, inner: int):
-    """Loadings of a batch of sparse rows for fixed topics by repeated multiplicative updates."""
-    sizes = np.array([len(i) for i in indices], dtype=np.int64)
-    flat = np.concatenate(indices).astype(np.int64) if sizes.sum() else np.zeros(0, np.int64)
-    amounts = np.concatenate(values) if sizes.sum() else np.zeros(0)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+def _loadings(flat: np.ndarray, amounts: np.ndarray, sizes: np.ndarray, matrix: np.ndarray, inner: int) -> np.ndarray:
+    """Loadings of a batch of sparse rows (flattened, with row sizes) for fixed topics by multiplicative updates."""
     product = np.zeros((len(sizes), len(matrix)))
-    if len(flat):
+    filled = sizes > 0
+    if filled.any():
         part = matrix.T[flat] * amounts[:, None]
-        filled = sizes > 0
         product[filled] = np.add.reduceat(part, (np.cumsum(sizes) - sizes)[filled], axis=0)
     gram = matrix @ matrix.T
     loads = np.where(product > 0, 1.0, 0.0) * product.mean(axis=1, keepdims=True)
     for _ in range(inner):
         loads *= product / (loads @ gram + TINY)
-    return loads, flat, amounts, owner
+    return loads
 
 
 def fit_factors(vectors: DataFrame, vector: str, width: int, topics: int = 10, iterations: int = 500,
@@ -94,13 +92,18 @@ def fit_factors(vectors: DataFrame, vector: str, width: int, topics: int = 10, i
         def pass_sums(batches):
             cross, gram = np.zeros((topics, width)), np.zeros((topics, topics))
             for batch in batches:
-                loads, flat, amounts, owner = _loadings(list(batch["indices"]), list(batch["values"]), matrix_now, inner)
+                indices, values = batch.column("indices"), batch.column("values")
+                sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = indices.flatten().to_numpy(zero_copy_only=False)
+                amounts = values.flatten().to_numpy(zero_copy_only=False)
+                loads = _loadings(flat, amounts, sizes, matrix_now, inner)
                 gram += loads.T @ loads
+                spread = np.repeat(loads, sizes, axis=0) * amounts[:, None]
                 for t in range(topics):
-                    cross[t] += np.bincount(flat, weights=loads[owner, t] * amounts, minlength=width)
-            yield pd.DataFrame({"sums": [np.concatenate([cross.ravel(), gram.ravel()])]})
+                    cross[t] += np.bincount(flat, weights=spread[:, t], minlength=width)
+            yield pa.RecordBatch.from_pydict({"sums": [np.concatenate([cross.ravel(), gram.ravel()])]})
 
-        partial = stored.mapInPandas(pass_sums, "sums array<double>").select(
+        partial = stored.mapInArrow(pass_sums, "sums array<double>").select(
             array_to_vector("sums").alias("sums"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("slot"))
         folded = partial.groupBy("slot").agg(Summarizer.sum(F.col("sums")).alias("sums"))
         total = folded.agg(Summarizer.sum(F.col("sums")).alias("sums")).first()["sums"].toArray()
@@ -119,7 +122,10 @@ def factor_loadings(vectors: DataFrame, vector: str, factors: TopicFactors, name
 
     @F.pandas_udf("array<double>")
     def loadings(indices: pd.Series, values: pd.Series) -> pd.Series:
-        return pd.Series(list(_loadings(list(indices), list(values), matrix, inner)[0]))
+        sizes = indices.map(len).to_numpy(dtype=np.int64)
+        if not sizes.sum():
+            return pd.Series([np.zeros(len(matrix))] * len(sizes))
+        return pd.Series(list(_loadings(np.concatenate(indices.tolist()), np.concatenate(values.tolist()), sizes, matrix, inner)))
 
     raw = F.unwrap_udt(vector)
     return vectors.withColumn(name, loadings(raw["indices"], raw["values"]))

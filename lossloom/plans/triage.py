@@ -12,6 +12,7 @@ from lossloom.functions.dates import elapsed_days
 from lossloom.functions.text import bump_suffix
 from lossloom.operators import ordering as O
 from lossloom.operators.sets import snapshot_change
+from lossloom.session import materialise
 
 # First delivery of a claim that was never delivered, and the columns of the sheet.
 FIRST_DELIVERY = "AFV10D10"
@@ -51,7 +52,8 @@ def referrals(current: DataFrame, previous: DataFrame, scores: DataFrame, histor
     )
     week = week.withColumn("previous_referral_final", F.when(
         (F.col("previous_referral") == 1) | ((F.col("previous_referral") == 0) & (F.col("siu_referral") == 1)), 1).otherwise(0))
-    week = O.top_fraction(week, "predicted_prob", fraction, "referred")
+    # The cut-off and the sheet read the joined week several times.
+    week = O.top_fraction(materialise(week), "predicted_prob", fraction, "referred")
     return week.withColumns({
         "referral_final": referral_override(F.col("referred"), F.col("classification"), F.col("changed_value")),
         "siu_referral_new": F.lit(0),
