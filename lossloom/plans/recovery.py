@@ -50,8 +50,8 @@ def recovery_extract(claims: DataFrame, motor: DataFrame, vehicle: DataFrame, ac
         base = base.join(_keyed(_current(side, end), [column]), "claimno", "left")
     base = base.join(_keyed(_current(incidents, None), ["INCIDENT_DESC"]), "claimno", "left")
     kind = F.coalesce("clm_typ", "clm_type", "TYPE_CLAM")
-    return base.drop("clm_typ", "clm_type", "TYPE_CLAM").withColumns({
-        "Claim_Type_F": kind, "RECOVERY_FLAG": indicator(kind.isin(*RECOVERY_TYPES))})
+    return base.withColumns({
+        "Claim_Type_F": kind, "RECOVERY_FLAG": indicator(kind.isin(*RECOVERY_TYPES))}).drop("clm_typ", "clm_type", "TYPE_CLAM")
 
 
 def early_extract(claims: DataFrame, incidents: DataFrame) -> DataFrame:
