@@ -8,7 +8,6 @@ from lossloom.catalog.registry import Tables, query
 from lossloom.functions import conditional as C
 from lossloom.functions import dates as D
 from lossloom.functions import maths as M
-from lossloom.operators import aggregates as A
 from lossloom.operators import joins as J
 from lossloom.plans import features as B
 from lossloom.plans import training, triage
@@ -144,12 +143,12 @@ def train_frame(t: Tables):
     """Old and new rows, texts, topic columns and keyword flags on one key."""
     half = lambda df, part: df.filter(F.col("doc_id") % 2 == part)
     structured = training.old_and_new(half(t.labels.select("doc_id", "quality"), 0), half(t.labels.select("doc_id", "quality"), 1))
-    notes = A.note_documents(t.conversations.withColumnRenamed("conv_id", "doc_id"), "doc_id", ["turn", "role"], "text",
-                             name="Adjuster_Notes")
-    texts = t.documents.select("doc_id", F.col("text").alias("Description")).join(notes, "doc_id", "left")
+    notes = t.conversations.withColumnRenamed("conv_id", "doc_id")
+    flags = B.note_keyword_flags(notes, "doc_id", ["turn", "role", "text"], "text")
+    texts = t.documents.select("doc_id", F.col("text").alias("Description"))
     texts = training.old_and_new(half(texts, 0), half(texts, 1))
     turns = t.conversations.groupBy(F.col("conv_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_turns"))
-    return training.training_frame(structured, texts, turns, "doc_id").drop("Description", "Adjuster_Notes")
+    return training.training_frame(structured, texts, flags, turns, "doc_id").drop("Description")
 
 
 _WEEK_SQL = """

@@ -55,14 +55,13 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, M
             for m in names
         ]
         slots.append(F.struct(F.lit(kind).alias("kind"), F.col(identifier).cast(id_type).alias("id"), *flags))
-    exploded = df.select(*keys, F.explode(F.array(*slots)).alias("slot")).select(*keys, "slot.*")
     per_id = (
-        exploded.filter(F.col("id").isNotNull())
-        .groupBy(*keys, "kind", "id")
-        .agg(*[F.max(m).alias(m) for m in names])
+        df.select(*keys, F.explode(F.array(*slots)).alias("slot")).select(*keys, "slot.*")
+        .groupBy(*keys, "kind", "id").agg(*[F.max(m).alias(m) for m in names])
     )
-    counted = per_id.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in names])
-    return df.select(*keys).distinct().join(counted, list(keys), "left").fillna(0, names)
+    # The group of missing ids stays, so that a key without any id keeps its row of zeros.
+    known = F.col("id").isNotNull()
+    return per_id.groupBy(*keys).agg(*[F.sum(F.when(known, F.col(m)).otherwise(0)).alias(m) for m in names])
 
 
 def pivot_counts(df: DataFrame, key: str, column: str, values: Sequence, prefix: str,

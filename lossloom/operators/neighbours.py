@@ -131,8 +131,8 @@ def nearest_neighbours(points: DataFrame, key: str, vector: str, k: int) -> Data
     )
     member = rows.join(groups.select("vec", "vid"), "vec").select("id", "vid").join(lists, "vid")
     kept = F.slice(F.filter("list", lambda e: e["neighbour"] != F.col("id")), 1, k)
-    return member.select(F.col("id").alias(key), F.posexplode(kept).alias("rank", "e")).select(
-        key, F.col("e.neighbour").alias("neighbour"), F.col("e.distance").alias("distance"), (F.col("rank") + 1).alias("rank"))
+    ranked = member.withColumn("kept", kept).select("id", F.posexplode("kept").alias("at", "e"))
+    return ranked.select("id", "e.neighbour", "e.distance", (F.col("at") + 1).alias("rank")).withColumnRenamed("id", key)
 
 
 def uniform(*parts: Column) -> Column:

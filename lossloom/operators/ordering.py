@@ -137,32 +137,32 @@ def winsorize(df: DataFrame, limits: Mapping[str, tuple[float, float]]) -> DataF
 
 
 def event_sequence(df: DataFrame, party: str, moment: str, tie: str, rank: str = "rn",
-                   gap: str = "gap_days") -> DataFrame:
+                   gap: str = "gap_days", grain: str = "hour") -> DataFrame:
     """Rank of each event of a party by time, and days since its previous event (0 for the first).
 
-    Events are summarised by (party, day) first. Only the days of a party, never its rows, are ordered in one
-    group, so the group is bounded by the calendar; the rows of a day are ranked in a group of their own.
+    Events are summarised by (party, grain of time) first. Only the time grains of a party, never its rows, are
+    ordered in one group, so that group is bounded by the calendar; the rows inside one grain are ranked in a group
+    of their own. Events without a party are left out.
     """
-    day = F.to_date(moment)
-    dated = df.withColumn("__day", day)
-    w = Window.partitionBy(party).orderBy("__day")
-    days = (
-        dated.groupBy(party, "__day")
+    dated = df.filter(F.col(party).isNotNull()).withColumn("__slot", F.date_trunc(grain, moment))
+    w = Window.partitionBy(party).orderBy("__slot")
+    slots = (
+        dated.groupBy(party, "__slot")
         .agg(F.count(F.lit(1)).alias("__rows"), F.min(F.struct(moment, tie)).alias("__first"))
         .withColumns({
             "__before": F.coalesce(F.sum("__rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "__gap": F.coalesce(F.datediff(F.col("__day"), F.lag("__day").over(w)), F.lit(0)),
+            "__gap": F.coalesce(F.datediff(F.col("__slot"), F.lag("__slot").over(w)), F.lit(0)),
         })
-        .select(party, "__day", "__first", "__before", "__gap")
+        .select(party, "__slot", "__first", "__before", "__gap")
     )
-    in_day = Window.partitionBy(party, "__day").orderBy(moment, tie)
+    inside = Window.partitionBy(party, "__slot").orderBy(moment, tie)
     return (
-        dated.join(days, [party, "__day"])
+        dated.join(slots, [party, "__slot"])
         .withColumns({
-            rank: F.col("__before") + F.row_number().over(in_day),
+            rank: F.col("__before") + F.row_number().over(inside),
             gap: F.when(F.struct(moment, tie) == F.col("__first"), F.col("__gap")).otherwise(F.lit(0)),
         })
-        .drop("__day", "__first", "__before", "__gap")
+        .drop("__slot", "__first", "__before", "__gap")
     )
 
 

@@ -435,6 +435,22 @@ def note_flags(notes: DataFrame, groups: Sequence[str] = ("fire", "theft", "tota
     return flagged.groupBy("claimid").agg(*[F.max(c).alias(c) for c in flagged.columns if c != "claimid"])
 
 
+def note_keyword_flags(notes: DataFrame, key: str, order: Sequence[str], text: str,
+                       rules: Sequence[X.KeywordRule] = X.NOTE_RULES) -> DataFrame:
+    """Keyword-rule flags of the joined notes of each key, without joining them.
+
+    Joined with " , ", every note but the first has a blank before it and every note but the last a blank after it;
+    the same blanks are added here, and no pattern can match the comma. `order` must tell the notes of a key apart.
+    """
+    place = F.struct(*order)
+    ends = notes.groupBy(key).agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
+    joined = notes.join(ends, key)
+    padded = F.concat(
+        F.when(place == F.col("__first"), "").otherwise(" "), F.col(text), F.when(place == F.col("__last"), "").otherwise(" "))
+    flagged = joined.select(key, *X.keyword_flags(padded, rules))
+    return flagged.groupBy(key).agg(*[F.max(r.name).alias(r.name) for r in rules])
+
+
 def with_calendar_flags(claims: DataFrame) -> DataFrame:
     """Hour bucket, combined collision flags, claim type and policy-period flags of the assembled claim row."""
     c = F.col

@@ -35,12 +35,14 @@ def topic_frame(description: DataFrame, notes: DataFrame, key: str) -> DataFrame
     return description.join(notes, key, "full")
 
 
-def training_frame(structured: DataFrame, unstructured: DataFrame, topics: DataFrame, key: str) -> DataFrame:
-    """Structured rows with text of the same set, topic shares and keyword flags."""
-    joined = unstructured.join(structured, [key, "is_new"]).join(topics, key, "left")
-    return joined.select(
-        "*", *X.keyword_flags(F.col("Description"), X.DESCRIPTION_RULES),
-        *X.keyword_flags(F.col("Adjuster_Notes"), X.NOTE_RULES))
+def training_frame(structured: DataFrame, unstructured: DataFrame, note_flags: DataFrame, topics: DataFrame, key: str) -> DataFrame:
+    """Structured rows with text of the same set, topic shares and keyword flags.
+
+    `note_flags` comes from `lossloom.plans.features.note_keyword_flags`; claims without notes get zeros.
+    """
+    joined = unstructured.join(structured, [key, "is_new"]).join(topics, key, "left").join(note_flags, key, "left")
+    return joined.select("*", *X.keyword_flags(F.col("Description"), X.DESCRIPTION_RULES)).fillna(
+        0, [r.name for r in X.NOTE_RULES])
 
 
 def text_topics(docs: DataFrame, key: str, text: str, prefix: str, topics: int = 10, max_features: int = 500,
