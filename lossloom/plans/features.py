@@ -95,6 +95,26 @@ RECOVERIES = {
     "salvage_rec": "Ext_ITDSalvageRecovery", "subro_rec": "Ext_ITDSubrogationRecovery",
 }
 
+# Named values that get an indicator column of their own.
+INDICATOR_VALUES = {
+    "CLAIMTIERID": ("10002", "10004", "10005", "-1"),
+    "EXT_LOCATIONOFLOSS_DESC": (
+        "0", "In Transit - Motor Vehicles", "Premises of Others", "Insured's Premises",
+        "In Transit - Messengers/Salesman", "In Transit - Air/Waterborne", "In Transit - Railroad",
+        "In Transit - Surface Mail"),
+    "FAULTRATING": ("0", "10005.0", "10003.0", "10001.0", "10004.0", "-1.0", "10002.0"),
+    "LITIGATIONSTATUSID": ("3", "-1", "1", "2", "10002"),
+    "RESPONSIBLEPARTY_DESC": (
+        "0", "Unknown", "Insured", "Other", "Vandals, Vagrants, Criminals", "Employee", "Additional Insured",
+        "Family Member", "Tenant", "Customer", "Subcontractor", "Vendor", "Public Protection"),
+    "SUBROGATIONSTATUSID": ("-1", "10001", "10002"),
+    "LOSS_TIMEOFDAY": ("0 to 5", "18 to 23", "6 to 11", "12 to 17"),
+    "LOSSCAUSE_GROUP": (
+        "CONVERTED", "ANIMAL", "MOTOR_VEHICLE_ACCIDENT", "CATASTROPHE", "NON_ACCIDENT_DAMAGE", "TOWING_AND_LABOR",
+        "GLASS_DAMAGE", "FIRE_OR_EXPLOSION", "WATER_DAMAGE", "OTHER", "0", "HUMAN_VIOLENCE", "THEFT"),
+}
+INDICATOR_NAMES = {("FAULTRATING", "0"): "FAULTRATING_0.0"}
+
 # Claim column, code table, label: the decodes of the claim base.
 CLAIM_DECODES = (
     ("LOBCode", "lobcode", "LOBcode_desc"), ("State", "claimstate", "claim_status_desc"),
@@ -401,15 +421,21 @@ def party_counts(fact: DataFrame, types: Sequence[str] = tuple(str(c) for c in (
 
 
 def injured_counts(fact: DataFrame, exclude_default: bool = False) -> DataFrame:
-    """Distinct injured parties per side. Rows of the other side carry the id 0, which counts as a value unless
-    `exclude_default`."""
-    injured = F.col("cov_rollup_3").isin(*INJURY_CATEGORIES)
-    other = F.lit(None).cast("bigint") if exclude_default else F.lit(0).cast("bigint")
-    keyed = fact.join(fact.groupBy("claimid").agg(A.any_when(injured).alias("__bi")), "claimid")
-    slot = lambda side: F.when((F.col("LossParty") == side) & (F.col("__bi") == 1), F.col("ClaimantDenormID_exp")).otherwise(other)
-    slots = keyed.select("claimid", slot("10001").alias("fp"), slot("10002").alias("tp"))
-    return A.distinct_counts(slots, ["claimid"], {
-        "fp": {"FP_INJURED_CNT": F.lit(True)}, "tp": {"TP_INJURED_CNT": F.lit(True)}})
+    """Distinct parties per side on claims with an injury coverage. Every other row stands for the id 0, which
+    counts as one more value unless `exclude_default`."""
+    party, side = F.col("ClaimantDenormID_exp"), F.col("LossParty")
+    sides = {"FP_INJURED_CNT": "10001", "TP_INJURED_CNT": "10002"}
+    zero = {n: F.coalesce(party == 0, F.lit(False)) & (side == v) for n, v in sides.items()}
+    if not exclude_default:
+        zero = {n: z | ~F.coalesce(side == sides[n], F.lit(False)) for n, z in zero.items()}
+    flags = fact.groupBy("claimid").agg(
+        A.any_in(F.col("cov_rollup_3"), INJURY_CATEGORIES).alias("__bi"),
+        *[A.any_when(z).alias(f"__{n}") for n, z in zero.items()])
+    known = A.distinct_counts(fact, ["claimid"], {
+        "ClaimantDenormID_exp": {n: (side == v) & (party != 0) for n, v in sides.items()}})
+    default = F.lit(0 if exclude_default else 1).cast("bigint")
+    return flags.join(known, "claimid").select(
+        "claimid", *[F.when(F.col("__bi") == 1, F.col(n) + F.col(f"__{n}")).otherwise(default).alias(n) for n in sides])
 
 
 def notes_per_day(notes: DataFrame, claims: DataFrame, as_of: Column) -> DataFrame:
@@ -451,6 +477,14 @@ def note_keyword_flags(notes: DataFrame, key: str, order: Sequence[str], text: s
     return flagged.groupBy(key).agg(*[F.max(r.name).alias(r.name) for r in rules])
 
 
+def with_indicators(claims: DataFrame, values: Mapping[str, Sequence[str]] = INDICATOR_VALUES) -> DataFrame:
+    """One 0/1 column per named value of the coded columns, compared as text."""
+    present = {c: v for c, v in values.items() if c in claims.columns}
+    texts = claims.withColumns({c: F.col(c).cast("string") for c in present})
+    rules = [(c, v, INDICATOR_NAMES.get((c, v), f"{c}_{v}")) for c, named in present.items() for v in named]
+    return texts.withColumns(C.value_indicators(rules))
+
+
 def with_calendar_flags(claims: DataFrame) -> DataFrame:
     """Hour bucket, combined collision flags, claim type and policy-period flags of the assembled claim row."""
     c = F.col
