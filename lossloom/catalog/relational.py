@@ -235,12 +235,12 @@ def named_unnamed_split(t: Tables):
 
 
 @query("""
-with pairs as (select p_brand, p_type from part group by 1, 2 having count(*) >= 12)
+with pairs as (select p_brand, p_type from part group by 1, 2 having avg(p_size) > 25.5)
 select l.l_orderkey, l.l_linenumber, l.l_partkey from lineitem l join part p on l.l_partkey = p.p_partkey
 where (p.p_brand, p.p_type) in (select (p_brand, p_type) from pairs)""")
 def pair_population(t: Tables):
     """Semi join to (brand, type) pairs that come from data."""
-    pairs = t.part.groupBy("p_brand", "p_type").count().filter("count >= 12").drop("count")
+    pairs = t.part.groupBy("p_brand", "p_type").agg(F.avg("p_size").alias("mean")).filter("mean > 25.5").drop("mean")
     parts = L.in_pairs(t.part.select("p_partkey", "p_brand", "p_type"), pairs, ["p_brand", "p_type"])
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     return J.with_members(lines, parts.select(F.col("p_partkey").alias("l_partkey")), "l_partkey")
