@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lossloom.operators.ordering import order_statistics
 
 LABEL_LIMIT = 10_000
+STRATA_LIMIT = 100
 
 
 def categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -68,8 +69,8 @@ def stratified_sample(df: DataFrame, stratum: str, share: float, order: Column)
     The cut-off per stratum is an order statistic; no stratum is sorted or gathered. `order` is a whole number
     without repeats inside a stratum, such as a hash of the key.
     """
-    values = [r[0] for r in df.select(stratum).distinct().limit(LABEL_LIMIT + 1).collect()]
-    if len(values) > LABEL_LIMIT:
+    values = [r[0] for r in df.select(stratum).distinct().limit(STRATA_LIMIT + 1).collect()]
+    if len(values) > STRATA_LIMIT:
         raise ValueError("too many strata")
     wanted = {
         f"s{i}": (F.when(F.col(stratum).eqNullSafe(v), order), lambda n: round(share * n) - 1) for i, v in enumerate(values)}

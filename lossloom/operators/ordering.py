@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,8 +102,9 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[
 def _by_value(values: DataFrame, state: Mapping[str, dict]) -> dict[str, object]:
     """Values at the wanted positions from exact counts per value."""
     entries = [F.struct(F.lit(n).alias("name"), F.when(s["test"], F.col(n)).alias("value")) for n, s in state.items()]
+    candidate = reduce(lambda a, b: a | b, [s["test"] for s in state.values()])
     counted = (
-        values.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("value").isNotNull())
+        values.filter(candidate).select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("value").isNotNull())
         .groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
