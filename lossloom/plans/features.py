@@ -348,7 +348,7 @@ def claim_measures(fact: DataFrame) -> DataFrame:
     sums = ("RemainingReserves", "TotalPayments", "TotalRecoveries", "FuturePayments", "OpenReserves", "TotalIncurredNet",
             "TotalIncurredGross", "BI_Amount", "PD_Amount")
     maxima = {"max_speed": "Speed", "max_vehicle_age": "vehicle_age", "max_Pre_claims_cnt": "Pre_claims_cnt",
-              "claimant_tenure_wt_qbe": "claimant_tenure", "previous_claim_duration": "prev_claim_duration",
+              "claimant_tenure_wt": "claimant_tenure", "previous_claim_duration": "prev_claim_duration",
               "MAX_PREV_CLM_PER_YR": "PREV_CLM_PER_YR"}
     # A distinct count of the claim itself inside its own group is 0 or 1, hence a flag.
     sides = [A.any_when((party == side) & vehicle.isin(*types)).alias(f"{label}_{suffix}")

@@ -21,7 +21,7 @@ OUTLIER_LIMITS = {
     "vehicle_count": (0, 0.005), "max_Pre_claims_cnt": (0, 0.01), "Body_Neck": (0, 0.001), "Body_Trunk": (0, 0.001),
     "Body_Unknown": (0, 0.001), "AUTO_BI": (0, 0.0005), "AUTO_PD": (0, 0.0005), "AUTO_COLLISION": (0, 0.0005),
     "ISO_address": (0, 0.001), "ISO_Name": (0, 0.001), "ISO_Phone": (0, 0.001), "ISO_VIN": (0, 0.001),
-    "claimant_tenure_wt_qbe": (0.01, 0),
+    "claimant_tenure_wt": (0.01, 0),
 }
 
 

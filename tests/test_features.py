@@ -111,7 +111,7 @@ def test_claim_features(features):
     # Ann has claims 1 and 3; the longest gap is between their report days.
     assert (one.max_Pre_claims_cnt, one.previous_claim_duration) == (2, 419)
     # Original date 1985 is not valid, so the effective date counts.
-    assert one.claimant_tenure_wt_qbe == 62
+    assert one.claimant_tenure_wt == 62
 
 
 def test_features_do_not_depend_on_partitioning(features, tables, codes):
