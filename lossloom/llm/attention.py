@@ -18,7 +18,7 @@ CAUSAL = np.where(_GAP >= 0, np.float32(0), NEVER)
 GAP = np.clip(_GAP, 0, SPAN - 1)
 
 
-def new_model(inputs: int, classes: int, prior: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
+def new_model(inputs: int, classes: int, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
 
     def normal(*size: int, scale: float = 0.1) -> np.ndarray:
@@ -26,7 +26,7 @@ def new_model(inputs: int, classes: int, prior: np.ndarray, seed: int = 7) -> di
 
     return {"q": normal(inputs, KEY, scale=0.2), "k": normal(inputs, KEY, scale=0.2), "v": normal(inputs, VALUE, scale=0.3),
             "gap": np.zeros(SPAN, np.float32), "r": normal(inputs, HIDDEN, scale=0.3), "o": normal(VALUE, HIDDEN, scale=0.25),
-            "b": np.zeros(HIDDEN, np.float32), "u": normal(HIDDEN, classes, scale=0.02), "c": (1 + np.log(prior) / 16).astype(np.float32)}
+            "b": np.zeros(HIDDEN, np.float32), "u": normal(HIDDEN, classes, scale=0.005), "c": np.zeros(classes, np.float32)}
 
 
 def windows(inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,11 +44,11 @@ def windows(inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return flat[first[:, None] + np.arange(SPAN)], counts
 
 
-def forward(m: dict[str, np.ndarray], x: np.ndarray, room: np.ndarray | None = None) -> tuple:
+def forward(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, room: np.ndarray | None = None) -> tuple:
     """Attention, hidden states and class values at the second half of each window.
 
     A class has a probability in proportion to the 16th power of its value, which is at least LEAST: near exp(16 (value - 1)), for
-    four multiplications.
+    four multiplications. `prior` holds the values that the model corrects, one row a position.
     """
     own = x[:, HALF:]
     q, k, v = m["q"].take(own, 0), m["k"].take(x, 0), m["v"].take(x, 0)
@@ -67,6 +67,7 @@ def forward(m: dict[str, np.ndarray], x: np.ndarray, room: np.ndarray | None = N
     np.maximum(h, 0, out=h)
     y = np.matmul(h, m["u"], out=None if room is None else room[:len(h)])
     y += m["c"]
+    y += prior
     np.maximum(y, LEAST, out=y)
     return own, q, k, v, a, o, h, y
 
@@ -78,22 +79,22 @@ def powers(y: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     return out
 
 
-def class_scores(m: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log probability of the target class at each scored position, (windows, HALF)."""
+def class_scores(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log probability of the target class at each scored position, (windows, HALF); `prior[before]` are its prior values."""
     out = np.empty(target.shape, np.float32)
     room = np.empty((STEP * HALF, m["u"].shape[1]), np.float32)  # memory of one step, used again by the next
     ones = np.ones(m["u"].shape[1], np.float32)
     for s in range(0, len(x), STEP):
-        y = forward(m, x[s:s + STEP], room)[-1]
+        y = forward(m, x[s:s + STEP], prior.take(before[s:s + STEP].reshape(-1), 0), room)[-1]
         t = target[s:s + STEP].reshape(-1)
         hit = y[np.arange(len(t)), t]
         out[s:s + STEP] = (16 * np.log(hit) - np.log(powers(y, y) @ ones)).reshape(-1, HALF)
     return out
 
 
-def gradient(m: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+def gradient(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the weighted positions and its gradient."""
-    own, q, k, v, a, o, h, y = forward(m, x)
+    own, q, k, v, a, o, h, y = forward(m, x, prior)
     t, w = target.reshape(-1), weight.reshape(-1).astype(np.float32)
     w = w / max(1.0, float(w.sum()))
     p = powers(y)
@@ -132,15 +133,3 @@ class Adam:
             self.first[k] += np.float32(0.1) * (g[k] - self.first[k])
             self.second[k] += np.float32(0.01) * (g[k] ** 2 - self.second[k])
             v -= rate * self.first[k] / (np.sqrt(self.second[k]) + np.float32(1e-7))
-
-
-def train_on(model: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, weight: np.ndarray, rate: float, batch: int = 256, passes: int = 1) -> float:
-    """Passes of Adam over windows, in order, changing `model`; returns the mean loss of the last tenth of the steps."""
-    adam = Adam(model, rate)
-    losses = []
-    for _ in range(passes):
-        for s in range(0, len(x), batch):
-            loss, g = gradient(model, x[s:s + batch], target[s:s + batch], weight[s:s + batch])
-            adam.update(g)
-            losses.append(loss)
-    return float(np.mean(losses[-max(1, len(losses) // 10):])) if losses else 0.0

@@ -21,6 +21,8 @@ END_WORD = b"\n"  # no word holds a line feed
 FLUSH = 200_000
 HEAD = 100_000
 INPUTS, CLASSES, SINGLE = 1024, 64, 48
+FREQUENT = 2048  # ids that are counted after each symbol
+ALPHA = 4.0
 SEGMENT = 200  # characters of each training text that the attention model learns from
 WORKERS, ROUNDS = 12, 3
 WARM_DOCS = 4000
@@ -62,13 +64,14 @@ def head_counts(counts: DataFrame, most: int = HEAD) -> dict[bytes, int]:
 
 
 class Symbols:
-    """Maps subword ids to input symbols and output classes by their counts over the training texts.
+    """Maps subword ids to input symbols and output classes, and holds what is known of an id from the one before it.
 
-    The most frequent ids are symbols and classes of their own; the rest share classes of about equal counts, inside which an
-    id has the probability of its smoothed count. Probabilities of all ids sum to one.
+    The most frequent ids are symbols and classes of their own; the rest share classes of about equal counts. Inside its class
+    an id has the share of its count after the symbol before it, smoothed with its share of the class; a symbol before
+    it is one inside the same word, else BEGIN. Probabilities of all ids sum to one after every symbol.
     """
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, ends: np.ndarray):
         order = np.argsort(-counts, kind="stable")
         self.of_class = np.empty(len(counts), np.int16)
         self.of_class[order[:SINGLE]] = np.arange(SINGLE)
@@ -76,12 +79,35 @@ class Symbols:
         tail = np.cumsum(smooth[order[SINGLE:]])
         self.of_class[order[SINGLE:]] = SINGLE + np.minimum((tail / tail[-1] * (CLASSES - SINGLE)).astype(int), CLASSES - SINGLE - 1)
         mass = np.bincount(self.of_class, smooth, CLASSES)
-        self.inside = np.log(smooth / mass[self.of_class])
-        self.prior = np.maximum(mass, 1e-3) / np.maximum(mass, 1e-3).sum()
-        rank = np.empty(len(counts), np.int64)
-        rank[order] = np.arange(len(counts))
+        self.share = smooth / mass[self.of_class]
+        self.mass = np.maximum(mass, 1e-3) / np.maximum(mass, 1e-3).sum()
+        self.rank = np.empty(len(counts), np.int32)
+        self.rank[order] = np.arange(len(counts))
         own = INPUTS - 2 - 24
-        self.symbol = np.where(rank < own, rank, own + np.minimum((np.log2(rank - np.minimum(rank, own) + 1) * 1.5).astype(int), 23)).astype(np.int32) + 2
+        self.symbol = np.where(self.rank < own, self.rank, own + np.minimum(
+            (np.log2(self.rank - np.minimum(self.rank, own) + 1) * 1.5).astype(int), 23)).astype(np.int32) + 2
+        self.before = np.where(ends, BEGIN, self.symbol).astype(np.int32)
+        self.frequent = order[:FREQUENT]
+        self.follow(np.zeros((INPUTS, FREQUENT), np.int64))
+
+    def follow(self, pairs: np.ndarray) -> None:
+        """Take in how often each frequent id (column, by rank) comes after each symbol (row)."""
+        kind = self.of_class[self.frequent]
+        by_class = np.zeros((INPUTS, CLASSES))
+        np.add.at(by_class.T, kind, pairs.T)
+        self.inside = np.log((pairs + ALPHA * self.share[self.frequent]) / (by_class[:, kind] + ALPHA)).astype(np.float32)
+        self.unseen = np.log(ALPHA / (by_class + ALPHA)).astype(np.float32)
+        after = (by_class + ALPHA * self.mass) / (by_class.sum(1, keepdims=True) + ALPHA)
+        self.prior = (1 + np.log(after) / 16).astype(np.float32)
+
+    def inside_class(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural log probability of ids inside their class after symbols."""
+        rank = self.rank[target]
+        out = self.inside[before, np.minimum(rank, FREQUENT - 1)]
+        rare = rank >= FREQUENT
+        if rare.any():
+            out[rare] = self.unseen[before[rare], self.of_class[target[rare]]] + np.log(self.share[target[rare]])
+        return out
 
 
 class TextScorer:
@@ -91,22 +117,36 @@ class TextScorer:
         self.encoder = WordEncoder(vocabulary)
         self.size = self.encoder.model.get_vocab_size()
         self.end = self.size - 1
+        tokens = sorted(self.encoder.model.get_vocab().items(), key=lambda t: t[1])
+        self.ends = np.array([t.endswith("</w>") for t, _ in tokens])
         self.symbols, self.model = symbols, model
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.r_[np.frombuffer(e, "<u2"), self.end].astype(np.int32) for e in self.encoder.encode(texts)]
 
-    def examples(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Windows, target ids and weights (0 beyond a text's end), and windows by text."""
+    def examples(self, ids: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Windows, symbols before, target ids and weights (0 beyond a text's end) of their positions, and windows by text."""
         x, counts = attention.windows([np.r_[BEGIN, self.symbols.symbol[i[:-1]]] for i in ids])
-        target = np.zeros((len(x), HALF), np.int32)
+        before, target = np.full((len(x), HALF), BEGIN, np.int32), np.zeros((len(x), HALF), np.int32)
         weight = np.zeros((len(x), HALF), np.float32)
-        flat, flags = target.reshape(-1), weight.reshape(-1)
+        places, flat, flags = before.reshape(-1), target.reshape(-1), weight.reshape(-1)
         begin = np.concatenate([[0], np.cumsum(counts)[:-1]]) * HALF
         for at, i in zip(begin, ids):
+            places[at + 1:at + len(i)] = self.symbols.before[i[:-1]]
             flat[at:at + len(i)] = i
             flags[at:at + len(i)] = 1
-        return x, target, weight, counts
+        return x, before, target, weight, counts
+
+    def learn(self, adam: attention.Adam, texts: list[bytes], passes: int = 1) -> int:
+        """Adam steps over the windows of texts, in order."""
+        x, before, target, weight, _ = self.examples(self.ids(texts))
+        kind = self.symbols.of_class[target]
+        for _ in range(passes):
+            for s in range(0, len(x), 256):
+                part = slice(s, s + 256)
+                prior = self.symbols.prior[before[part].reshape(-1)]
+                adam.update(attention.gradient(adam.model, x[part], prior, kind[part], weight[part])[1])
+        return len(x)
 
     def scores(self, texts: list[bytes]) -> list[float]:
         """log10 probability of each whole text and its end."""
@@ -118,38 +158,55 @@ class TextScorer:
             while stop < len(found) and (stop == at or total + len(found[stop]) <= 200_000):
                 total += len(found[stop])
                 stop += 1
-            x, target, weight, counts = self.examples(found[at:stop])
-            logp = attention.class_scores(self.model, x, self.symbols.of_class[target]) + self.symbols.inside[target]
+            x, before, target, weight, counts = self.examples(found[at:stop])
+            logp = attention.class_scores(self.model, x, self.symbols.prior, before, self.symbols.of_class[target])
+            logp += self.symbols.inside_class(before, target)
             per_window = (logp * weight).sum(1, dtype=np.float64)
             out += (np.add.reduceat(per_window, np.cumsum(counts) - counts) / np.log(10)).tolist()
             at = stop
         return out
 
 
-def id_counts(counts: DataFrame, vocabulary: str) -> np.ndarray:
-    """Counts of all ids over the training texts, from the counts of their words."""
+def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
+    """Symbols from the counts of ids, and of ids after symbols, over all training texts, by way of the counts of their words."""
 
-    def make():
-        scorer = TextScorer(vocabulary)
-        total = np.zeros(scorer.size, np.int64)
+    def tally(key, size: int):
+        def make():
+            scorer = TextScorer(vocabulary)
+            total = np.zeros(size, np.int64)
 
-        def step(batch: dict) -> dict | None:
-            if batch:
-                for word, n, ids in zip(batch["word"], batch["n"], scorer.encoder.encode(batch["word"])):
-                    if word == END_WORD:
-                        total[scorer.end] += n
-                    np.add.at(total, np.frombuffer(ids, "<u2"), n)
-                return None
-            at = np.flatnonzero(total)
-            return {"id": at.tolist(), "n": total[at].tolist()}
+            def step(batch: dict) -> dict | None:
+                if batch:
+                    for s in range(0, len(batch["word"]), 5000):
+                        ids = [np.frombuffer(e, "<u2").astype(np.int64) if w != END_WORD else np.array([scorer.end])
+                               for w, e in zip(batch["word"][s:s + 5000], scorer.encoder.encode(batch["word"][s:s + 5000]))]
+                        sizes = np.array([len(i) for i in ids])
+                        first = np.zeros(int(sizes.sum()), bool)
+                        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+                        cell, keep = key(scorer, np.concatenate(ids), first)
+                        np.add.at(total, cell[keep], np.repeat(np.array(batch["n"][s:s + 5000]), sizes)[keep])
+                    return None
+                at = np.flatnonzero(total)
+                return {"cell": at.tolist(), "n": total[at].tolist()}
 
-        return step
+            return step
+
+        # At most one row for each cell of a table of fixed size.
+        out = np.zeros(size, np.int64)
+        found = arrow_pass(counts, "cell int, n long", make).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        out[found["cell"].to_numpy()] = found["n"].to_numpy()
+        return out
 
-    # One row for each id of the vocabulary at most.
-    out = np.zeros(TextScorer(vocabulary).size, np.int64)
-    for r in arrow_pass(counts, "id int, n long", make).groupBy("id").agg(F.sum("n").alias("n")).collect():
-        out[r["id"]] = r["n"]
-    return out
+    probe = TextScorer(vocabulary)
+    symbols = Symbols(tally(lambda scorer, ids, first: (ids, slice(None)), probe.size), probe.ends)
+
+    def pair(scorer: TextScorer, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        before = np.where(first, BEGIN, symbols.before[np.r_[0, ids[:-1]]])
+        rank = symbols.rank[ids]
+        return before.astype(np.int64) * FREQUENT + rank, rank < FREQUENT
+
+    symbols.follow(tally(pair, INPUTS * FREQUENT).reshape(INPUTS, FREQUENT))
+    return symbols
 
 
 def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.ndarray]:
@@ -161,13 +218,13 @@ def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.n
     length = F.char_length("text")
     cut = texts.select("draw", F.substring("text", F.pmod(F.col("draw"), F.greatest(length - F.lit(SEGMENT), F.lit(1))).cast("int") + 1, F.lit(SEGMENT)).alias("text"))
     segments = materialise(cut.select("draw", F.col("text").cast("binary").alias("text")))
-    model = attention.new_model(INPUTS, CLASSES, symbols.prior)
-    scorer = TextScorer(vocabulary, symbols, model)
+    model = attention.new_model(INPUTS, CLASSES)
     warm = [bytes(r["text"]) for r in segments.orderBy("draw", "text").limit(WARM_DOCS).collect()]
     if not warm:
         return model
-    x, target, weight, _ = scorer.examples(scorer.ids(warm))
-    attention.train_on(model, x, symbols.of_class[target], weight, rate=0.01, passes=max(1, 120_000 // len(x)))
+    scorer = TextScorer(vocabulary, symbols)
+    adam = attention.Adam(model, 0.005)
+    scorer.learn(adam, warm, passes=max(1, WARM_DOCS * 3 // len(warm)))
     spark = texts.sparkSession
     turn = F.pmod(F.xxhash64("draw", F.lit(2)), F.lit(ROUNDS))
     for r in range(ROUNDS):
@@ -179,17 +236,11 @@ def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.n
             adam = attention.Adam(own, rate)
             seen, held = [0], []
 
-            def learn() -> None:
-                x, target, weight, _ = scorer.examples(scorer.ids(held))
-                for s in range(0, len(x), 512):
-                    adam.update(attention.gradient(own, x[s:s + 512], symbols.of_class[target[s:s + 512]], weight[s:s + 512])[1])
-                seen[0] += len(x)
-                held.clear()
-
             def step(batch: dict) -> dict | None:
                 held.extend(batch.get("text", ()))
                 if held and (not batch or len(held) >= 500):
-                    learn()
+                    seen[0] += scorer.learn(adam, held)
+                    held.clear()
                 return None if batch else {"model": [pickle.dumps(own)], "n": [seen[0]]}
 
             return step
@@ -224,7 +275,7 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     under = np.log10(total + 0.5 * (distinct + 1))
     head = spark.sparkContext.broadcast(head_counts(counts))
-    symbols = Symbols(id_counts(counts, vocabulary))
+    symbols = id_counts(counts, vocabulary)
     model = train(learn.select(F.xxhash64("doc_id", F.lit(5)).alias("draw"), "text"), vocabulary, symbols)
     shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
 
