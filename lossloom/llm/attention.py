@@ -6,12 +6,12 @@ import numpy as np
 
 HALF = 8  # tokens that a window scores; it sees as many before them
 SPAN = 2 * HALF
-KEY, VALUE, HIDDEN = 16, 16, 32
+KEY, VALUE, HIDDEN = 8, 8, 24
 PAD, BEGIN = 0, 1  # input symbols that are no token
 NEVER = np.float32(-1e9)
 MOST = np.float32(60)  # of an attention score: exp stays finite
 LEAST = np.float32(0.05)
-STEP = 256  # windows that are scored together
+STEP = 128  # windows that are scored together: their arrays stay in a core's cache
 
 _GAP = np.arange(HALF)[:, None] + HALF - np.arange(SPAN)[None, :]  # distance from query to key
 CAUSAL = np.where(_GAP >= 0, np.float32(0), NEVER)

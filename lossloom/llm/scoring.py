@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pickle
 from collections import Counter
-from itertools import repeat
+from itertools import compress
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossloom.llm import attention
@@ -22,7 +22,7 @@ FLUSH = 200_000
 HEAD = 100_000
 INPUTS, CLASSES, SINGLE = 1024, 64, 48
 FREQUENT = 2048  # ids that are counted after each symbol
-ALPHA = 4.0
+ALPHA = 2.0
 SEGMENT = 200  # characters of each training text that the attention model learns from
 WORKERS, ROUNDS = 12, 3
 WARM_DOCS = 4000
@@ -167,24 +167,43 @@ class TextScorer:
         return out
 
 
+def word_ends(spark: SparkSession, vocabulary: str) -> np.ndarray:
+    """Which ids end a word; read in a task, so that the driver loads no tokenizer."""
+
+    def make():
+        return lambda batch: {"ends": [TextScorer(vocabulary).ends.tobytes()]} if batch else None
+
+    return np.frombuffer(arrow_pass(spark.range(1), "ends binary", make).first()["ends"], bool)
+
+
 def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
     """Symbols from the counts of ids, and of ids after symbols, over all training texts, by way of the counts of their words."""
 
-    def tally(key, size: int):
+    def make_ids():
+        scorer = TextScorer(vocabulary)
+        end = np.array([scorer.end], "<u2").tobytes()
+
+        def step(batch: dict) -> dict | None:
+            if not batch:
+                return None
+            ids = [e if w != END_WORD else end for w, e in zip(batch["word"], scorer.encoder.encode(batch["word"]))]
+            return {"ids": ids, "n": batch["n"]}
+
+        return step
+
+    encoded = materialise(arrow_pass(counts, "ids binary, n long", make_ids))
+
+    def tally(key, size: int) -> np.ndarray:
         def make():
-            scorer = TextScorer(vocabulary)
             total = np.zeros(size, np.int64)
 
             def step(batch: dict) -> dict | None:
                 if batch:
-                    for s in range(0, len(batch["word"]), 5000):
-                        ids = [np.frombuffer(e, "<u2").astype(np.int64) if w != END_WORD else np.array([scorer.end])
-                               for w, e in zip(batch["word"][s:s + 5000], scorer.encoder.encode(batch["word"][s:s + 5000]))]
-                        sizes = np.array([len(i) for i in ids])
-                        first = np.zeros(int(sizes.sum()), bool)
-                        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-                        cell, keep = key(scorer, np.concatenate(ids), first)
-                        np.add.at(total, cell[keep], np.repeat(np.array(batch["n"][s:s + 5000]), sizes)[keep])
+                    sizes = np.array([len(i) // 2 for i in batch["ids"]])
+                    first = np.zeros(int(sizes.sum()), bool)
+                    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+                    cell, keep = key(np.frombuffer(b"".join(batch["ids"]), "<u2").astype(np.int64), first)
+                    np.add.at(total, cell[keep], np.repeat(np.array(batch["n"]), sizes)[keep])
                     return None
                 at = np.flatnonzero(total)
                 return {"cell": at.tolist(), "n": total[at].tolist()}
@@ -193,16 +212,17 @@ def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
 
         # At most one row for each cell of a table of fixed size.
         out = np.zeros(size, np.int64)
-        found = arrow_pass(counts, "cell int, n long", make).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        found = arrow_pass(encoded, "cell int, n long", make).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         out[found["cell"].to_numpy()] = found["n"].to_numpy()
         return out
 
-    probe = TextScorer(vocabulary)
-    symbols = Symbols(tally(lambda scorer, ids, first: (ids, slice(None)), probe.size), probe.ends)
+    ends = word_ends(counts.sparkSession, vocabulary)
+    symbols = Symbols(tally(lambda ids, first: (ids, slice(None)), len(ends)), ends)
+    symbol, ranks = symbols.before, symbols.rank
 
-    def pair(scorer: TextScorer, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        before = np.where(first, BEGIN, symbols.before[np.r_[0, ids[:-1]]])
-        rank = symbols.rank[ids]
+    def pair(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        before = np.where(first, BEGIN, symbol[np.r_[0, ids[:-1]]])
+        rank = ranks[ids]
         return before.astype(np.int64) * FREQUENT + rank, rank < FREQUENT
 
     symbols.follow(tally(pair, INPUTS * FREQUENT).reshape(INPUTS, FREQUENT))
@@ -218,19 +238,10 @@ def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.n
     length = F.char_length("text")
     cut = texts.select("draw", F.substring("text", F.pmod(F.col("draw"), F.greatest(length - F.lit(SEGMENT), F.lit(1))).cast("int") + 1, F.lit(SEGMENT)).alias("text"))
     segments = materialise(cut.select("draw", F.col("text").cast("binary").alias("text")))
-    model = attention.new_model(INPUTS, CLASSES)
-    warm = [bytes(r["text"]) for r in segments.orderBy("draw", "text").limit(WARM_DOCS).collect()]
-    if not warm:
-        return model
-    scorer = TextScorer(vocabulary, symbols)
-    adam = attention.Adam(model, 0.005)
-    scorer.learn(adam, warm, passes=max(1, WARM_DOCS * 3 // len(warm)))
     spark = texts.sparkSession
-    turn = F.pmod(F.xxhash64("draw", F.lit(2)), F.lit(ROUNDS))
-    for r in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
 
-        def make(shared=shared, rate=0.003 / (r + 1)):
+    def learner(shared, rate: float, passes: int):
+        def make():
             symbols, own = pickle.loads(shared.value)
             scorer = TextScorer(vocabulary, symbols)
             adam = attention.Adam(own, rate)
@@ -238,19 +249,29 @@ def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.n
 
             def step(batch: dict) -> dict | None:
                 held.extend(batch.get("text", ()))
-                if held and (not batch or len(held) >= 500):
-                    seen[0] += scorer.learn(adam, held)
+                if held and (not batch or len(held) >= WARM_DOCS):
+                    seen[0] += scorer.learn(adam, held, passes)
                     held.clear()
                 return None if batch else {"model": [pickle.dumps(own)], "n": [seen[0]]}
 
             return step
 
+        return make
+
+    def trained(part: DataFrame, model: dict, rate: float, passes: int) -> dict:
+        shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
+        rows = arrow_pass(part.select("text"), "model binary, n long", learner(shared, rate, passes)).filter("n > 0").collect()
+        shared.unpersist()
+        models = [(pickle.loads(row["model"]), row["n"]) for row in sorted(rows, key=lambda row: bytes(row["model"]))]
+        total = sum(n for _, n in models)
+        return {k: sum(np.float32(n / total) * m[k] for m, n in models) for k in model} if total else model
+
+    begin = segments.orderBy("draw", "text").limit(WARM_DOCS).coalesce(1)
+    model = trained(begin, attention.new_model(INPUTS, CLASSES), 0.005, 3)
+    turn = F.pmod(F.xxhash64("draw", F.lit(2)), F.lit(ROUNDS))
+    for r in range(ROUNDS):
         part = segments.filter(turn == r).repartition(WORKERS, F.xxhash64("draw", F.lit(3))).sortWithinPartitions("draw", "text").select("text")
-        rows = arrow_pass(part, "model binary, n long", make).filter("n > 0").collect()
-        total = sum(row["n"] for row in rows)
-        if total:
-            models = [(pickle.loads(row["model"]), row["n"] / total) for row in sorted(rows, key=lambda row: bytes(row["model"]))]
-            model = {k: sum(np.float32(w) * m[k] for m, w in models) for k in model}
+        model = trained(part, model, 0.003 / (r + 1), 1)
     return model
 
 
@@ -295,11 +316,12 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             for text in batch["text"]:
                 found = text.lower().split()
                 found.append(END_WORD)
-                tail = Counter(w for w in found if w not in values)
-                tails.append(tail)
+                known = np.array(list(map(value, found)), np.float64)  # not a number where a word is rare
+                rare = np.isnan(known)
+                tails.append(Counter(compress(found, rare.tolist())))
                 out["n_tokens"].append(len(found))
-                out["known"].append(len(found) - tail.total())
-                out["base"].append(sum(map(value, found, repeat(0.0))))
+                out["known"].append(len(found) - int(rare.sum()))
+                out["base"].append(float(np.nansum(known)))
             ids = [task + number[0] + k for k in range(size)]
             number[0] += size
             out["row"], out["doc_id"], out["held_out"] = ids, batch["doc_id"], batch["held_out"]
