@@ -46,10 +46,14 @@ def features(text: bytes) -> np.ndarray:
 
 def training_sample(docs: DataFrame, learn: Column, per_language: int) -> DataFrame:
     """At most `per_language` rows of each language among those that `learn` allows: the first by a hash of id and text length."""
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    order = ("draw", "doc_id")
+    part = F.pmod("draw", F.lit(64))
     known = docs.filter(learn & F.col("lang").isNotNull()).select(
         "lang", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), F.lit(10)).alias("draw"))
-    chosen = known.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("doc_id").distinct()
+    # First within parts of a language, so that no task ranks all rows of a frequent one.
+    for keys in (("lang", part), ("lang",)):
+        known = known.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("r") <= per_language)
+    chosen = known.select("doc_id").distinct()
     return docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(chosen), docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
 
 
