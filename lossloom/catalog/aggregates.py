@@ -135,14 +135,15 @@ def note_concat(t: Tables):
 
 @query("""
 with reports as (select user_id, event_type || ',' || regexp_extract(props, '"k": ([0-9])', 1) || ',' ||
-                   (event_id % 9) || ',' || (event_id % 7) as reasons from events),
-parts as (select user_id, unnest(string_split(reasons, ',')[1:3]) as code from reports)
+                   (event_id % 9) || ',' || (event_id % 7) || ',' || (event_id % 11) || ',' || (event_id % 13) || ',' || (event_id % 17)
+                   as reasons from events),
+parts as (select user_id, unnest(string_split(reasons, ',')) as code from reports)
 select user_id, string_agg(distinct code, ',' order by code) as codes from parts group by 1""")
 def code_concat(t: Tables):
-    """Split reason lists (parts beyond the limit are dropped), distinct codes per key, sorted list."""
+    """Split reason lists of seven parts and more, distinct codes per key, sorted list."""
     k = F.regexp_extract("props", '"k": ([0-9])', 1)
-    reasons = F.concat_ws(",", "event_type", k, (F.col("event_id") % 9).cast("string"), (F.col("event_id") % 7).cast("string"))
-    codes = U.distinct_codes(t.events, ["user_id"], limited_split(reasons, ",", 3))
+    reasons = F.concat_ws(",", "event_type", k, *((F.col("event_id") % n).cast("string") for n in (9, 7, 11, 13, 17)))
+    codes = U.distinct_codes(t.events, ["user_id"], limited_split(reasons))
     return A.code_list(codes, "user_id", "code")
 
 

@@ -134,11 +134,11 @@ def amount_split(t: Tables):
 
 @query("""
 select c_custkey, lower(c_name) as low, upper(c_name) || '|' || cast(c_nationkey as varchar) as key_text,
-  'AFV10D' || cast(cast(substr('AFV10D' || cast(c_nationkey as varchar), 7, 4) as integer) + 1 as varchar) as delivery_id,
+  'AFV10D' || cast(c_custkey * 1000 + c_nationkey + 1 as varchar) as delivery_id,
   array_to_string(list_reverse(string_split(c_mktsegment, 'I')), ' ') as joined
 from customer""")
 def case_concat(t: Tables):
-    delivery = F.concat(F.lit("AFV10D"), F.col("c_nationkey").cast("string"))
+    delivery = F.concat(F.lit("AFV10D"), (F.col("c_custkey") * 1000 + F.col("c_nationkey")).cast("string"))
     return t.customer.select(
         "c_custkey", F.lower("c_name").alias("low"),
         F.concat(F.upper("c_name"), F.lit("|"), F.col("c_nationkey").cast("string")).alias("key_text"),

@@ -136,14 +136,15 @@ def phrase_count(text: Column, phrase: str) -> Column:
     return (removed / F.lit(len(phrase))).cast("bigint")
 
 
-def limited_split(column: Column, delimiter: str = ",", limit: int = 7) -> Column:
-    """Parts of a delimited text; parts beyond the limit are not part of the result."""
-    return F.slice(F.split(column, re.escape(delimiter)), 1, limit)
+def limited_split(column: Column, delimiter: str = ",", limit: int | None = None) -> Column:
+    """Parts of a delimited text: all of them, or with `limit` the first ones only."""
+    parts = F.split(column, re.escape(delimiter))
+    return parts if limit is None else F.slice(parts, 1, limit)
 
 
 def bump_suffix(column: Column, prefix_length: int = 6) -> Column:
-    """Keep the prefix and add one to the number after it."""
-    number = F.substring(column, prefix_length + 1, 4).cast("int") + 1
+    """Keep the prefix and add one to the whole number after it."""
+    number = column.substr(F.lit(prefix_length + 1), F.length(column)).cast("bigint") + 1
     return F.concat(F.substring(column, 1, prefix_length), number.cast("string"))
 
 

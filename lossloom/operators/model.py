@@ -87,8 +87,10 @@ def fixed_weight(label: Column, positive: float = 39.0) -> Column:
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """n / (classes * class size) for every row; the class table has one row per class."""
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """n / (classes * class size) for every row with a label, null for the others; the class table has one row per class."""
+    sizes = {r[label]: r["n"] for r in df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(LABEL_LIMIT + 1).collect()}
+    if not sizes or len(sizes) > LABEL_LIMIT:
+        raise ValueError(f"{len(sizes)} classes; between 1 and {LABEL_LIMIT} are needed")
     total = sum(sizes.values())
     table = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, total / (len(sizes) * n))])
     return df.withColumn(name, F.try_element_at(table, F.col(label)))

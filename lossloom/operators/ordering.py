@@ -144,9 +144,11 @@ def event_sequence(df: DataFrame, party: str, moment: str, tie: str, rank: str =
 
     Events are summarised by (party, grain of time) first. Only the time grains of a party, never its rows, are
     ordered in one group, so that group is bounded by the calendar; the rows inside one grain are ranked in a group
-    of their own. Events without a party are left out.
+    of their own. Events without a party are left out; events without a time are kept, with a null rank and gap.
     """
-    dated = df.filter(F.col(party).isNotNull()).withColumn("__slot", F.date_trunc(grain, moment))
+    undated = df.filter(F.col(party).isNotNull() & F.col(moment).isNull()).withColumns(
+        {rank: F.lit(None).cast("bigint"), gap: F.lit(None).cast("int")})
+    dated = df.filter(F.col(party).isNotNull() & F.col(moment).isNotNull()).withColumn("__slot", F.date_trunc(grain, moment))
     w = Window.partitionBy(party).orderBy("__slot")
     slots = (
         dated.groupBy(party, "__slot")
@@ -165,6 +167,7 @@ def event_sequence(df: DataFrame, party: str, moment: str, tie: str, rank: str =
             gap: F.when(F.struct(moment, tie) == F.col("__first"), F.col("__gap")).otherwise(F.lit(0)),
         })
         .drop("__slot", "__first", "__before", "__gap")
+        .unionByName(undated)
     )
 
 

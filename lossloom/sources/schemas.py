@@ -32,5 +32,5 @@ TRANSACTION = """ClaimNumber string, IssueDate timestamp, TransactionAmount deci
     TransactionType string"""
 NOTE = "ClaimID bigint, AuthoringDate timestamp, Body string"
 CODE_TABLE = "ID string, DESCRIPTION string"
-COVERAGE_MAP = "PrimaryCoverage string, exposuretype_desc string, cov_rollup_3 string"
+COVERAGE_MAP = "PrimaryCoverage string, exposuretype_desc string, cov_rollup_3 string, line int"
 STATE_MAP = "lossloc_State string, STATE_ABBR string, REGION string, DIVISION string"

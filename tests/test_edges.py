@@ -14,6 +14,7 @@ from lossloom.operators import aggregates as A
 from lossloom.operators import filters as L
 from lossloom.operators import joins as J
 from lossloom.operators import ordering as O
+from lossloom.operators import model
 from lossloom.operators import terms as V
 from lossloom.operators.sets import snapshot_change
 from lossloom.sources import readers, sinks
@@ -190,8 +191,24 @@ def test_chi2_tail(spark):
     assert abs(df.select(V.chi2_tail(F.col("x"), 4)).collect()[1][0] - 0.05) < 1e-9
 
 
-def test_limited_split_drops_the_eighth(spark):
-    assert one(spark, X.limited_split(F.lit("1,2,3,4,5,6,7,8"))) == list("1234567")
+def test_limited_split_keeps_all_parts_unless_limited(spark):
+    assert one(spark, X.limited_split(F.lit("1,2,3,4,5,6,7,8"))) == list("12345678")
+    assert one(spark, X.limited_split(F.lit("1,2,3,4,5,6,7,8"), limit=7)) == list("1234567")
+
+
+def test_bump_suffix_reads_all_digits(spark):
+    assert one(spark, X.bump_suffix(F.lit("AFV10D12345"))) == "AFV10D12346"
+
+
+def test_event_sequence_keeps_undated_rows(spark):
+    df = spark.createDataFrame([("a", "2024-01-01", 1), ("a", None, 2), ("b", None, 3)], "p string, t string, id int").withColumn("t", F.to_timestamp("t"))
+    got = {r.id: (r.rn, r.gap_days) for r in O.event_sequence(df, "p", "t", "id").collect()}
+    assert got == {1: (1, 0), 2: (None, None), 3: (None, None)}
+
+
+def test_balanced_weights_with_null_label(spark):
+    df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "y int")
+    assert sorted((str(r.y), r.weight) for r in model.balanced_weights(df, "y").collect()) == [("0", 1.5), ("1", 0.75), ("1", 0.75), ("None", None)]
 
 
 def test_code_list_skips_keys_without_codes(spark):

@@ -65,7 +65,7 @@ def tables(spark):
                                                       dict(ClaimID=1, MatchReasons="1,2,3,4,5,6,7,V"), dict(ClaimID=2)]),
         "reserve_line": frame(spark, S.RESERVE_LINE, [dict(ClaimID=1, Ext_ITDPaid=money(5)), dict(ClaimID=1, Ext_ITDPaid=money(6))]),
         "contributing_factor": frame(spark, S.CONTRIBUTING_FACTOR, [dict(ClaimID=1, PriContributingFactors="10024")]),
-        "coverage_map": frame(spark, S.COVERAGE_MAP + ", line int", [
+        "coverage_map": frame(spark, S.COVERAGE_MAP, [
             dict(PrimaryCoverage="10", exposuretype_desc="Bodily Injury", cov_rollup_3="Auto BI", line=1),
             dict(PrimaryCoverage="20", exposuretype_desc="Vehicle", cov_rollup_3="Collision", line=2),
             dict(PrimaryCoverage="20", exposuretype_desc="Vehicle", cov_rollup_3="GL PD", line=3),
@@ -103,7 +103,7 @@ def test_claim_features(features):
     assert (one.AUTO_BI, one.AUTO_COLLISION, one.BI, one.collision_only, two.AUTO_COLLISION) == (1, 2, 1, 0, 0)
     assert (one.TotalLoss, one.VehicleParked, two.TotalLoss) == (1, None, None)
     assert (one.rear_collision_final, one.collision_final, two.collision_final) == (1, 1, 0)
-    assert (one.iso_concat, one.ISO_address, one.ISO_Name, one.ISO_VIN) == ("1,2,3,4,5,6,7,A,N", 2, 1, 0)
+    assert (one.iso_concat, one.ISO_address, one.ISO_Name, one.ISO_VIN) == ("1,2,3,4,5,6,7,A,N,V", 2, 1, 1)
     assert (one.Total_Paid, one.rear_end_pc, one.glass_damage, two.rear_end_pc) == (money("11.00"), 1, 0, 0)
     assert (one.Body_Neck, one.Body_Head, one.prev_renewals) == (2, 0, 2)
     assert (one.tod, one.claimtype, two.claimtype, one.weekend_flag) == ("twelveam", "thirdparty_claim", "insured_claim", 1)
