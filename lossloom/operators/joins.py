@@ -38,13 +38,19 @@ def in_role(dimension: DataFrame, role: str, columns: Sequence[str] | None = Non
     return dimension.select(*[F.col(c).alias(f"{role}_{c}") for c in (columns or dimension.columns)])
 
 
-def null_spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join in which rows without a key go round the join: they match nothing, so nothing of them is shuffled."""
+def null_spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: int = 256) -> DataFrame:
+    """Left join in which rows without a key are spread over partitions instead of meeting in one.
+
+    The extra join column is 0 for rows that have a key, so matches are unchanged. On the right it is computed from
+    the key, because the optimizer would fold a literal and shuffle by the key alone.
+    """
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    joined = left.filter(~missing).join(right, list(keys), "left")
-    added = [f for f in right.schema if f.name not in keys]
-    bare = left.filter(missing).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else left.filter(missing)
-    return joined.unionByName(bare.select(*joined.columns))
+    salt = F.when(missing, F.pmod(F.xxhash64(*left.columns), F.lit(spread)) + 1).otherwise(F.lit(0).cast("bigint"))
+    return (
+        left.withColumn("__spread", salt)
+        .join(right.withColumn("__spread", F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))), [*keys, "__spread"], "left")
+        .drop("__spread")
+    )
 
 
 def concat_key(*parts: Column) -> Column:

@@ -164,6 +164,9 @@ def test_null_spread_join(spark):
     right = spark.createDataFrame([(1, "x"), (None, "never")], "k int, w string")
     got = {r.v: r.w for r in J.null_spread_join(left, right, ["k"]).collect()}
     assert got == {"a": "x", "b": None, "c": None, "d": None}
+    folded = right.groupBy("k").agg(F.max("w").alias("w")).hint("merge")
+    plan = J.null_spread_join(left, folded, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(k") >= 2 and "__spread" in plan[plan.index("hashpartitioning(k"):].split(")")[0]
 
 
 def test_ratio_by_zero(spark):
