@@ -67,9 +67,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES = {
     "op2_top_inner_products": """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(1024 * x::double)) as e from embeddings
+  select vec_id, [floor(1024 * x::double) for x in embedding] as e from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
 s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
