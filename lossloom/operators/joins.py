@@ -1,5 +1,5 @@
 """Join shapes. No hints are written: Spark broadcasts a side only below its own size threshold, and adaptive
-execution splits skewed sort-merge partitions."""
+execution splits skewed sort-merge partitions where both inputs are plain shuffles, not where one is an aggregate on the key."""
 
 from __future__ import annotations
 

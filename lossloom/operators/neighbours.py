@@ -194,7 +194,8 @@ def balance(df: DataFrame, key: str, vector: str, label: str, minority, k: int =
     """
     original = df.select(F.col(key).cast("bigint").alias(key), F.col(vector).cast("array<double>").alias(vector), label,
                          F.lit(0).alias("synthetic"))
-    made = oversample(df, key, vector, label, minority, k, seed)
+    # Read twice: written, so that the neighbour search runs once.
+    made = materialise(oversample(df, key, vector, label, minority, k, seed))
     most = made.agg(F.max("copy")).first()[0] or 1
     renamed = made.select((-(F.col("source") * F.lit(most) + F.col("copy")) - 1).alias(key), vector, label, F.lit(1).alias("synthetic"))
     return without_tomek_links(materialise(original.unionByName(renamed)), key, vector, label)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -138,19 +139,16 @@ def chi2_tail(score: Column, degrees: int) -> Column:
 
     @F.pandas_udf("double")
     def tail(values: pd.Series) -> pd.Series:
-        def one(x: float) -> float:
-            half = x / 2
-            if degrees % 2:
-                q, term, d = math.erfc(math.sqrt(half)), math.sqrt(half / math.pi) * math.exp(-half) * 2, 1
-            else:
-                q, term, d = math.exp(-half), half * math.exp(-half), 2
-            while d < degrees:
-                q += term
-                term *= half / (d / 2 + 1)
-                d += 2
-            return q
-
-        return values.map(one)
+        half = values.to_numpy(np.float64) / 2
+        if degrees % 2:
+            q, term, d = np.frompyfunc(math.erfc, 1, 1)(np.sqrt(half)).astype(np.float64), 2 * np.sqrt(half / np.pi) * np.exp(-half), 1
+        else:
+            q, term, d = np.exp(-half), half * np.exp(-half), 2
+        while d < degrees:
+            q = q + term
+            term = term * half / (d / 2 + 1)
+            d += 2
+        return pd.Series(q)
 
     return tail(score)
 

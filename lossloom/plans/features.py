@@ -289,6 +289,14 @@ def with_coverage(fact: DataFrame, coverage_map: DataFrame) -> DataFrame:
     })
 
 
+def with_region(claims: DataFrame, state_map: DataFrame) -> DataFrame:
+    """Abbreviation, region and division of the loss state; null where the map (one row a state) has none."""
+    places = state_map.select(F.upper(F.trim("lossloc_State")).alias("__state"), "STATE_ABBR", "REGION", "DIVISION").dropDuplicates(["__state"])
+    if places.limit(J.FIXED_ROWS_LIMIT + 1).count() <= J.FIXED_ROWS_LIMIT:
+        places = F.broadcast(places)
+    return claims.join(places, F.upper(F.trim("lossloc_State")) == F.col("__state"), "left").drop("__state")
+
+
 def coverage_rollup(fact: DataFrame) -> DataFrame:
     """Exposures per coverage category, injury indicator and the two exclusivity flags."""
     counts = fact.groupBy("claimid").agg(

@@ -62,11 +62,11 @@ def fit_referral_model(frame: DataFrame, key: str, target: str, texts: Sequence[
                        seed: int = 398) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """(model, scored train rows, scored test rows): clamp, encode, weight positives 39 : 1, boost, score."""
     limits = OUTLIER_LIMITS if limits is None else limits
-    rows = G.binary_target(G.categorical(frame, texts), target)
+    # Clamping, encoding and training pass over the rows many times; the clamp itself is a cheap projection.
+    rows = materialise(G.binary_target(G.categorical(frame, texts), target))
     rows = O.winsorize(rows, {c: q for c, q in limits.items() if c in rows.columns})
     rows = rows.withColumns({"label": F.col(target).cast("double"), "weight": G.fixed_weight(F.col(target))})
-    # Encoding and training pass over the rows many times.
-    train, test = G.split(materialise(rows), key, 0.7, seed)
+    train, test = G.split(rows, key, 0.7, seed)
     encoding: Pipeline = G.encoder(train, texts, numbers)
     pipeline = Pipeline(stages=[*encoding.getStages(), estimator or G.boosted_trees(seed=seed)]).fit(train)
     keep = [key, target]

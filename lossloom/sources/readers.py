@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 
+from lossloom.operators.topics import TopicFactors
+
 
 def jdbc_options(url: str, query: str | None = None, table: str | None = None, partition_column: str | None = None,
                  lower: int | None = None, upper: int | None = None, partitions: int | None = None,
@@ -70,6 +74,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_lda(path: str) -> LocalLDAModel:
+    return LocalLDAModel.load(path)
+
+
+def load_factors(spark: SparkSession, path: str) -> TopicFactors:
+    """Topic factors that `save_factors` wrote; topics x terms numbers, bounded when they were fitted."""
+    rows = spark.read.parquet(path).orderBy("topic").collect()
+    return TopicFactors(np.array([r["weights"] for r in rows]), rows[0]["inner"])
+
+
 def read_run(spark: SparkSession, root: str, run_date: str, schema: str | None = None) -> DataFrame:
     """One run of a dated output, e.g. last week's snapshot; only its partition is listed."""
     reader = spark.read if schema is None else spark.read.schema(schema)

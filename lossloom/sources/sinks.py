@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.ml.util import MLWritable
+from pyspark.sql import DataFrame, SparkSession
+
+from lossloom.operators.topics import TopicFactors
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,6 +33,12 @@ def truncate_and_load(df: DataFrame, url: str, table: str, **extra: str) -> None
     df.write.format("jdbc").mode("overwrite").options(**jdbc_write_options(url, table, truncate=True, **extra)).save()
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Saves every stage, so a vocabulary travels with the model that uses it."""
+def save_model(model: MLWritable, path: str) -> None:
+    """A pipeline with every stage, so that a vocabulary travels with the model that uses it, or a topic model."""
     model.write().overwrite().save(path)
+
+
+def save_factors(spark: SparkSession, factors: TopicFactors, path: str) -> None:
+    """Topic factors as a table of one row a topic."""
+    rows = [(i, factors.inner, row.tolist()) for i, row in enumerate(factors.matrix)]
+    spark.createDataFrame(rows, "topic int, inner int, weights array<double>").coalesce(1).write.mode("overwrite").parquet(path)

@@ -92,6 +92,20 @@ def test_snapshot_change(spark):
     assert dict(snapshot_change(now, then, "k").collect()) == {"a": 1, "b": 2, "c": 1, "n": 0}
 
 
+def test_snapshot_change_compares_whole_rows_by_digest(spark):
+    schema = "k int, a string, b string, x double, t timestamp, l array<string>"
+    t = dt.datetime(2020, 1, 1, 0, 0, 0, 5)
+    long = "word " * 200_000
+    now = [(1, "1:x", "y", 0.0, t, ["a, b"]), (2, "", None, 1.0, t, None), (3, "ab", "c", None, t, ["a", None]), (4, long + "a", "", 1.0, t, []),
+           (5, "a", "b", 1.0, t, []), (6, "a", "b", 1.0, t, ["a, b"])]
+    then = [(1, "1:x", "y", -0.0, t, ["a, b"]), (2, None, "", 1.0, t, None), (3, "a", "bc", None, t, ["a", None]), (4, long + "b", "", 1.0, t, []),
+            (5, "a", "b", 1.0, t.replace(microsecond=6), []), (6, "a", "b", 1.0, t, ["a", "b"])]
+    got = snapshot_change(spark.createDataFrame(now, schema), spark.createDataFrame(then, schema), "k")
+    assert dict(got.collect()) == {1: 1, 2: 2, 3: 2, 4: 2, 5: 2, 6: 2}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("a#" not in line.split("hashpartitioning", 1)[1] for line in plan.splitlines() if "hashpartitioning" in line)
+
+
 @pytest.mark.parametrize("referred,status,change,want", [
     (1, "SIU Investigation", 2, 0), (1, "Rejected Referral", 1, 0), (1, "Rejected Referral", 2, 1), (1, None, 1, 1), (0, "0", 0, 0)])
 def test_referral(spark, referred, status, change, want):

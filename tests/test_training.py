@@ -1,5 +1,6 @@
 """Training frames and fitted pipelines on small data."""
 
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lossloom.operators import model as G
@@ -35,6 +36,28 @@ def test_text_topics_and_full_outer(spark):
     assert both.count() == 21
 
 
+def test_topic_models_outlive_a_session(spark, tmp_path):
+    rows = [(i, Vectors.sparse(3, [0, 2] if i % 2 else [1, 2], [1.0, 0.5])) for i in range(12)]
+    sparse = spark.createDataFrame(rows, ["id", "v"])
+    factors = P.fit_factors(sparse, "v", 3, topics=2, iterations=20)
+    sinks.save_factors(spark, factors, str(tmp_path / "f"))
+    loaded = readers.load_factors(spark, str(tmp_path / "f"))
+    assert (loaded.matrix == factors.matrix).all() and loaded.inner == factors.inner
+    shares = [r.loadings for r in P.factor_loadings(sparse, "v", loaded).orderBy("id").collect()]
+    assert shares == [r.loadings for r in P.factor_loadings(sparse, "v", factors).orderBy("id").collect()]
+    lda = P.fit_lda(sparse, "v", topics=2, passes=2)
+    sinks.save_model(lda, str(tmp_path / "l"))
+    rows = P.topic_distribution(sparse, readers.load_lda(str(tmp_path / "l"))).collect()
+    assert len(rows) == 12 and all(abs(r.TOPIC_NEW_0 + r.TOPIC_NEW_1 - 1) < 1e-9 for r in rows)
+
+
+def test_region_of_the_loss_state(spark):
+    claims = spark.createDataFrame([(1, "ohio "), (2, "Nowhere"), (3, None)], "claimid int, lossloc_State string")
+    places = spark.createDataFrame([("Ohio", "OH", "Midwest", "East North Central")] * 2, "lossloc_State string, STATE_ABBR string, REGION string, DIVISION string")
+    got = B.with_region(claims, places).orderBy("claimid").collect()
+    assert [(r.claimid, r.STATE_ABBR, r.REGION) for r in got] == [(1, "OH", "Midwest"), (2, None, None), (3, None, None)]
+
+
 def test_recovery_model(spark):
     rows = [(None if i % 4 == 0 else "rear damage third party fault accident" if i % 2 else "hail storm damage roof window",
              "third party fault rear damage" if i % 3 else "storm damage window roof", i % 2) for i in range(60)]
