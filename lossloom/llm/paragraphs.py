@@ -105,9 +105,11 @@ def jaccard_edges(rows: list[tuple[bytes, list[bytes]]], threshold: float) -> It
 def verified_edges(distinct: DataFrame, docs: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """Edges (a, b) between digests of paragraphs that share a band and pass the exact test."""
     spark = docs.sparkSession
-    keyed = materialise(distinct.select("digest", F.explode("bands").alias("key")))
-    dealt = materialise(cells(keyed, F.xxhash64("digest", F.lit(3)), block_rows).select("cell", "key", "digest"))
-    wanted = distinct.join(dealt.select("digest").distinct(), "digest", "left_semi").select("digest", "rep")
+    # Half the digest's bytes name a paragraph until its bands are met; two with one name are both looked at.
+    short = F.xxhash64("digest").alias("short")
+    keyed = materialise(distinct.select(short, F.explode("bands").alias("key")))
+    dealt = materialise(cells(keyed, F.xxhash64("short", F.lit(3)), block_rows).select("cell", "key", "short"))
+    wanted = distinct.select("digest", "rep", short).join(dealt.select("short").distinct(), "short", "left_semi").select("digest", "rep")
     places = materialise(wanted.groupBy(F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")).agg(
         F.collect_list(F.struct(F.col("rep.place").alias("place"), "digest")).alias("wanted")))
     # One copy of the document is enough: rows of one id and hash have the same text.
@@ -115,7 +117,7 @@ def verified_edges(distinct: DataFrame, docs: DataFrame, threshold: float, block
         F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"), F.explode("wanted").alias("w")).select(
         F.col("w.digest").alias("digest"), F.get("lines", F.col("w.place")).alias("line"))
     texts = materialise(texts.groupBy("digest").agg(F.min("line").alias("line")))
-    rows = by_cell(dealt.join(texts, "digest").select("cell", "key", "digest", F.col("line").cast("binary").alias("line")), spark)
+    rows = by_cell(dealt.join(texts.select("digest", "line", short), "short").select("cell", "key", "digest", F.col("line").cast("binary").alias("line")), spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, list[bytes]]] = []
