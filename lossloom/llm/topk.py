@@ -14,6 +14,7 @@ from lossloom.session import materialise
 LEVELS = (1, 4, 16)
 QUERY_STEP = 256
 ROW_STEP = 4096
+DENSE = 1 / 16  # share of the pairs of a block above which one product of matrices is cheaper
 
 
 def quantised(vector: Column, scale: int = 1024) -> Column:
@@ -34,12 +35,23 @@ def segment_stats(rows: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]
     return np.stack(sums, 1), np.stack(devs, 1)
 
 
-def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row inner products as 64-bit integers; doubles hold them when every sum stays below 2^53."""
+def products(a: np.ndarray, b: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Inner products of rows `at[0]` of a with rows `at[1]` of b: pair by pair, or as one product of matrices where most pairs are asked."""
+    if len(at[0]) > DENSE * len(a) * len(b):
+        return (a @ b.T)[at]
+    out = np.empty(len(at[0]), a.dtype)
+    for t in range(0, len(out), 1 << 17):
+        part = slice(t, t + (1 << 17))
+        out[part] = np.einsum("ij,ij->i", a[at[0][part]], b[at[1][part]])
+    return out
+
+
+def exact_scores(a: np.ndarray, b: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Inner products of pairs of rows as 64-bit integers; doubles hold them when every sum stays below 2^53."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2.0 ** 53:
-        return np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
-    return (a * b).sum(1)
+        return products(a.astype(np.float64), b.astype(np.float64), at).astype(np.int64)
+    return products(a, b, at)
 
 
 def best_of_cell(query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple]:
@@ -62,23 +74,18 @@ def best_of_cell(query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, x: np.
             rows = order[r:r + ROW_STEP]
             if (length * norm[rows[0]] * (1 + 1e-9) + 1 < floor).all():
                 break
-            live_q, live_x = None, None
+            live = np.nonzero(np.ones((len(ids), len(rows)), bool))
             for (qm, qd), (xm, xd) in bounds:
-                if live_q is None:
-                    top = qm[s:s + QUERY_STEP] @ xm[rows].T + qd[s:s + QUERY_STEP] @ xd[rows].T
-                    live_q, live_x = np.nonzero(top + 1e-9 * np.abs(top) + 1 >= floor[:, None])
-                else:
-                    a, b = live_q + s, rows[live_x]
-                    top = np.einsum("ij,ij->i", qm[a], xm[b]) + np.einsum("ij,ij->i", qd[a], xd[b])
-                    keep = top + 1e-9 * np.abs(top) + 1 >= floor[live_q]
-                    live_q, live_x = live_q[keep], live_x[keep]
-            keep = ids[live_q] != vec_id[rows[live_x]]
-            live_q, live_x = live_q[keep], live_x[keep]
+                top = products(qm[s:s + QUERY_STEP], xm[rows], live) + products(qd[s:s + QUERY_STEP], xd[rows], live)
+                keep = top + 1e-9 * np.abs(top) + 1 >= floor[live[0]]
+                live = live[0][keep], live[1][keep]
+            keep = ids[live[0]] != vec_id[rows[live[1]]]
+            live_q, live_x = live[0][keep], live[1][keep]
             if not len(live_q):
                 continue
-            score = np.empty(len(live_q), np.int64)
-            for t in range(0, len(live_q), 1 << 17):
-                score[t:t + (1 << 17)] = exact_scores(vectors[live_q[t:t + (1 << 17)]], x[rows[live_x[t:t + (1 << 17)]]])
+            score = exact_scores(vectors, x[rows], (live_q, live_x))
+            enough = score >= floor[live_q]
+            live_q, live_x, score = live_q[enough], live_x[enough], score[enough]
             cut = np.searchsorted(live_q, np.arange(len(ids) + 1))
             for i in np.unique(live_q):
                 v = np.concatenate([best[i][0], vec_id[rows[live_x[cut[i]:cut[i + 1]]]]])
@@ -92,7 +99,7 @@ def best_of_cell(query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, x: np.
 
 
 def top_inner_products(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024,
-                       query_block: int = 16384, row_block: int = 65536) -> DataFrame:
+                       query_block: int = 16384, row_block: int = 16384) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of `vectors(vec_id, embedding)` where `queries` holds, its k best others.
 
     Rows with a null id, a null vector, or a null or non-finite component take no part; vectors of different lengths
