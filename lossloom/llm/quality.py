@@ -12,6 +12,7 @@ from lossloom.llm.common import words
 from lossloom.session import materialise
 
 SYMBOLS = r"[#*$%&|<>]"
+MAX_BITMAPS = 8192  # 32 MB
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -93,6 +94,23 @@ def ratios(counts: DataFrame, buckets: int) -> Column:
     return F.lit([math.log((b + 1) / target) - math.log((a + 1) / raw) for a, b in pairs])
 
 
+def mark_targets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`docs(doc_id, text)` with target 1 where the id is in `ids(doc_id)`, else null; texts are not shuffled.
+
+    The ids become bitmaps of 32,768 ids, 4 KB each, which are broadcast after their number is counted. Ids spread over more
+    than MAX_BITMAPS of them are joined as they are.
+    """
+    bucket = F.bitmap_bucket_number("doc_id")
+    ids = ids.filter("doc_id is not null")
+    if ids.select(bucket.alias("b")).distinct().limit(MAX_BITMAPS + 1).count() > MAX_BITMAPS:
+        return docs.join(ids.distinct().withColumn("target", F.lit(1)), "doc_id", "left")
+    maps = F.broadcast(ids.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("bits")))
+    place = F.bitmap_bit_position("doc_id").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+    return docs.join(maps, bucket == F.col("b"), "left").select("doc_id", "text", F.when(hit, 1).alias("target"))
+
+
 def score_quality(docs: DataFrame, target_ids: DataFrame, buckets: int = 8192, threshold: float = -0.06,
                   min_words: int = 50, most_repeated: int = 50) -> DataFrame:
     """Base rules, score and verdict for every row of `docs(doc_id, text)`.
@@ -103,8 +121,7 @@ def score_quality(docs: DataFrame, target_ids: DataFrame, buckets: int = 8192, t
     reaches `threshold`. The verdict depends on the row and the counts alone, so equal texts get equal verdicts.
     A null or empty text has no words, score null, and fails the base rules. Null ids are no target.
     """
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(1)), "doc_id", "left")
+    marked = mark_targets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), target_ids.select(F.col("doc_id").cast("long").alias("doc_id")))
     counts = marked.select(F.explode(grams(words(F.lower("text")), buckets)).alias("bucket"), "target").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.count("target").alias("n_target"))
     ratio = ratios(materialise(counts), buckets)
