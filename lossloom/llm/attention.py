@@ -92,6 +92,13 @@ def class_scores(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, bef
     return out
 
 
+def row_sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """(rows, width) sums of the rows of `values` that have each number."""
+    width = values.shape[1]
+    cell = at[:, None] * width + np.arange(width)
+    return np.bincount(cell.reshape(-1), values.reshape(-1), rows * width).reshape(rows, width).astype(np.float32)
+
+
 def gradient(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the weighted positions and its gradient."""
     own, q, k, v, a, o, h, y = forward(m, x, prior)
@@ -107,16 +114,14 @@ def gradient(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, target:
     g = {"u": h.T @ p, "c": p.sum(0)}
     dh = (p @ m["u"].T) * (h > 0)
     g["b"], g["o"] = dh.sum(0), o.T @ dh
-    g["r"] = np.zeros_like(m["r"])
-    np.add.at(g["r"], own.reshape(-1), dh)
+    g["r"] = row_sums(len(m["r"]), own.reshape(-1), dh)
     do = (dh @ m["o"].T).reshape(len(x), HALF, VALUE)
     da = np.matmul(do, v.transpose(0, 2, 1))
     dv = np.matmul(a.transpose(0, 2, 1), do)
     ds = a * (da - (da * a).sum(2, keepdims=True))
     g["gap"] = np.bincount(GAP.reshape(-1), ds.sum(0).reshape(-1), SPAN).astype(np.float32)
     for name, at, d, width in (("q", own, np.matmul(ds, k), KEY), ("k", x, np.matmul(ds.transpose(0, 2, 1), q), KEY), ("v", x, dv, VALUE)):
-        g[name] = np.zeros_like(m[name])
-        np.add.at(g[name], at.reshape(-1), d.reshape(-1, width))
+        g[name] = row_sums(len(m[name]), at.reshape(-1), d.reshape(-1, width))
     return loss, g
 
 

@@ -21,11 +21,15 @@ END_WORD = b"\n"  # no word holds a line feed
 FLUSH = 200_000
 HEAD = 100_000
 INPUTS, CLASSES, SINGLE = 1024, 64, 48
-FREQUENT = 2048  # ids that are counted after each symbol
+FREQUENT = 2048  # ids whose counts after each symbol are looked up in a dense table, those of the others by search
 ALPHA = 2.0
-SEGMENT = 200  # characters of each training text that the attention model learns from
+PIECE = 512  # ids of a training text that are dealt to a task together, a multiple of HALF
+CONTEXT = HALF + 1  # ids before a later piece that its first windows see
 WORKERS, ROUNDS = 12, 3
-WARM_DOCS = 4000
+WORKER_IDS = 4_000_000  # ids that one task learns from in a round, until there are MOST_WORKERS tasks
+MOST_WORKERS = 256
+WARM_PIECES = 1000
+LEARN_IDS = 1 << 19  # ids whose windows are held and shuffled together
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -88,14 +92,25 @@ class Symbols:
             (np.log2(self.rank - np.minimum(self.rank, own) + 1) * 1.5).astype(int), 23)).astype(np.int32) + 2
         self.before = np.where(ends, BEGIN, self.symbol).astype(np.int32)
         self.frequent = order[:FREQUENT]
-        self.follow(np.zeros((INPUTS, FREQUENT), np.int64))
+        self.follow(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def follow(self, pairs: np.ndarray) -> None:
-        """Take in how often each frequent id (column, by rank) comes after each symbol (row)."""
-        kind = self.of_class[self.frequent]
+    def follow(self, cells: np.ndarray, n: np.ndarray) -> None:
+        """Take in how often ids come after symbols: counts `n` of distinct cells symbol * (number of ids) + id."""
+        size = len(self.of_class)
+        before, target = cells // size, cells % size
         by_class = np.zeros((INPUTS, CLASSES))
-        np.add.at(by_class.T, kind, pairs.T)
+        np.add.at(by_class, (before, self.of_class[target]), n)
+        rank = self.rank[target]
+        often = rank < FREQUENT
+        pairs = np.zeros((INPUTS, len(self.frequent)))
+        pairs[before[often], rank[often]] = n[often]
+        kind = self.of_class[self.frequent]
         self.inside = np.log((pairs + ALPHA * self.share[self.frequent]) / (by_class[:, kind] + ALPHA)).astype(np.float32)
+        before, target, n = before[~often], target[~often], n[~often]
+        order = np.argsort(cells[~often])
+        self.rare = cells[~often][order].astype(np.int32)
+        found = np.log((n + ALPHA * self.share[target]) / (by_class[before, self.of_class[target]] + ALPHA))
+        self.rare_inside = found[order].astype(np.float32)
         self.unseen = np.log(ALPHA / (by_class + ALPHA)).astype(np.float32)
         after = (by_class + ALPHA * self.mass) / (by_class.sum(1, keepdims=True) + ALPHA)
         self.prior = (1 + np.log(after) / 16).astype(np.float32)
@@ -103,10 +118,16 @@ class Symbols:
     def inside_class(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of ids inside their class after symbols."""
         rank = self.rank[target]
-        out = self.inside[before, np.minimum(rank, FREQUENT - 1)]
+        out = self.inside[before, np.minimum(rank, len(self.frequent) - 1)]
         rare = rank >= FREQUENT
         if rare.any():
-            out[rare] = self.unseen[before[rare], self.of_class[target[rare]]] + np.log(self.share[target[rare]])
+            left, right = before[rare], target[rare]
+            value = self.unseen[left, self.of_class[right]] + np.log(self.share[right])
+            if len(self.rare):
+                cell = left.astype(np.int32) * np.int32(len(self.of_class)) + right.astype(np.int32)
+                at = np.minimum(np.searchsorted(self.rare, cell), len(self.rare) - 1)
+                value = np.where(self.rare[at] == cell, self.rare_inside[at], value)
+            out[rare] = value
         return out
 
 
@@ -137,13 +158,29 @@ class TextScorer:
             flags[at:at + len(i)] = 1
         return x, before, target, weight, counts
 
-    def learn(self, adam: attention.Adam, texts: list[bytes], passes: int = 1) -> int:
-        """Adam steps over the windows of texts, in order."""
-        x, before, target, weight, _ = self.examples(self.ids(texts))
+    def lessons(self, pieces: list[np.ndarray], inner: list[bool]) -> tuple[np.ndarray, ...]:
+        """examples() of pieces of texts; an inner piece begins with CONTEXT ids that are seen and not learned."""
+        first, later = ([p for p, k in zip(pieces, inner) if k == kind] for kind in (False, True))
+        parts = [self.examples(first)[:-1]] if first else []
+        if later:
+            # The id before a context's own HALF symbols takes the place of BEGIN, and the context's window is left out.
+            x, before, target, weight, counts = self.examples([p[1:] for p in later])
+            begin = np.cumsum(counts) - counts
+            x[begin, HALF] = [self.symbols.symbol[p[0]] for p in later]
+            x[begin + 1, 0] = x[begin, HALF]
+            keep = np.ones(len(x), bool)
+            keep[begin] = False
+            parts.append((x[keep], before[keep], target[keep], weight[keep]))
+        return tuple(np.concatenate(column) for column in zip(*parts))
+
+    def learn(self, adam: attention.Adam, pieces: list[np.ndarray], inner: list[bool], passes: int = 1) -> int:
+        """Adam steps over all windows of pieces of texts, in an order that depends on their number alone."""
+        x, before, target, weight = self.lessons(pieces, inner)
         kind = self.symbols.of_class[target]
+        order = np.random.default_rng(len(x)).permutation(len(x))
         for _ in range(passes):
             for s in range(0, len(x), 256):
-                part = slice(s, s + 256)
+                part = order[s:s + 256]
                 prior = self.symbols.prior[before[part].reshape(-1)]
                 adam.update(attention.gradient(adam.model, x[part], prior, kind[part], weight[part])[1])
         return len(x)
@@ -177,7 +214,10 @@ def word_ends(spark: SparkSession, vocabulary: str) -> np.ndarray:
 
 
 def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
-    """Symbols from the counts of ids, and of ids after symbols, over all training texts, by way of the counts of their words."""
+    """Symbols from the counts of ids, and of all ids after symbols, over all training texts, by way of the counts of their words.
+
+    The pairs that occur reach the driver: their number grows with the corpus, up to INPUTS times the ids of the vocabulary.
+    """
 
     def make_ids():
         scorer = TextScorer(vocabulary)
@@ -193,65 +233,108 @@ def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
 
     encoded = materialise(arrow_pass(counts, "ids binary, n long", make_ids))
 
-    def tally(key, size: int) -> np.ndarray:
+    def tally(key) -> tuple[np.ndarray, np.ndarray]:
         def make():
-            total = np.zeros(size, np.int64)
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def fold_held() -> tuple[np.ndarray, np.ndarray]:
+                cell, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+                total = np.zeros(len(cell), np.int64)
+                np.add.at(total, at, np.concatenate([n for _, n in held]))
+                return cell, total
 
             def step(batch: dict) -> dict | None:
                 if batch:
                     sizes = np.array([len(i) // 2 for i in batch["ids"]])
                     first = np.zeros(int(sizes.sum()), bool)
                     first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-                    cell, keep = key(np.frombuffer(b"".join(batch["ids"]), "<u2").astype(np.int64), first)
-                    np.add.at(total, cell[keep], np.repeat(np.array(batch["n"]), sizes)[keep])
+                    held.append((key(np.frombuffer(b"".join(batch["ids"]), "<u2").astype(np.int64), first), np.repeat(np.array(batch["n"], np.int64), sizes)))
+                    if sum(len(c) for c, _ in held) > 2 * len(held[0][0]) + FLUSH:
+                        held[:] = [fold_held()]
+                    return None
+                if not held:
                     return None
-                at = np.flatnonzero(total)
-                return {"cell": at.tolist(), "n": total[at].tolist()}
+                cell, total = fold_held()
+                return {"cell": cell.tolist(), "n": total.tolist()}
 
             return step
 
         # At most one row for each cell of a table of fixed size.
-        out = np.zeros(size, np.int64)
         found = arrow_pass(encoded, "cell int, n long", make).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-        out[found["cell"].to_numpy()] = found["n"].to_numpy()
-        return out
+        return found["cell"].to_numpy().astype(np.int64), found["n"].to_numpy()
 
     ends = word_ends(counts.sparkSession, vocabulary)
-    symbols = Symbols(tally(lambda ids, first: (ids, slice(None)), len(ends)), ends)
-    symbol, ranks = symbols.before, symbols.rank
+    single = np.zeros(len(ends), np.int64)
+    cell, n = tally(lambda ids, first: ids)
+    single[cell] = n
+    symbols = Symbols(single, ends)
+    symbol, size = symbols.before, len(ends)
 
-    def pair(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        before = np.where(first, BEGIN, symbol[np.r_[0, ids[:-1]]])
-        rank = ranks[ids]
-        return before.astype(np.int64) * FREQUENT + rank, rank < FREQUENT
+    def pair(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return np.where(first, BEGIN, symbol[np.r_[0, ids[:-1]]]).astype(np.int64) * size + ids
 
-    symbols.follow(tally(pair, INPUTS * FREQUENT).reshape(INPUTS, FREQUENT))
+    symbols.follow(*tally(pair))
     return symbols
 
 
+def text_pieces(texts: DataFrame, vocabulary: str) -> DataFrame:
+    """(draw, place, ids binary) of `texts(draw, text)`: all ids of every text and its end, PIECE at a time.
+
+    Pieces after the first (place 0) begin with the CONTEXT ids before them, so the windows of all pieces are those of the
+    whole text.
+    """
+
+    def make():
+        scorer = TextScorer(vocabulary)
+
+        def step(batch: dict) -> dict | None:
+            if not batch:
+                return None
+            out: dict[str, list] = {"draw": [], "place": [], "ids": []}
+            for draw, ids in zip(batch["draw"], scorer.ids(batch["text"])):
+                for at in range(0, len(ids), PIECE):
+                    out["draw"].append(draw)
+                    out["place"].append(at // PIECE)
+                    out["ids"].append(ids[max(0, at - CONTEXT):at + PIECE].astype("<u2").tobytes())
+            return out
+
+        return step
+
+    return arrow_pass(texts.select("draw", F.col("text").cast("binary").alias("text")), "draw long, place int, ids binary", make)
+
+
 def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.ndarray]:
-    """Attention model from a segment of every training text.
+    """Attention model from all windows of all training texts.
 
-    A bounded sample gives the start; then WORKERS tasks share all segments for ROUNDS rounds, each a share of them, and the mean
-    of their models, weighted by windows, begins the next round. What reaches the driver is WORKERS models.
+    A bounded sample gives the start; then tasks share the pieces of all texts for ROUNDS rounds, each round a share of them, and
+    the mean of their models, weighted by windows, begins the next round. What reaches the driver is one model a task.
     """
-    length = F.char_length("text")
-    cut = texts.select("draw", F.substring("text", F.pmod(F.col("draw"), F.greatest(length - F.lit(SEGMENT), F.lit(1))).cast("int") + 1, F.lit(SEGMENT)).alias("text"))
-    segments = materialise(cut.select("draw", F.col("text").cast("binary").alias("text")))
+    pieces = materialise(text_pieces(texts, vocabulary))
     spark = texts.sparkSession
+    total = pieces.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
+    workers = int(min(max(WORKERS, -(-total // (ROUNDS * WORKER_IDS))), MOST_WORKERS))
 
     def learner(shared, rate: float, passes: int):
         def make():
             symbols, own = pickle.loads(shared.value)
             scorer = TextScorer(vocabulary, symbols)
             adam = attention.Adam(own, rate)
-            seen, held = [0], []
+            seen, size = [0], [0]
+            held: list[tuple[np.ndarray, bool]] = []
+
+            def flush() -> None:
+                seen[0] += scorer.learn(adam, *map(list, zip(*held)), passes)
+                held.clear()
+                size[0] = 0
 
             def step(batch: dict) -> dict | None:
-                held.extend(batch.get("text", ()))
-                if held and (not batch or len(held) >= WARM_DOCS):
-                    seen[0] += scorer.learn(adam, held, passes)
-                    held.clear()
+                for place, ids in zip(batch.get("place", ()), batch.get("ids", ())):
+                    held.append((np.frombuffer(ids, "<u2").astype(np.int32), place > 0))
+                    size[0] += len(held[-1][0])
+                    if size[0] >= LEARN_IDS:
+                        flush()
+                if held and not batch:
+                    flush()
                 return None if batch else {"model": [pickle.dumps(own)], "n": [seen[0]]}
 
             return step
@@ -260,17 +343,20 @@ def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.n
 
     def trained(part: DataFrame, model: dict, rate: float, passes: int) -> dict:
         shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
-        rows = arrow_pass(part.select("text"), "model binary, n long", learner(shared, rate, passes)).filter("n > 0").collect()
+        rows = arrow_pass(part.select("place", "ids"), "model binary, n long", learner(shared, rate, passes)).filter("n > 0").collect()
         shared.unpersist()
         models = [(pickle.loads(row["model"]), row["n"]) for row in sorted(rows, key=lambda row: bytes(row["model"]))]
         total = sum(n for _, n in models)
         return {k: sum(np.float32(n / total) * m[k] for m, n in models) for k in model} if total else model
 
-    begin = segments.orderBy("draw", "text").limit(WARM_DOCS).coalesce(1)
+    def spread(seed: int):
+        return F.xxhash64("draw", "place", "ids", F.lit(seed))
+
+    begin = pieces.orderBy(spread(4), "ids").limit(WARM_PIECES).coalesce(1)
     model = trained(begin, attention.new_model(INPUTS, CLASSES), 0.005, 3)
-    turn = F.pmod(F.xxhash64("draw", F.lit(2)), F.lit(ROUNDS))
+    turn = F.pmod(spread(2), F.lit(ROUNDS))
     for r in range(ROUNDS):
-        part = segments.filter(turn == r).repartition(WORKERS, F.xxhash64("draw", F.lit(3))).sortWithinPartitions("draw", "text").select("text")
+        part = pieces.filter(turn == r).repartition(workers, spread(3)).sortWithinPartitions(spread(1), "ids").select("place", "ids")
         model = trained(part, model, 0.003 / (r + 1), 1)
     return model
 

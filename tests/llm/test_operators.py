@@ -344,6 +344,40 @@ def test_lm_scores(spark, docs, texts):
     assert scoring.score_texts(empty(spark)).count() == 0
 
 
+def test_lm_learns_from_all_windows_of_whole_texts(spark):
+    rng = random.Random(5)
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["", "one", *(" ".join(rng.choice(["claims", "paragraph", "zyx", "of", "unthinkable"]) for _ in range(n)) for n in (30, 400, 3_000))]
+    counts = scoring.count_words(spark.createDataFrame([(t.encode(),) for t in texts], "text binary"))
+    scorer = scoring.TextScorer(vocabulary, scoring.id_counts(counts, vocabulary))
+    rows = scoring.text_pieces(spark.createDataFrame(list(enumerate(texts)), "draw long, text string"), vocabulary).collect()
+    whole = scorer.ids([t.encode() for t in texts])
+    assert len(rows) == sum(-(-len(i) // scoring.PIECE) for i in whole) and len(whole[-1]) > 2 * scoring.PIECE
+    ids = [np.frombuffer(r["ids"], "<u2").astype(np.int32) for r in rows]
+    assert sum(int((i == scorer.end).sum()) for i in ids) == len(texts)
+
+    def bag(columns):
+        return Counter(b"".join(c[k].tobytes() for c in columns) for k in range(len(columns[0])))
+
+    # Target and symbol before count where a position is scored.
+    x, before, target, weight, _ = scorer.examples(whole)
+    own = scorer.lessons(ids, [r["place"] > 0 for r in rows])
+    assert bag([x, before, target, weight]) == bag(own) and int(own[3].sum()) == sum(map(len, whole))
+
+
+def test_lm_pairs_of_rare_ids_are_counted():
+    size = scoring.FREQUENT + 500
+    symbols = scoring.Symbols(np.arange(size, 0, -1), np.zeros(size, bool))
+    rare, mate = size - 1, size - 2
+    assert symbols.rank[rare] >= scoring.FREQUENT and symbols.of_class[rare] == symbols.of_class[mate]
+    symbols.follow(np.array([5 * size + rare, 9 * size + 3, 5 * size + mate]), np.array([40, 7, 2]))
+    after = symbols.inside_class(np.full(size, 5), np.arange(size))
+    assert np.allclose(np.bincount(symbols.of_class, np.exp(after), scoring.CLASSES), 1, atol=1e-4)
+    share = symbols.share[rare]
+    assert abs(math.exp(after[rare]) - (40 + scoring.ALPHA * share) / (42 + scoring.ALPHA)) < 1e-5
+    assert symbols.prior[5, symbols.of_class[rare]] == symbols.prior[5].max()
+
+
 def test_attention_is_causal_normalised_and_has_the_right_gradient():
     rng = np.random.default_rng(0)
     model = attention.new_model(50, 12)
