@@ -140,6 +140,21 @@ def verified_edges(distinct: DataFrame, docs: DataFrame, threshold: float, block
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256) -> DataFrame:
+    """(doc_id, component binary) for every row of `docs(doc_id, text)`, whose ids must be unique and not null.
+
+    Whole texts are compared as drop_repeated() compares lines: by their sets of five-word shingles in lower case (A to Z). Texts linked
+    by Jaccard `threshold` or more have one component; null and empty texts and those without a word are equal.
+    """
+    # A line feed separates words like a blank, so a text is one line of the same words.
+    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("text_hash"), F.translate("text", "\n", " ").alias("text"))
+    lines = materialise(paragraph_rows(keys, 0))
+    distinct = materialise(lines.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "place")).alias("rep"), F.first("bands").alias("bands")))
+    linked = components(verified_edges(distinct, keys, threshold, block_rows))
+    return lines.select("doc_id", "digest").join(linked, F.col("digest") == linked["node"], "left").select(
+        "doc_id", F.coalesce("component", "digest").alias("component"))
+
+
 def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_WORDS, block_rows: int = 512) -> DataFrame:
     """Columns of `docs(doc_id, text, ...)` with the repeated paragraphs taken out of `text`, and what was found.
 

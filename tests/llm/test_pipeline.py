@@ -1,5 +1,6 @@
 """Stages of the corpus pipeline on the given tables."""
 
+import random
 from collections import Counter
 
 from conftest import SF_DIR
@@ -28,3 +29,28 @@ def test_stages_follow_each_other(spark):
         length[r["doc_id"]] += r["length"]
     assert length == Counter({k: n * whole[k] for k, n in copies.items()})
     assert first.count() >= len(copies)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_duplicates_reach_jaccard_and_keep_unrelated_rows(spark):
+    rng = random.Random(4)
+
+    def text(n):
+        return [f"w{rng.randrange(10_000)}" for _ in range(n)]
+
+    base, lone = text(400), [" ".join(text(80)) for _ in range(5)]
+    near = list(base)
+    for k in (50, 130, 210, 290):
+        near[k] = "other"
+    near[60:60] = ["added\nhere"]
+    far = base[:200] + text(200)
+    a, b = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (base, " ".join(near).split()))
+    assert len(a & b) >= 0.8 * len(a | b)
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (None, lone[0]), (None, lone[1]), (7, lone[2]), (7, lone[3]), (None, lone[4]), (9, lone[4])]
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), SF_DIR).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([rows[k] for k in (0, 2, 3, 4, 5, 6, 8)])
+    fps = [simhash.fingerprint(t.encode()) for _, t in rows[:2]]
+    assert bin((fps[0] ^ fps[1]) & (1 << 64) - 1).count("1") > 4  # beyond the radius of op6
