@@ -92,16 +92,17 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return taken
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of `docs(doc_id, text, source)`.
 
     A source is taken whole as often as its target holds it; for the rest of its budget the number of documents of each
     length is fitted, and documents of that length are chosen in the order of a seeded hash of their id. A null text has
     size 0 and is taken with 0 words; a null source is a source; rows with one id and length are chosen in any order
-    among themselves. `taken` counts words with repeats and never exceeds `most` times the size. An empty table gives none.
+    among themselves, or in that of the columns `carry`, which are given out too. `taken` counts words with repeats and never exceeds
+    `most` times the size. An empty table gives none.
     """
     sized = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                                    word_count(F.col("text")).alias("size"))
+                                    word_count(F.col("text")).alias("size"), *carry)
                         .withColumn("draw", F.xxhash64(F.lit(seed), F.col("doc_id")))
                         .withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)).cast("int")))
     counted = materialise(sized.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")))
@@ -125,9 +126,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     begun = counted.withColumn("below", F.coalesce(F.sum("n").over(below), F.lit(0)))
     limits = materialise(begun.join(plan, begun["source"].eqNullSafe(plan["source"]) & (begun["size"] == plan["size"])).select(
         begun["source"], begun["size"], "bucket", (F.col("extra") - F.col("below")).alias("room"), "rounds", "source_size", "target"))
-    place = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id", *carry))
     placed = sized.withColumn("place", place).alias("d").join(
         limits.alias("l"), F.col("d.source").eqNullSafe(F.col("l.source")) & (F.col("d.size") == F.col("l.size")) & (F.col("d.bucket") == F.col("l.bucket")))
     times = F.col("rounds") + F.when(F.col("place") <= F.col("room"), 1).otherwise(0)
     return placed.select("doc_id", F.col("d.size").alias("size"), "source_size", "target", (times * F.col("d.size")).alias("taken"),
-                         F.col("d.source").alias("source"), times.cast("int").alias("times"))
+                         F.col("d.source").alias("source"), times.cast("int").alias("times"), *(F.col(f"d.{c}") for c in carry))

@@ -54,3 +54,11 @@ def test_near_duplicates_reach_jaccard_and_keep_unrelated_rows(spark):
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([rows[k] for k in (0, 2, 3, 4, 5, 6, 8)])
     fps = [simhash.fingerprint(t.encode()) for _, t in rows[:2]]
     assert bin((fps[0] ^ fps[1]) & (1 << 64) - 1).count("1") > 4  # beyond the radius of op6
+
+
+def test_mix_takes_rows_without_or_with_repeated_ids(spark):
+    rows = [(None, "a b c"), (None, "d e f g"), (5, "h i"), (5, "j k l m n"), (5, "o"), (6, "p q r s t u")]
+    docs = frame(spark, rows)
+    got = corpus_pipeline.mix_sources(spark, docs, SF_DIR).collect()
+    # One source: its target is its size, so every row is taken once.
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
