@@ -38,9 +38,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take so that their words come as near to `budget` from below as the fit finds.
 
-    Every length first gives its share of the budget, rounded down, and long documents fill the rest down to
-    PLAN_WORDS; the bounded knapsack over the remaining counts then finds the largest reachable sum.
+    The lengths first give their shares of the budget, what rounding leaves going to the next shorter length, and long documents
+    fill the rest down to PLAN_WORDS; the bounded knapsack over the remaining counts then finds the largest reachable sum.
+    Where that misses the budget, long documents are also tried first with all of it, and the better of both is kept.
     """
+    first = fill_budget(lengths, counts, budget, True)
+    if int((lengths * first).sum()) >= min(budget, int((lengths * counts).sum())):
+        return first
+    other = fill_budget(lengths, counts, budget, False)
+    return other if int((lengths * other).sum()) > int((lengths * first).sum()) else first
+
+
+def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, shared: bool) -> np.ndarray:
+    """One try of fit_counts(): with the lengths' shares first, or with the longest documents that fit."""
     taken = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
@@ -48,13 +58,16 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     if budget >= total:
         return counts.copy()
     order = np.argsort(-lengths, kind="stable")
-    if budget > PLAN_WORDS:
-        taken = np.array([int(c) * (budget - PLAN_WORDS // 2) // total for c in counts], np.int64)
+    reserve = PLAN_WORDS // 2 if shared else 0
+    if shared and budget > PLAN_WORDS:
+        # From long to short, running counts rounded down never hold more words than the exact shares.
+        running = [int(c) * (budget - reserve) // total for c in np.cumsum(counts[order])]
+        taken[order] = np.diff(running, prepend=0)
     left = budget - int((lengths * taken).sum())
     for i in order:
         if left <= PLAN_WORDS:
             break
-        n = min(int(counts[i] - taken[i]), max(0, left - PLAN_WORDS // 2) // max(1, int(lengths[i])))
+        n = min(int(counts[i] - taken[i]), max(0, left - reserve) // max(1, int(lengths[i])))
         taken[i] += n
         left -= n * int(lengths[i])
     width = min(left, PLAN_WORDS) + 1

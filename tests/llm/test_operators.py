@@ -344,6 +344,15 @@ def test_lm_scores(spark, docs, texts):
     assert scoring.score_texts(empty(spark)).count() == 0
 
 
+def test_mix_fits_long_documents_and_spreads_lengths_that_occur_once():
+    taken = mixing.fit_counts(np.array([5_000, 140_000]), np.array([20, 1]), 150_000)
+    assert taken.tolist() == [2, 1]
+    lengths = np.arange(1_000, 3_000)
+    taken = mixing.fit_counts(lengths, np.ones(2_000, np.int64), 2_000_000)
+    assert int((lengths * taken).sum()) == 2_000_000 and taken.max() == 1
+    assert 0.4 < taken[:1_000].sum() / taken.sum() < 0.6
+
+
 def test_lm_learns_from_all_windows_of_whole_texts(spark):
     rng = random.Random(5)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
