@@ -117,9 +117,14 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def shingles_of(data: bytes) -> np.ndarray:
+            return np.unique(shingle_hashes(unpack(data) if data else b""))
+
         now, kept = None, []
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, 2_000_000):
                 left, right = [], []
                 for cell, held, node, component, sketch, text in zip(*(c.to_pylist() for c in batch.columns)):
                     if cell != now:
@@ -128,9 +133,9 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
                     for k, (other, other_component, other_sketch, shingles) in enumerate(kept):
                         if other_component in linked or other == node or not close_sketches(sketch, other_sketch):
                             continue
-                        own = np.unique(shingle_hashes(text)) if own is None else own
+                        own = shingles_of(text) if own is None else own
                         if isinstance(shingles, bytes):
-                            shingles = np.unique(shingle_hashes(shingles))
+                            shingles = shingles_of(shingles)
                             kept[k] = (other, other_component, other_sketch, shingles)
                         if jaccard(own, shingles) >= threshold:
                             left.append(node)
@@ -144,13 +149,26 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def texts_of(nodes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, sketch, text) of the given nodes: one text each, by the id and hash of the least row that has it."""
-    least = found.join(nodes, found["digest"] == nodes["node"], "left_semi").groupBy("digest").agg(
-        F.min(F.struct("text_hash", "doc_id")).alias("row"), F.first("sketch").alias("sketch"))
-    wanted = materialise(least.select(F.col("digest").alias("node"), "sketch", F.col("row.doc_id").alias("id"), F.col("row.text_hash").alias("hash")))
-    rows = with_text_hash(docs)
-    met = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_hash"] == wanted["hash"]))
-    return materialise(met.groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("text").alias("text")))
+    """(node, sketch, text) of the given nodes, texts compressed: one each, by the id and hash of the least row that has it."""
+    rows = found.join(nodes, found["digest"] == nodes["node"], "left_semi").groupBy("digest", "doc_id", "text_hash").agg(
+        F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    least = rows.groupBy("digest").agg(F.min_by(F.struct("text_hash", "doc_id", "sketch", "n"), F.struct("text_hash", "doc_id")).alias("row"))
+    wanted = materialise(least.select(F.col("digest").alias("node"), F.col("row.doc_id").alias("id"), F.col("row.text_hash").alias("hash"),
+                                      "row.sketch", "row.n"))
+    docs = with_text_hash(docs)
+    met = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"]) & (docs["text_hash"] == wanted["hash"])).select("node", "sketch", "n", "text")
+
+    def make():
+        pack = zstandard.ZstdCompressor(level=1).compress
+
+        def step(batch: dict) -> dict | None:
+            return {**batch, "text": [pack(t) for t in batch["text"]]} if batch else None
+
+        return step
+
+    packed = materialise(arrow_pass(met, "node long, sketch binary, n long, text binary", make))
+    single, repeated = packed.filter("n = 1").drop("n"), packed.filter("n > 1")
+    return single.unionByName(repeated.groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("text").alias("text")))
 
 
 def copies(docs: DataFrame, found: DataFrame, threshold: float = 0.8, block_rows: int = 256) -> DataFrame:
@@ -230,6 +248,9 @@ def order_key(doc_id: int | None, text_hash: int) -> tuple:
     return (1, 0, text_hash) if doc_id is None else (0, -doc_id, text_hash)
 
 
+DEALT = "part int, follows boolean, doc_id long, text_hash long, data binary, component_id long, class_rows long"
+
+
 def dealt_rows(docs: DataFrame, starts: list[tuple]) -> DataFrame:
     """Rows with their part, texts compressed; the first row of a part also follows the part before (the first of all the last)."""
     parts = len(starts)
@@ -241,7 +262,7 @@ def dealt_rows(docs: DataFrame, starts: list[tuple]) -> DataFrame:
         def step(batch: dict) -> dict | None:
             if not batch:
                 return None
-            out: dict[str, list] = {c: [] for c in ("part", "follows", "doc_id", "text_hash", "data")}
+            rows: list[tuple] = []
             for doc_id, text, text_hash in zip(batch["doc_id"], batch["text"], batch["text_hash"]):
                 key = order_key(doc_id, text_hash)
                 low, high = bisect_left(starts, key), bisect_right(starts, key)
@@ -253,16 +274,33 @@ def dealt_rows(docs: DataFrame, starts: list[tuple]) -> DataFrame:
                     # The first of equal rows of a task goes to the last part, so that one surely meets the next text.
                     part -= seen % (high - low)
                     if not seen:
-                        for p in range(low, high):
-                            for column, value in zip(out.values(), ((p - 1) % parts, True, doc_id, text_hash, data)):
-                                column.append(value)
-                for column, value in zip(out.values(), (part, False, doc_id, text_hash, data)):
-                    column.append(value)
-            return out
+                        rows += [((p - 1) % parts, True, doc_id, text_hash, data) for p in range(low, high)]
+                rows.append((part, False, doc_id, text_hash, data))
+            return dict(zip(("part", "follows", "doc_id", "text_hash", "data"), zip(*rows)))
 
         return step
 
-    return arrow_pass(with_text_hash(docs), "part int, follows boolean, doc_id long, text_hash long, data binary", make)
+    dealt = arrow_pass(with_text_hash(docs), DEALT.rsplit(", ", 2)[0], make)
+    return dealt.select("*", F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("class_rows"))
+
+
+def dealt_classes(groups: DataFrame, starts: list[tuple]) -> DataFrame:
+    """Rows of classes() for every part that may hold their texts, so that texts and classes meet by one order and no join."""
+
+    def make():
+        def step(batch: dict) -> dict | None:
+            if not batch:
+                return None
+            rows: list[tuple] = []
+            for doc_id, text_hash, component, size in zip(*(batch[c] for c in ("doc_id", "text_hash", "component_id", "class_rows"))):
+                key = order_key(doc_id, text_hash)
+                low, high = bisect_left(starts, key), bisect_right(starts, key)
+                rows += [(p, False, doc_id, text_hash, None, component, size) for p in range(min(low, high - 1), high)]
+            return dict(zip(("part", "follows", "doc_id", "text_hash", "data", "component_id", "class_rows"), zip(*rows)))
+
+        return step
+
+    return arrow_pass(groups.select("doc_id", "text_hash", "component_id", "class_rows"), DEALT, make)
 
 
 def edited_text(text: bytes, n: int, following: bytes, following_n: int) -> bytes:
@@ -271,8 +309,8 @@ def edited_text(text: bytes, n: int, following: bytes, following_n: int) -> byte
     return text[:byte_of(text, n - half)] + following[:byte_of(following, min(half, following_n))]
 
 
-RESULT = ("doc_id long, text_hash long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-          "near_edited double, near_next double")
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+          "component_id long, class_rows long")
 
 
 def fingerprinted(dealt: DataFrame, parts: int) -> DataFrame:
@@ -281,27 +319,32 @@ def fingerprinted(dealt: DataFrame, parts: int) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(target)
-    order = ["part", "follows", F.desc_nulls_last("doc_id"), "text_hash", "data"]
+    # A class row has no data and so comes just before the texts that it belongs to.
+    order = ["part", "follows", F.desc_nulls_last("doc_id"), "text_hash", F.asc_nulls_first("data")]
     ordered = dealt.repartition(parts, "part").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        held = None
+        held = group = None
         for whole in batches:
             for batch in slices(whole, 2_000_000):
                 out: list[tuple] = []
-                for part, follows, doc_id, text_hash, data in zip(*(c.to_pylist() for c in batch.columns)):
+                for part, follows, doc_id, text_hash, data, component, size in zip(*(c.to_pylist() for c in batch.columns)):
+                    if data is None:
+                        group = (doc_id, text_hash, component, size)
+                        continue
                     if follows and held is None:
                         continue
-                    text = unpack(data) if data else b""
+                    text = unpack(data)
                     least, n = minima(shingle_hashes(text)), count_units(text)
                     if held is not None:
-                        own_id, own_hash, own, own_n, own_least = held
+                        own_id, own, own_n, own_least, own_group = held
                         edited = edited_text(own, own_n, text, n)
                         new = minima(shingle_hashes(edited))
-                        out.append((own_id, own_hash, own_n, sha256(edited).hexdigest(), fingerprint(own_least), fingerprint(new),
-                                    likeness(own_least, new), likeness(own_least, least)))
-                    held = None if follows else (doc_id, text_hash, text, n, least)
+                        out.append((own_id, own_n, sha256(edited).hexdigest(), fingerprint(own_least), fingerprint(new),
+                                    likeness(own_least, new), likeness(own_least, least), *own_group))
+                    mine = group[2:] if group is not None and group[:2] == (doc_id, text_hash) else (doc_id, 1)
+                    held = None if follows else (doc_id, text, n, least, mine)
                 if out:
                     yield pa.RecordBatch.from_pydict(dict(zip(arrow.names, zip(*out))), schema=arrow)
 
@@ -322,10 +365,6 @@ def fingerprint_documents(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     starts = part_starts(found, parts)
     if not starts:
-        return spark.createDataFrame([], f"{RESULT}, component_id long, class_rows long").drop("text_hash")
-    rows = fingerprinted(dealt_rows(docs, starts), parts)
-    group = materialise(classes(docs, found, threshold)).withColumnsRenamed({"doc_id": "id", "text_hash": "hash"})
-    met = rows.join(group, rows["doc_id"].eqNullSafe(group["id"]) & (rows["text_hash"] == group["hash"]), "left")
-    return met.select(*[c for c in rows.columns if c != "text_hash"],
-                      F.when(F.col("class_rows").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.coalesce("class_rows", F.lit(1)).alias("class_rows"))
+        return spark.createDataFrame([], RESULT)
+    groups = materialise(classes(docs, found, threshold))
+    return fingerprinted(dealt_rows(docs, starts).unionByName(dealt_classes(groups, starts)), parts)
