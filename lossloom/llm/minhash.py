@@ -105,15 +105,58 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common) if len(a) or len(b) else 1.0
 
 
+def by_cell(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a cell next to each other in one task, held rows first."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("cell", F.col("held").cast("int").alias("held"), "node", "component", *columns).repartition(
+        width, "cell").sortWithinPartitions("cell", F.desc("held"), "node")
+
+
+def near_rows(rows: DataFrame) -> DataFrame:
+    """(cell, held, node, component) of the `rows(cell, held, node, component, sketch)` that have a close sketch of another component in their cell.
+
+    Held rows are compared with all of their cell, as in verified(); every row is given once, so texts are fetched for few rows of a cell.
+    """
+    schema = pa.schema([("cell", pa.int64()), ("held", pa.int32()), ("node", pa.int64()), ("component", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        kept: list[tuple] = []
+        seen = np.empty((0, SKETCH), np.uint8)
+        parts = np.empty(0, np.int64)
+        given = np.empty(0, bool)
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                cell, held, node, component, sketch = row
+                if cell != now:
+                    now, kept, given, count = cell, [], np.zeros(64, bool), 0
+                    seen, parts = np.empty((64, SKETCH), np.uint8), np.empty(64, np.int64)
+                own = np.frombuffer(sketch, np.uint8)
+                close = ((seen[:count] == own).sum(1) >= SKETCH_LEAST) & (parts[:count] != component)
+                hit = bool(close.any())
+                for k in np.flatnonzero(close & ~given[:count]).tolist():
+                    out.append(kept[k])
+                    given[k] = True
+                if hit:
+                    out.append(row[:4])
+                if held:
+                    if count == len(given):
+                        seen, parts, given = np.concatenate([seen, seen]), np.concatenate([parts, parts]), np.concatenate([given, given])
+                    seen[count], parts[count], given[count] = own, component, hit
+                    kept.append(row[:4])
+                    count += 1
+            yield pa.RecordBatch.from_pydict(dict(zip(schema.names, zip(*out))) if out else {c: [] for c in schema.names}, schema=schema)
+
+    return by_cell(rows, "sketch").mapInArrow(run, "cell long, held int, node long, component long")
+
+
 def verified(rows: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) of `rows(cell, held, node, component, sketch, text)`: rows that are held are compared with all of their cell.
 
     A cell's held rows come first and stay as shingle sets; the others pass by one at a time. Pairs of one component, and pairs whose
     sketches are too far apart for the threshold, are not compared; a row found to belong to a held row's component skips the rest of it.
     """
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select("cell", F.col("held").cast("int").alias("held"), "node", "component", "sketch", "text")
-    ordered = ordered.repartition(width, "cell").sortWithinPartitions("cell", F.desc("held"), "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +188,7 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
                         kept.append((node, component, sketch, text if own is None else own))
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=schema)
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return by_cell(rows, "sketch", "text").mapInArrow(run, "a long, b long")
 
 
 def texts_of(nodes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -193,7 +236,9 @@ def copies(docs: DataFrame, found: DataFrame, threshold: float = 0.8, block_rows
     leaders = sizes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("node", F.col("leader"))
     rows = leaders.select(cell.alias("cell"), F.lit(True).alias("held"), "node").unionByName(
         followers.select(cell.alias("cell"), F.lit(False).alias("held"), "node"))
-    first = materialise(verified(rows.join(texts, "node").withColumn("component", F.col("node")), threshold))
+    sketched = texts.select("node", "sketch")
+    near = materialise(near_rows(rows.join(sketched, "node").withColumn("component", F.col("node"))))
+    first = materialise(verified(near.join(texts, "node"), threshold))
     labels = components(first)
 
     named = members.join(labels.withColumnRenamed("node", "labelled"), F.col("node") == F.col("labelled"), "left").select(
@@ -213,7 +258,8 @@ def copies(docs: DataFrame, found: DataFrame, threshold: float = 0.8, block_rows
         "node", "component", F.xxhash64("key", "i", F.col("own")).alias("cell"), F.lit(False).alias("held"))
     mains = dealt.filter(~F.col("minor")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("u") - 1))).select(
         "node", "component", F.xxhash64("key", "i", -1 - F.col("own")).alias("cell"), F.lit(False).alias("held"))
-    rest = materialise(verified(held.unionByName(others).unionByName(mains).join(texts, "node"), threshold))
+    near = materialise(near_rows(held.unionByName(others).unionByName(mains).join(sketched, "node")))
+    rest = materialise(verified(near.join(texts, "node"), threshold))
     return components(first.unionByName(rest)).withColumnRenamed("node", "digest")
 
 
