@@ -154,8 +154,9 @@ def near_rows(rows: DataFrame) -> DataFrame:
 def verified(rows: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) of `rows(cell, held, node, component, sketch, text)`: rows that are held are compared with all of their cell.
 
-    A cell's held rows come first and stay as shingle sets; the others pass by one at a time. Pairs of one component, and pairs whose
-    sketches are too far apart for the threshold, are not compared; a row found to belong to a held row's component skips the rest of it.
+    A cell's held rows come first and stay as shingle sets; the others pass by one at a time. Pairs whose sketches are too far apart for
+    the threshold, and pairs whose components hang together already, from before or by edges of the cell, are not compared. So a cell gives
+    fewer edges than it has components.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -166,15 +167,24 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
             return np.unique(shingle_hashes(unpack(data) if data else b""))
 
         now, kept = None, []
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while above.setdefault(x, x) != x:
+                above[x] = above[above[x]]
+                x = above[x]
+            return x
+
         for whole in batches:
             for batch in slices(whole, 2_000_000):
                 left, right = [], []
                 for cell, held, node, component, sketch, text in zip(*(c.to_pylist() for c in batch.columns)):
                     if cell != now:
                         now, kept = cell, []
-                    own, linked = None, {component}
+                        above.clear()
+                    own = None
                     for k, (other, other_component, other_sketch, shingles) in enumerate(kept):
-                        if other_component in linked or other == node or not close_sketches(sketch, other_sketch):
+                        if root(other_component) == root(component) or not close_sketches(sketch, other_sketch):
                             continue
                         own = shingles_of(text) if own is None else own
                         if isinstance(shingles, bytes):
@@ -183,7 +193,7 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
                         if jaccard(own, shingles) >= threshold:
                             left.append(node)
                             right.append(other)
-                            linked.add(other_component)
+                            above[root(component)] = root(other_component)
                     if held:
                         kept.append((node, component, sketch, text if own is None else own))
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=schema)
@@ -217,8 +227,8 @@ def texts_of(nodes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
 def copies(docs: DataFrame, found: DataFrame, threshold: float = 0.8, block_rows: int = 256) -> DataFrame:
     """(digest, component): for every text that is linked to another of different words, the smallest digest of its class.
 
-    `found` is a written table of sketches(docs). First the texts of a band bucket are compared with the bucket's smallest digest, which is one row for
-    each pair of a text and a leader, however many buckets they share. Buckets that still hold two components are then compared in full:
+    `found` is a written table of sketches(docs). First a text is compared with the smallest digest that it shares a bucket with, one pair a text
+    however many buckets it has. Buckets that still hold two components are then compared in full:
     rows outside the leader's component, in blocks of `block_rows`, meet each other and the rows inside it. So a large group of near
     copies costs one pass, and no link between texts that share a band is lost.
     """
@@ -228,7 +238,7 @@ def copies(docs: DataFrame, found: DataFrame, threshold: float = 0.8, block_rows
     members = materialise(keyed.join(buckets, "key").select("key", "node", "leader").distinct())
     texts = texts_of(members.select("node").distinct(), found, docs)
 
-    pairs = members.filter("node <> leader").select("node", "leader").distinct()
+    pairs = members.groupBy("node").agg(F.min("leader").alias("leader")).filter("node <> leader")
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / F.lit(4 * block_rows)).cast("int").alias("blocks"))
     sizes = materialise(sizes)
     cell = F.xxhash64("leader", "block")
