@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossloom.llm import language, mixing, packing, paragraphs
+from lossloom.llm import language, mixing, packing, paragraphs, simhash
 from lossloom.session import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,10 +24,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by five-word Jaccard 0.8 or more one row stays, that with the smallest id (null last); ids need not be unique."""
+    """Of rows linked by fingerprints (four-word shingles, 4 of 64 bits) one stays, that with the smallest id (null last).
+
+    Ids need not be unique and may be null: rows are told apart by a number of their own. Null and empty texts are one group. Repeated rows
+    are copies. A very long text is hashed as a whole. An empty table stays empty.
+    """
     rows = keyed(docs)
-    found = paragraphs.similar_texts(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
-    first = rows.select("row", "doc_id").join(found, "row").groupBy("component").agg(
+    found = simhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    first = rows.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
     kept = materialise(first.select(F.col("first.row").alias("row")))
     return rows.join(kept, "row", "left_semi").select(*COLUMNS)
