@@ -32,28 +32,29 @@ def test_stages_follow_each_other(spark):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
 
 
-def test_near_duplicates_reach_jaccard_and_keep_unrelated_rows(spark):
+def test_near_duplicates_by_fingerprint_distance(spark):
+    """The stage's contract: four-word shingles, 4 of 64 bits; groups by brute force over all pairs of fingerprints."""
     rng = random.Random(4)
-
-    def text(n):
-        return [f"w{rng.randrange(10_000)}" for _ in range(n)]
-
-    base, lone = text(400), [" ".join(text(80)) for _ in range(5)]
-    near = list(base)
-    for k in (50, 130, 210, 290):
-        near[k] = "other"
-    near[60:60] = ["added\nhere"]
-    far = base[:200] + text(200)
-    a, b = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (base, " ".join(near).split()))
-    assert len(a & b) >= 0.8 * len(a | b)
-    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (None, lone[0]), (None, lone[1]), (7, lone[2]), (7, lone[3]), (None, lone[4]), (9, lone[4])]
-    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), SF_DIR).collect()
-    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([rows[k] for k in (0, 2, 3, 4, 5, 6, 8)])
-    fps = [simhash.fingerprint(t.encode()) for _, t in rows[:2]]
-    assert bin((fps[0] ^ fps[1]) & (1 << 64) - 1).count("1") > 4  # beyond the radius of op6
+    lone = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(80)) for _ in range(5)]
+    base = [f"w{rng.randrange(10_000)}" for _ in range(4000)]
+    near = [*base[:2000], "one", *base[2000:]]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (None, lone[0]), (None, lone[1]), (7, lone[2]), (7, lone[3]), (None, lone[4]), (9, lone[4]),
+            (4, None), (3, ""), (None, " \n")]
+    prints = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin((prints[i] ^ prints[j]) & (1 << 64) - 1).count("1") <= 4:
+                group = [group[j] if g == group[i] else g for g in group]
+    assert group[0] == group[1]
+    first = {}
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)):
+        first.setdefault(group[k], rows[k])
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, [(i, t) for i, t in rows]), SF_DIR).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(first.values())
 
 
 def test_mix_takes_rows_without_or_with_repeated_ids(spark):
