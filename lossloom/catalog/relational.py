@@ -285,7 +285,7 @@ def composite_join(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     pairs = lines.groupBy("l_partkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("pair_lines"), F.sum("l_quantity").alias("pair_qty"))
-    return lines.drop("l_quantity").join(pairs, ["l_partkey", "l_suppkey"], "left")
+    return J.folded_join(lines.drop("l_quantity"), pairs, ["l_partkey", "l_suppkey"], by=["l_orderkey", "l_linenumber"])
 
 
 @query("""
@@ -354,7 +354,7 @@ def party_name_match(t: Tables):
         F.col("o_orderkey").alias("claim"),
         F.concat(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")), F.col("c_nationkey").cast("string")).alias("name"))
     counts = A.prior_claims(party, "claim", "name")
-    return J.null_spread_join(party, counts, ["name"]).select("claim", F.coalesce("prior_claims", F.lit(0)).alias("prior_claims"))
+    return J.folded_join(party, counts, ["name"], by=["claim"]).select("claim", F.coalesce("prior_claims", F.lit(0)).alias("prior_claims"))
 
 
 @query("""
@@ -416,7 +416,8 @@ def wide_assembly(t: Tables):
     versions = t.orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("versions"), F.min(F.to_date("o_orderdate")).alias("first_day"))
     base = t.orders.select(F.col("o_orderkey").alias("claim"), "o_custkey")
-    wide = J.assemble_wide(base, "claim", [general, parts]).join(versions, "o_custkey", "left")
+    hot = J.hot_keys(base, ["o_custkey"])[0]
+    wide = J.folded_join(J.assemble_wide(base, "claim", [general, parts]), versions, ["o_custkey"], hot, by=["claim"])
     return wide.drop("o_custkey").fillna(0, ["lines", "parts"])
 
 

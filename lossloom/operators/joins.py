@@ -1,5 +1,5 @@
-"""Join shapes. No hints are written: Spark broadcasts a side only below its own size threshold, and adaptive
-execution splits skewed sort-merge partitions where both inputs are plain shuffles, not where one is an aggregate on the key."""
+"""Join shapes. Spark broadcasts a side only below its own size threshold, and adaptive execution splits skewed sort-merge
+partitions where both inputs are plain shuffles, not where one is an aggregate on the key; `folded_join` splits hot keys there."""
 
 from __future__ import annotations
 
@@ -9,7 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossloom.session import materialise
+
 FIXED_ROWS_LIMIT = 2_000
+# A key is hot from this many rows on, if it also holds more than the share of all rows below.
+HOT_ROWS = 50_000
+HOT_SHARES = 4
 
 
 def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -53,6 +58,53 @@ def null_spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spr
     )
 
 
+def hot_keys(df: DataFrame, *key_sets: Sequence[str], least: int = HOT_ROWS) -> list[DataFrame]:
+    """One table (keys, __copies) for each set of columns: the keys with so many rows of `df` that one task should not hold them.
+
+    All sets are counted in one pass, combined before the shuffle. With P shuffle partitions a key is hot if it has over 1/(4 P) of the rows
+    and `least` or more, so a table has at most 4 P rows whatever the data; its copies add up to 12 P at most.
+    """
+    sets = [list(keys) for keys in key_sets]
+    entries = [F.struct(F.lit(i).alias("__set"), *[F.col(c).alias(c) if c in keys else F.lit(None).cast(df.schema[c].dataType).alias(c)
+                                                    for c in dict.fromkeys(c for ks in sets for c in ks)])
+               for i, keys in enumerate(sets)]
+    columns = list(dict.fromkeys(c for ks in sets for c in ks))
+    counted = materialise(df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("__n")).select("e.*", "__n"))
+    shares = HOT_SHARES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counted.filter("__set = 0").agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    limit = max(least, rows // shares + 1)
+    hot = materialise(counted.filter(F.col("__n") >= limit).withColumn("__copies", F.ceil(F.col("__n") / F.lit(limit)).cast("int") + 1)
+                      .select("__set", *columns, "__copies"))
+    found = []
+    for i, keys in enumerate(sets):
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+        found.append(hot.filter((F.col("__set") == i) & known).select(*keys, "__copies"))
+    return found
+
+
+def folded_join(df: DataFrame, folded: DataFrame, keys: Sequence[str], hot: DataFrame | None = None, by: Sequence[str] | None = None,
+                spread: int = 256, least: int = HOT_ROWS) -> DataFrame:
+    """Left join with a side that has one row per key, such as an aggregate on it, where a hot key meets its row in several tasks.
+
+    Rows of a hot key get one of its copies' numbers by a hash of the columns `by` (all, if not given) and the folded row is repeated once a
+    copy; other rows are joined as usual, rows without a key are spread. `hot` is a result of hot_keys(); it is computed if not given. Its
+    length is bounded by the number of shuffle partitions, so it is broadcast.
+    """
+    if hot is None:
+        hot = hot_keys(df, keys, least=least)[0]
+    small = F.broadcast(hot.select(*[F.col(c).alias(f"__hot_{c}") for c in keys], "__copies"))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__hot_{c}") for c in keys])
+    marks = [f"__hot_{c}" for c in keys]
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    turn = F.xxhash64(*(by or df.columns))
+    salt = (F.when(missing, F.pmod(turn, F.lit(spread)) + 1).when(F.col("__copies").isNotNull(), F.pmod(turn, F.col("__copies")))
+            .otherwise(F.lit(0)).cast("int"))
+    left = df.join(small, same, "left").withColumn("__salt", salt).drop("__copies", *marks)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)
+    right = folded.join(small, same, "left").withColumn("__salt", F.explode(copies)).drop("__copies", *marks)
+    return left.join(right, [*keys, "__salt"], "left").drop("__salt")
+
+
 def concat_key(*parts: Column) -> Column:
     """Text key of several columns; null if any part is null."""
     return F.concat(*[p.cast("string") for p in parts])
@@ -78,11 +130,12 @@ def without_members(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) ->
 
 
 def lookup_fallback(df: DataFrame, by_first: DataFrame, first: str, by_second: DataFrame, second: str, value: str,
-                    default=None) -> DataFrame:
-    """Value by the first key, else by the second, else the default. Both lookups hold one row per key."""
+                    default=None, hot: Mapping[str, DataFrame] | None = None, by: Sequence[str] | None = None) -> DataFrame:
+    """Value by the first key, else by the second, else the default. Both lookups hold one row per key; hot keys are split."""
+    hot = hot or dict(zip((first, second), hot_keys(df, [first], [second])))
     primary = by_first.select(F.col(first), F.col(value).alias("__first"))
     secondary = by_second.select(F.col(second), F.col(value).alias("__second"))
-    joined = null_spread_join(null_spread_join(df, primary, [first]), secondary, [second])
+    joined = folded_join(folded_join(df, primary, [first], hot[first], by), secondary, [second], hot[second], by)
     choices = [F.col("__first"), F.col("__second")] + ([] if default is None else [F.lit(default)])
     return joined.withColumn(value, F.coalesce(*choices)).drop("__first", "__second")
 

@@ -14,6 +14,15 @@ APPROXIMATION = 10_000
 EXACT_ROWS = 200_000
 
 
+def range_partitioned(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Stored rows in as many ranges as the session has shuffle partitions, with the number of their range in __part.
+
+    The number is given, so adaptive execution does not put small ranges together and a hot value keeps its segments.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(df.repartitionByRange(width, *order).withColumn("__part", F.spark_partition_id()))
+
+
 def running_totals(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column]) -> DataFrame:
     """Running sums over the whole frame in the given total order, distributed.
 
@@ -21,9 +30,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: Mapping[str,
     per partition) are added to the running sums inside a partition.
     """
     amounts = {f"__a_{n}": c for n, c in totals.items()}
-    stored = materialise(
-        df.withColumns(amounts).repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    )
+    stored = range_partitioned(df.withColumns(amounts), *order)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         stored.groupBy("__part").agg(*[F.sum(f"__a_{n}").alias(f"__a_{n}") for n in totals])
@@ -138,35 +145,35 @@ def winsorize(df: DataFrame, limits: Mapping[str, tuple[float, float]]) -> DataF
     return df.withColumns(clamped)
 
 
-def event_sequence(df: DataFrame, party: str, moment: str, tie: str, rank: str = "rn",
-                   gap: str = "gap_days", grain: str = "hour") -> DataFrame:
+def event_sequence(df: DataFrame, party: str, moment: str, tie: str, rank: str = "rn", gap: str = "gap_days") -> DataFrame:
     """Rank of each event of a party by time, and days since its previous event (0 for the first).
 
-    Events are summarised by (party, grain of time) first. Only the time grains of a party, never its rows, are
-    ordered in one group, so that group is bounded by the calendar; the rows inside one grain are ranked in a group
-    of their own. Events without a party are left out; events without a time are kept, with a null rank and gap.
+    Events are range-partitioned by (party, time, tie) and stored, so a party with many events, even in one hour, lies in several segments.
+    A segment ranks its own rows; only the party that a segment begins with can go on from earlier ones, so one row a segment
+    carries the number of its earlier events and the last of them. Events without a party are left out; events without a time are kept, with a
+    null rank and gap. Events that agree in party, time and tie are ranked in any order.
     """
     undated = df.filter(F.col(party).isNotNull() & F.col(moment).isNull()).withColumns(
         {rank: F.lit(None).cast("bigint"), gap: F.lit(None).cast("int")})
-    dated = df.filter(F.col(party).isNotNull() & F.col(moment).isNotNull()).withColumn("__slot", F.date_trunc(grain, moment))
-    w = Window.partitionBy(party).orderBy("__slot")
-    slots = (
-        dated.groupBy(party, "__slot")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.min(F.struct(moment, tie)).alias("__first"))
-        .withColumns({
-            "__before": F.coalesce(F.sum("__rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "__gap": F.coalesce(F.datediff(F.col("__slot"), F.lag("__slot").over(w)), F.lit(0)),
-        })
-        .select(party, "__slot", "__first", "__before", "__gap")
+    dated = df.filter(F.col(party).isNotNull() & F.col(moment).isNotNull())
+    stored = range_partitioned(dated, party, moment, tie)
+    runs = stored.groupBy(party, "__part").agg(F.count(F.lit(1)).alias("__n"), F.max(moment).alias("__last"))
+    earlier = Window.partitionBy(party).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        runs.select(F.col(party).alias("__party"), "__part", F.sum("__n").over(earlier).alias("__before"),
+                    F.last("__last").over(earlier).alias("__previous"))
+        .filter("__before is not null").withColumnRenamed("__part", "__segment")
     )
-    inside = Window.partitionBy(party, "__slot").orderBy(moment, tie)
+    inside = Window.partitionBy("__part", party).orderBy(moment, tie)
+    previous = F.coalesce(F.lag(moment).over(inside), "__previous")
+    # One row a segment at most: broadcast.
     return (
-        dated.join(slots, [party, "__slot"])
+        stored.join(F.broadcast(carried), (F.col("__part") == F.col("__segment")) & (F.col(party) == F.col("__party")), "left")
         .withColumns({
-            rank: F.col("__before") + F.row_number().over(inside),
-            gap: F.when(F.struct(moment, tie) == F.col("__first"), F.col("__gap")).otherwise(F.lit(0)),
+            rank: F.coalesce("__before", F.lit(0)) + F.row_number().over(inside),
+            gap: F.coalesce(F.datediff(F.to_date(moment), F.to_date(previous)), F.lit(0)),
         })
-        .drop("__slot", "__first", "__before", "__gap")
+        .drop("__part", "__segment", "__party", "__before", "__previous")
         .unionByName(undated)
     )
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossloom.functions.text import MAX_LENGTH
+from lossloom.operators.joins import folded_join, hot_keys
+from lossloom.session import materialise
 
 VOCABULARY_LIMIT = 100_000
 
@@ -100,13 +102,14 @@ def vector_entries(df: DataFrame, keys: list[str], vector: str, value: str = "we
 def tfidf_table(docs: DataFrame, key: str, terms: str, idf=smooth_idf_off, min_df: int = 1) -> DataFrame:
     """(key, term, tf, df, weight) without a vocabulary limit; zero weights are left out.
 
-    Counts per (document, term) are combined before each shuffle; document frequencies come from them, and the
-    join on the term meets one row per term, with adaptive splitting for frequent terms.
+    Counts per (document, term) are combined before the shuffle and written once; document frequencies and frequent terms come from
+    them, and a term that stands in very many documents meets its row in several tasks.
     """
     n = F.lit(docs.count())
-    counts = docs.select(key, entries(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = materialise(docs.select(key, entries(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
     frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
-    raw = counts.join(frequencies, "term").withColumn("__raw", F.col("tf") * idf(n, F.col("df"))).filter("__raw <> 0")
+    met = folded_join(counts, frequencies, ["term"], hot_keys(counts, ["term"])[0], by=[key]).filter("df is not null")
+    raw = met.withColumn("__raw", F.col("tf") * idf(n, F.col("df"))).filter("__raw <> 0")
     # The window group is one document's distinct terms, bounded by the document itself.
     norm = F.sqrt(F.sum(F.col("__raw") * F.col("__raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "tf", "df", (F.col("__raw") / norm).alias("weight"))
@@ -170,10 +173,11 @@ def key_phrases(docs: DataFrame, key: str, terms: str, label: str, max_features:
 def stem_by_table(docs: DataFrame, key: str, terms: str, stems: DataFrame) -> DataFrame:
     """(key, stem, n): tokens replaced through a (token, stem) table, unchanged where it has no row.
 
-    Tokens are counted per document before the join, so a frequent token is one row per document.
+    Tokens are counted per document before the join, so a frequent token is one row per document; if it is still hot, its rows meet copies
+    of its row of the table in several tasks. The table has one row a token.
     """
-    counts = docs.select(key, entries(terms).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(docs.select(key, entries(terms).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
     return (
-        counts.join(stems, "token", "left")
+        folded_join(counts, stems, ["token"], hot_keys(counts, ["token"])[0], by=[key])
         .groupBy(key, F.coalesce("stem", "token").alias("stem")).agg(F.sum("n").alias("n"))
     )

@@ -215,14 +215,14 @@ def party_events(exposures: DataFrame, claims: DataFrame, policies: DataFrame, c
     return J.null_spread_join(exposure.join(claim, "claimid", "left"), contact, ["party_id"])
 
 
-def previous_claims(df: DataFrame, parties: DataFrame, name: str = "Pre_claims_cnt") -> DataFrame:
+def previous_claims(df: DataFrame, parties: DataFrame, name: str = "Pre_claims_cnt", hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Claims of the same party: by name, else by party id among parties without a name, else 0."""
     by_name = A.prior_claims(parties, "claimid", "name", name)
     by_id = A.prior_claims(parties.filter(F.col("name").isNull()), "claimid", "party_id", name)
-    return J.lookup_fallback(df, by_name, "name", by_id, "party_id", name, default=0)
+    return J.lookup_fallback(df, by_name, "name", by_id, "party_id", name, default=0, hot=hot)
 
 
-def party_tenure(df: DataFrame, parties: DataFrame, first_year: int = 1991) -> DataFrame:
+def party_tenure(df: DataFrame, parties: DataFrame, first_year: int = 1991, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Days and years between a party's oldest valid policy date and the report.
 
     The date is the one of the name, else of the party id among parties without a usable name, else of the row's
@@ -232,7 +232,8 @@ def party_tenure(df: DataFrame, parties: DataFrame, first_year: int = 1991) -> D
     known, unknown = L.split_named(dated, "name")
     by_name = known.groupBy("name").agg(F.min("__oldest").alias("__by_name"))
     by_id = unknown.filter(F.col("party_id").isNotNull()).groupBy("party_id").agg(F.min("__oldest").alias("__by_id"))
-    joined = J.null_spread_join(J.null_spread_join(df, by_name, ["name"]), by_id, ["party_id"])
+    hot = hot or dict(zip(("name", "party_id"), J.hot_keys(df, ["name"], ["party_id"])))
+    joined = J.folded_join(J.folded_join(df, by_name, ["name"], hot["name"]), by_id, ["party_id"], hot["party_id"])
     one, two, original = F.col("__by_name"), F.col("__by_id"), F.col("original")
     party_date = (
         F.when(F.year(one) >= first_year, one)
@@ -247,7 +248,8 @@ def party_tenure(df: DataFrame, parties: DataFrame, first_year: int = 1991) -> D
     }).drop("__by_name", "__by_id", "__date")
 
 
-def previous_claim_gap(df: DataFrame, parties: DataFrame, name: str = "prev_claim_duration") -> DataFrame:
+def previous_claim_gap(df: DataFrame, parties: DataFrame, name: str = "prev_claim_duration",
+                       hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Longest gap in days between the party's claims, by name, else by party id, else 0.
 
     Only a maximum per claim is used downstream, so the longest gap per party is attached instead of one row per
@@ -256,18 +258,19 @@ def previous_claim_gap(df: DataFrame, parties: DataFrame, name: str = "prev_clai
     known, unknown = L.split_named(parties, "name")
     by_name = O.longest_gap(known, "name", "reported", name)
     by_id = O.longest_gap(unknown, "party_id", "reported", name)
-    return J.lookup_fallback(df, by_name, "name", by_id, "party_id", name, default=0)
+    return J.lookup_fallback(df, by_name, "name", by_id, "party_id", name, default=0, hot=hot)
 
 
 def with_party_history(fact: DataFrame, parties: DataFrame, policies: DataFrame) -> DataFrame:
-    """Previous claims, prior renewals, tenure, claims per year and gap for each exposure."""
+    """Previous claims, prior renewals, tenure, claims per year and gap for each exposure; hot names, parties and policies are counted once."""
     renewals = policies.groupBy("PolicyNumber").agg(F.count_distinct("EffectiveDate").alias("prev_renewals"))
     keyed = fact.withColumns({
         "name": F.col("final_name"), "party_id": F.col("ClaimantDenormID_exp"), "reported": F.col("ReportedDate"),
         "original": F.col("OrigEffectiveDate"), "effective": F.col("EffectiveDate")})
-    out = previous_claims(keyed, parties)
-    out = J.null_spread_join(out, renewals, ["PolicyNumber"])
-    out = previous_claim_gap(party_tenure(out, parties), parties)
+    hot = dict(zip(("name", "party_id", "PolicyNumber"), J.hot_keys(keyed, ["name"], ["party_id"], ["PolicyNumber"])))
+    out = previous_claims(keyed, parties, hot=hot)
+    out = J.folded_join(out, renewals, ["PolicyNumber"], hot["PolicyNumber"])
+    out = previous_claim_gap(party_tenure(out, parties, hot=hot), parties, hot=hot)
     return out.withColumn("PREV_CLM_PER_YR", M.rounded_ratio(F.col("Pre_claims_cnt"), F.col("claimant_tenure_yr"))).drop(
         "name", "party_id", "reported", "original", "effective")
 
@@ -534,7 +537,7 @@ def claim_features(tables: Mapping[str, DataFrame], codes: Mapping[str, DataFram
     mine = lambda t: J.with_members(tables[t], population.withColumnRenamed("claimid", "ClaimID"), "ClaimID")
     policy = policies.select(F.col("ID").alias("PolicyID"), "EffectiveDate", "ExpirationDate", "PolicyNumber", "PolicyType")
     renewals = policies.groupBy("PolicyNumber").agg(F.count_distinct("EffectiveDate").alias("prev_renewals"))
-    head = J.null_spread_join(J.null_spread_join(base, policy, ["PolicyID"]), renewals, ["PolicyNumber"])
+    head = J.folded_join(J.null_spread_join(base, policy, ["PolicyID"]), renewals, ["PolicyNumber"], by=["claimid"])
     parts = [
         claim_measures(fact), coverage_rollup(fact), collision_flags(claims, fact), vehicle_flags(fact),
         body_part_counts(mine("incident"), tables["body_part"]), match_reason_list(mine("match_report")),

@@ -1,5 +1,7 @@
 """Distributed operators against brute force on skewed fixtures, and plan checks."""
 
+import datetime
+
 import numpy as np
 import pytest
 from conftest import SF_DIR
@@ -7,9 +9,11 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from lossloom.operators import evaluate as E
+from lossloom.operators import joins as J
 from lossloom.operators import model as G
 from lossloom.operators import neighbours as N
 from lossloom.operators import ordering as O
+from lossloom.operators import terms as V
 from lossloom.operators import topics as P
 
 
@@ -77,6 +81,32 @@ def test_event_sequence_with_one_hot_party(spark):
     assert got == want
 
 
+def test_event_sequence_with_half_of_all_rows_in_one_hour(spark, monkeypatch):
+    """One party holds half of the rows, all in one hour and many at one moment; others, undated and unnamed rows beside it."""
+    rows = []
+    for i in range(1200):
+        if i % 2:
+            rows.append(("hot", f"2020-01-05 10:{i % 40 // 10:02d}:00", i))
+        else:
+            rows.append((f"p{i % 14}" if i % 22 else None, None if i % 26 == 0 else f"2020-{1 + i % 12:02d}-{1 + i % 28:02d} {i % 24:02d}:00:00", i))
+    rows += [("hot", "2020-01-02 08:00:00", 5000), ("hot", "2020-02-01 08:00:00", 5001)]
+    df = spark.createDataFrame(rows, "p string, t string, id int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    stored = []
+    keep = O.materialise
+    monkeypatch.setattr(O, "materialise", lambda d: stored.append(keep(d)) or stored[-1])
+    got = {(r.p, r.id): (r.rn, r.gap_days) for r in O.event_sequence(df, "p", "t", "id").collect()}
+    want, last = {}, {}
+    for p, t, i in sorted((r for r in rows if r[0] and r[1]), key=lambda r: (r[0], r[1], r[2])):
+        rank, day = last.get(p, (0, None))
+        today = datetime.date.fromisoformat(t[:10])
+        want[(p, i)] = (rank + 1, 0 if day is None else (today - day).days)
+        last[p] = (rank + 1, today)
+    want |= {(p, i): (None, None) for p, t, i in rows if p and not t}
+    assert got == want
+    parts = stored[0].filter("p = 'hot'").groupBy("__part").count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 400
+
+
 def test_row_index_is_dense(spark):
     df = spark.createDataFrame([(i * 37 % 501, i) for i in range(2000)], "s int, id int").repartition(7)
     got = O.row_index(df, [F.col("s").desc(), F.col("id")]).orderBy("seq").collect()
@@ -123,3 +153,64 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = queries()["month_and_year_bounds"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def hot_frame(spark):
+    """40 % of the rows have one name, a tenth none, the rest few each."""
+    name = F.when(F.col("id") % 5 < 2, "hot").when(F.col("id") % 10 == 9, F.lit(None)).otherwise(F.concat(F.lit("n"), (F.col("id") % 97).cast("string")))
+    return spark.range(4000).select("id", name.alias("name"), (F.col("id") % 3).alias("other")).repartition(6)
+
+
+def test_hot_keys_are_few_and_exact(spark):
+    by_name, by_both = J.hot_keys(hot_frame(spark), ["name"], ["name", "other"], least=100)
+    rows = {r["name"]: r["__copies"] for r in by_name.collect()}
+    assert set(rows) == {"hot"} and rows["hot"] > 8
+    assert {(r["name"], r["other"]) for r in by_both.collect()} == {("hot", k) for k in range(3)}
+    assert J.hot_keys(hot_frame(spark), ["name"])[0].count() == 0
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_folded_join_spreads_a_hot_key(spark, no_broadcast):
+    df = hot_frame(spark)
+    folded = df.filter("name is not null and name <> 'n3'").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["name"]: r["n"] for r in folded.collect()}
+    joined = J.folded_join(df, folded, ["name"], least=100)
+    assert joined.columns == ["name", "id", "other", "n"]
+    where = {}
+    got = joined.withColumn("part", F.spark_partition_id()).collect()
+    for r in got:
+        where.setdefault(r["name"], set()).add(r["part"])
+        assert r["n"] == counts.get(r["name"])
+    assert sorted(r["id"] for r in got) == list(range(4000))
+    assert len(where["hot"]) >= 5 and len(where[None]) >= 5 and all(len(v) == 1 for k, v in where.items() if k not in ("hot", None))
+    plain = df.join(folded, "name", "left").withColumn("part", F.spark_partition_id()).collect()
+    assert len({r["part"] for r in plain if r["name"] == "hot"}) == 1
+
+
+def test_fallback_and_terms_use_the_split(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(J, "HOT_ROWS", 100)
+    monkeypatch.setattr(J.hot_keys, "__kwdefaults__", {"least": 100})
+    df = hot_frame(spark).withColumn("party", F.col("other"))
+    by_name = df.filter("name = 'hot' or name = 'n1'").groupBy("name").agg(F.max("id").alias("value"))
+    by_id = df.filter("party < 2").groupBy("party").agg(F.min("id").alias("value"))
+    got = J.lookup_fallback(df, by_name, "name", by_id, "party", "value", default=-1).withColumn("part", F.spark_partition_id()).collect()
+    names, ids = ({r[0]: r["value"] for r in side.collect()} for side in (by_name, by_id))
+    for r in got:
+        assert r["value"] == names.get(r["name"], ids.get(r["party"], -1))
+    assert len(got) == 4000 and len({r["part"] for r in got if r["name"] == "hot"}) >= 5
+    docs = spark.range(400).select(F.col("id").alias("doc"), F.array(F.lit("common"), F.lit("common"), F.concat(F.lit("w"), (F.col("id") % 50).cast("string"))).alias("toks"))
+    stems = spark.createDataFrame([("common", "com"), ("w1", "w")], "token string, stem string")
+    found = V.stem_by_table(docs, "doc", "toks", stems).collect()
+    assert sum(r["n"] for r in found) == 1200 and sum(r["n"] for r in found if r["stem"] == "com") == 800
+    weights = V.tfidf_table(docs.withColumn("toks", F.when(F.col("doc") == 0, F.array(F.lit("w0"))).otherwise(F.col("toks"))), "doc", "toks", V.log2_idf).collect()
+    assert {r["df"] for r in weights if r["term"] == "common"} == {399} and sum(r["term"] == "common" for r in weights) == 399
