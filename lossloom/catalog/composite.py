@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from lossloom.catalog.registry import Tables, query
@@ -9,10 +11,11 @@ from lossloom.functions import conditional as C
 from lossloom.functions import dates as D
 from lossloom.functions import maths as M
 from lossloom.operators import joins as J
+from lossloom.operators import model as G
 from lossloom.plans import features as B
-from lossloom.plans import training, triage
+from lossloom.plans import jobs, training, triage
 from lossloom.session import scratch_path
-from lossloom.sources import sinks
+from lossloom.sources import runs, sinks
 
 
 @query("""
@@ -227,3 +230,29 @@ def scored_output(t: Tables):
     sinks.write_run(out, root, "2002-01-01")
     return out.select("CLAIMID", "CLAIMNUMBER", "PREDICTED_PROB", F.to_date("REPORTEDDATE").alias("REPORTED_DAY"), "OPEN_DAYS",
                       "DELIVERYID", "CLAIM_STATUS")
+
+
+@query("""
+with o as (select *, case when o_totalprice > 150000 then 1 else 0 end as large,
+             case when o_orderdate < timestamp '1997-01-01' then 1 else 2 end as delivery from orders),
+rate as (select o_orderpriority, avg(large) as p from o where delivery = 1 group by 1)
+select o_orderkey as "CLAIMID", round(p, 2) as "PREDICTED_PROB", 'AFV10D' || delivery as "DELIVERYID",
+  case delivery when 1 then date '2001-12-25' else date '2002-01-01' end as "SCORING_DATE", 2::bigint as runs, (select count(*) from orders) as back_scored
+from o join rate using (o_orderpriority)""")
+def scoring_job(t: Tables):
+    """Two weekly runs over files, the second one repeated: back-scores of all rows, one delivery for each claim.
+
+    The saved model is a logistic regression on one text column, whose fitted probabilities are the shares of its values.
+    """
+    frame = t.orders.select(
+        F.col("o_orderkey").alias("CLAIMID"), F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("CLAIMNUMBER"),
+        F.col("o_orderdate").alias("REPORTEDDATE"), "o_orderpriority", (F.col("o_totalprice") > 150000).cast("double").alias("label"))
+    first = frame.filter(F.col("REPORTEDDATE") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    root = scratch_path(t.spark, "scoring")
+    stages = [*G.encoder(first, ["o_orderpriority"], []).getStages(), LogisticRegression(maxIter=200, tol=1e-10)]
+    sinks.save_model(Pipeline(stages=stages).fit(first), f"{root}/model")
+    for run_date, rows in (("2001-12-25", first), ("2002-01-01", frame), ("2002-01-01", frame)):
+        last = jobs.scoring_run(t.spark, root, run_date, rows.drop("label"), f"{root}/model")
+    return runs.read_published(t.spark, root, "output").select(
+        "CLAIMID", F.round("PREDICTED_PROB", 2).alias("PREDICTED_PROB"), "DELIVERYID", "SCORING_DATE",
+        F.lit(len(runs.published_runs(t.spark, root))).cast("bigint").alias("runs"), F.lit(last["scored"]).cast("bigint").alias("back_scored"))
