@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +44,54 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+# Scratch paths of this process that have not been removed yet.
+_scratch: list[str] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the checkpoint folder; never reused, so runs cannot overwrite each other."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under the checkpoint folder; never reused, so runs cannot overwrite each other. A surrounding `scratch` block removes it."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Remove the scratch paths made since there were `keep` of them. Frames read from them cannot be computed any more."""
+    while len(_scratch) > keep:
+        at, files = _hadoop_path(spark, _scratch.pop())
+        files.delete(at, True)
+        files.cancelDeleteOnExit(at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the block are removed at its end, also after an error: write or collect the result inside.
+
+    Blocks can be nested; a block leaves what was made before it. Jobs that run at the same time in several threads should share one block.
+    """
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        release(spark, before)
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write a frame as Parquet under the checkpoint folder and read it back.
 
     Used where two branches must see the very same rows (range-partition numbers, iterative training) and
-    where lineage has to be cut. Being a table on shared storage it survives the loss of executors.
+    where lineage has to be cut. Being a table on shared storage it survives the loss of executors. It is removed at the end of the
+    surrounding `scratch` block, and at the latest when the driver's JVM ends.
     """
     path = scratch_path(df.sparkSession, "frame")
     df.write.parquet(path)
+    at, files = _hadoop_path(df.sparkSession, path)
+    files.deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -248,3 +248,41 @@ def test_many_csv_with_differing_headers(spark, tmp_path):
     (tmp_path / "b.csv").write_text("y,z\n3,4\n")
     got = readers.read_many_csv(spark, [(str(tmp_path / "a.csv"), "x int, y int"), (str(tmp_path / "b.csv"), "y int, z int")])
     assert sorted(map(tuple, got.collect()), key=str) == [(1, 2, None), (None, 3, 4)]
+
+
+def test_scratch_tables_end_with_their_block(spark):
+    import os
+
+    from lossloom import session as S
+
+    root = S.checkpoint_root(spark).removeprefix("file:")
+    kept = S.materialise(spark.range(5))
+    before = set(os.listdir(root))
+    with S.scratch(spark):
+        frame = S.materialise(spark.range(100))
+        with S.scratch(spark):
+            assert S.materialise(frame.filter("id > 50")).count() == 49
+        assert len(set(os.listdir(root)) - before) == 1 and frame.count() == 100
+    assert set(os.listdir(root)) == before and kept.count() == 5
+    with pytest.raises(ValueError), S.scratch(spark):
+        S.materialise(spark.range(3))
+        raise ValueError
+    assert set(os.listdir(root)) == before
+    from __spark_entry__ import queries
+
+    with S.scratch(spark):
+        assert queries()["round_robin"](spark, "/root/testdata/sf0.001").count() > 0
+    assert set(os.listdir(root)) == before
+
+
+def test_scratch_tables_end_with_the_session(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\nfrom lossloom.session import build_session, materialise\n"
+            "s = build_session('end', 'local[1]', **{'spark.ui.enabled': 'false', 'spark.checkpoint.dir': sys.argv[2]})\n"
+            "print(materialise(s.range(7)).count()); s.stop()")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code, here, str(tmp_path / "cp")], capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip().endswith("7") and not [f for f in os.listdir(tmp_path / "cp") if f.startswith("frame-")]
