@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.operators.ordering import order_statistics
+from lossloom.operators.trees import walked_dependence
 
 LABEL_LIMIT = 10_000
 STRATA_LIMIT = 100
@@ -147,15 +148,28 @@ def importance(encoded: DataFrame, model, features: str = "features") -> DataFra
         F.col("importance").desc(), "feature")
 
 
+def exploded_dependence(df: DataFrame, pipeline: PipelineModel, feature: str, grid: Sequence[float]) -> DataFrame:
+    """(value, mean probability): every row is scored at every grid value, a short literal array exploded in place."""
+    values = F.array(*[F.lit(float(v)) for v in grid])
+    scored = pipeline.transform(df.drop(feature).withColumn(feature, F.explode(values)))
+    return scored.groupBy(F.col(feature).alias("value")).agg(
+        F.avg(vector_to_array("probability")[1]).alias("mean_probability"))
+
+
 def partial_dependence(df: DataFrame, pipeline: PipelineModel, feature: str, points: int = 20) -> DataFrame:
     """(value, mean probability) of one input column over a grid between its 5th and 95th percentile.
 
-    Every row is scored at every grid value: the grid is a short literal array exploded in place, and the means
-    combine before the shuffle.
+    A number that `encoder` imputes is one component of the vector: rows are encoded once and walk through the trees of a boosted or
+    forest model once. Other inputs and models are scored at every grid value.
     """
     low, high = df.agg(F.percentile_approx(feature, [0.05, 0.95], 10_000)).first()[0]
     step = (high - low) / max(points - 1, 1)
-    grid = F.array(*[F.lit(float(low + i * step)) for i in range(points)])
-    scored = pipeline.transform(df.drop(feature).withColumn(feature, F.explode(grid)))
-    return scored.groupBy(F.col(feature).alias("value")).agg(
-        F.avg(vector_to_array("probability")[1]).alias("mean_probability"))
+    grid = [float(low + i * step) for i in range(points)]
+    *encoding, model = pipeline.stages
+    encoded = PipelineModel(stages=encoding).transform(df)
+    names = feature_names(encoded) if "features" in encoded.columns else []
+    if f"{feature}__n" in names:
+        walked = walked_dependence(encoded, "features", model, names.index(f"{feature}__n"), grid)
+        if walked is not None:
+            return walked
+    return exploded_dependence(df, pipeline, feature, grid)

@@ -107,6 +107,24 @@ def test_event_sequence_with_half_of_all_rows_in_one_hour(spark, monkeypatch):
     assert len(parts) >= 3 and max(r["count"] for r in parts) < 400
 
 
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_dependence_by_walking_equals_scoring_every_row(spark, kind):
+    from pyspark.ml import PipelineModel
+
+    df = spark.range(500).select(
+        (F.col("id") * 37 % 11 < 4).cast("double").alias("label"), F.when(F.col("id") % 13 != 0, (F.col("id") * 7 % 29).cast("double")).alias("a"),
+        (F.col("id") * 11 % 17).cast("double").alias("b"), F.concat(F.lit("k"), (F.col("id") % 4).cast("string")).alias("code"))
+    df = df.withColumn("label", F.when(F.col("a") + F.col("b") > 25, 1.0).otherwise(F.col("label"))).repartition(3)
+    encoding = G.encoder(df, ["code"], ["a", "b"]).fit(df)
+    estimator = G.boosted_trees(weight=None, trees=30, leaf=3, rate=0.3) if kind == "boosted" else G.forest(weight=None, trees=12, depth=7)
+    pipeline = PipelineModel(stages=[*encoding.stages, estimator.fit(encoding.transform(df))])
+    for feature in ("a", "b"):
+        walked = {r["value"]: r["mean_probability"] for r in G.partial_dependence(df, pipeline, feature, 9).collect()}
+        plain = {r["value"]: r["mean_probability"] for r in G.exploded_dependence(df, pipeline, feature, list(walked)).collect()}
+        assert len(walked) == 9 and len(set(walked.values())) > 3
+        assert max(abs(walked[v] - plain[v]) for v in plain) < 1e-9
+
+
 def test_row_index_is_dense(spark):
     df = spark.createDataFrame([(i * 37 % 501, i) for i in range(2000)], "s int, id int").repartition(7)
     got = O.row_index(df, [F.col("s").desc(), F.col("id")]).orderBy("seq").collect()
