@@ -44,6 +44,14 @@ def as_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_pass(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict | None]]) -> DataFrame:
     """Run `make()` once per task; the function it returns maps the columns of a batch to output columns.
 

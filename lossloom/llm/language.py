@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossloom.llm.common import arrow_pass, as_bytes, fold
+from lossloom.llm.common import arrow_pass, as_bytes, fold, unused
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -99,7 +99,8 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = 1
     Learns from rows that `learn` allows (by default those outside fold 0 of the id's crc32) and that have a language;
     a prediction sees the text alone. The score is the posterior of the predicted language. A text that is null or has no
     letter, or any text when nothing could be learned, gets `und` with score 0; ties go to the first language by code
-    point. A null id falls into the fold of the empty text. Existing columns of the three new names are replaced.
+    point. A null id falls into the fold of the empty text. Existing columns of the three new names are replaced, others keep their values
+    whatever their names. Repeated rows are predicted alike, a very long text is scored as a whole in bounded runs, an empty table stays empty.
     """
     held = fold(F.col("doc_id")) == 0
     names, matrix = train(docs, ~held if learn is None else learn, per_language)
@@ -126,5 +127,6 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = 1
             out_score.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
         return pd.DataFrame({"lang_pred": out_lang, "score": out_score})
 
-    guessed = docs.select(*kept, held.alias("held_out"), predict(as_bytes(F.col("text"))).alias("guess"))
-    return guessed.select(*kept, "held_out", "guess.lang_pred", "guess.score")
+    name = unused(docs, "guess")
+    guessed = docs.select(*kept, held.alias("held_out"), predict(as_bytes(F.col("text"))).alias(name))
+    return guessed.select(*kept, "held_out", F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossloom.llm.common import arrow_pass, as_bytes, by_cell, cells, components, tree_edges
+from lossloom.llm.common import arrow_pass, as_bytes, by_cell, cells, components, tree_edges, unused
 from lossloom.session import materialise
 
 SHINGLE = 5
@@ -163,12 +163,14 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     (doc_id, place) stays and the others go. n_paragraphs counts the lines looked at, n_repeated those in a class of
     two lines or more (kept ones included), n_removed and words_removed what went, kept_in lists the documents that hold the kept lines.
     Shorter lines and a null text stay as they are. Rows equal in id and text are one document and treated alike; null
-    ids come first in the order. Existing columns of the five new names are replaced.
+    ids come first in the order. Existing columns of the six new names are replaced, others keep their values whatever their names. has_repeated
+    says plainly that n_repeated is not 0. A very long text is looked at as a whole, an empty table stays empty.
     """
     new = ("n_paragraphs", "n_repeated", "n_removed", "words_removed", "kept_in")
-    kept = [c for c in docs.columns if c not in (*new, "text_hash")]
-    docs = docs.select(*kept, F.xxhash64("text").alias("text_hash"))
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "text")
+    kept = [c for c in docs.columns if c not in (*new, "has_repeated")]
+    mark, own_id, own_hash, own_places = (unused(docs, f"__{n}") for n in ("text_hash", "id", "hash", "places"))
+    docs = docs.select(*kept, F.xxhash64("text").alias(mark))
+    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("text_hash"), "text")
     lines = materialise(paragraph_rows(keys, min_words))
     distinct = materialise(lines.groupBy("digest").agg(
         F.min(F.struct("doc_id", "text_hash", "place")).alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")))
@@ -186,7 +188,7 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
         F.count(F.lit(1)).alias("n_paragraphs"), F.count("keeper").alias("n_repeated"), F.count_if("gone").alias("n_removed"),
         F.coalesce(F.sum(F.when(F.col("gone"), F.col("n_words"))), F.lit(0)).cast("long").alias("words_removed"),
         F.array_sort(F.collect_set("keeper.doc_id")).alias("kept_in"),
-        F.collect_list(F.when(F.col("gone"), F.col("place"))).alias("places")).withColumnRenamed("doc_id", "id").withColumnRenamed("text_hash", "hash"))
+        F.collect_list(F.when(F.col("gone"), F.col("place"))).alias(own_places)).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}))
 
     @F.pandas_udf("string")
     def without(texts, places):
@@ -198,9 +200,9 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
             out.append("\n".join(line for k, line in enumerate(text.split("\n")) if k not in drop))
         return pd.Series(out, dtype=object)
 
-    joined = docs.join(per_doc, docs["doc_id"].cast("long").eqNullSafe(per_doc["id"]) & (docs["text_hash"] == per_doc["hash"]), "left")
-    touched = joined.filter("n_removed > 0").withColumn("text", without("text", "places"))
+    joined = docs.join(per_doc, docs["doc_id"].cast("long").eqNullSafe(per_doc[own_id]) & (docs[mark] == per_doc[own_hash]), "left")
+    touched = joined.filter("n_removed > 0").withColumn("text", without("text", own_places))
     same = joined.filter("coalesce(n_removed, 0) = 0")
     zero = {n: F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in new[:-1]}
-    columns = [*kept, *zero.values(), F.coalesce("kept_in", F.array().cast("array<bigint>")).alias("kept_in")]
+    columns = [*kept, (F.coalesce("n_repeated", F.lit(0)) > 0).alias("has_repeated"), *zero.values(), F.coalesce("kept_in", F.array().cast("array<bigint>")).alias("kept_in")]
     return touched.select(*columns).unionByName(same.select(*columns))

@@ -214,12 +214,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
     """(doc_id, fp, component_id) for every row of `docs(doc_id, text)`.
 
     Rows with one fingerprint are folded first, so copies cost one row each and no pair. A null text has fingerprint
-    zero and links like any other; a null doc_id gets its group's component, or null if it stands alone with
-    other null ids. Other columns are ignored. `blocks` sets the width of the join keys (6: 21 of 64 bits);
+    zero and links like any other. Fingerprints are the nodes, so rows with a null id link others too; component_id is the smallest id
+    of the component, null if all its ids are null. Repeated rows have one component, a very long text is hashed in bounded runs, an empty
+    table gives no row. Other columns are ignored. `blocks` sets the width of the join keys (6: 21 of 64 bits);
     raise it with the corpus, every value of radius + 1 or more finds all links.
     """
     prints = materialise(fingerprints(docs, shingle))
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    found = components(link_edges(nodes.filter("node is not null"), radius, blocks, block_rows))
-    named = materialise(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(link_edges(nodes.select("fp", F.col("fp").alias("node")), radius, blocks, block_rows))
+    grouped = materialise(nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("group")))
+    named = materialise(grouped.select("fp", "group").join(grouped.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("fp", "component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
