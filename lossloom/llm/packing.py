@@ -7,6 +7,7 @@ import math
 import os
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -19,10 +20,22 @@ from lossloom.llm.common import arrow_pass, as_bytes
 from lossloom.session import scratch_path
 
 END = 1
-CACHE = 300_000
-BAR = b"|"
-# A point or comma between a letter and white space is a token of its own for the tokenizer; cut off, it leaves fewer distinct words.
-POINT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+CACHE = 250_000
+# What the tokenizer's own pattern cuts a word into, for words of ASCII and of the small letters from U+00DF to U+00FF. The bar is
+# left out: only the two special tokens hold it, and words with it go to the tokenizer whole, as do words with any other character.
+LETTER_RUN = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + LETTER_RUN + rb"|[0-9]|[!-/:-@\[-`{}~]+")
+SPECIAL = b"<|"
+
+
+def byte_letters() -> dict[int, int]:
+    """The code point that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the others from 256 on."""
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+# The bytes of PIECES that do not stand for themselves.
+MOVED = [(chr(b), chr(c)) for b, c in byte_letters().items() if 0x9f <= b <= 0xbf]
 
 
 @functools.cache
@@ -33,56 +46,70 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class WordIds(dict):
+    """Token ids (16-bit numbers) of lower-case words; a word that is not there yet is encoded from its pieces, and so are they once.
+
+    Once CACHE words are held they become the older half, from which words come back when they are met again, so that
+    frequent words stay and at most 2 * CACHE are kept.
+    """
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.merge = model, model.model.tokenize
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.merged(word.decode()) if word.isalpha() else self.from_pieces(word)
+        self[word] = ids
+        return ids
+
+    def from_pieces(self, word: bytes) -> bytes:
+        pieces = PIECES.findall(word)
+        if len(pieces) == 1 and len(pieces[0]) == len(word):
+            letters = word.decode("latin-1")
+            for byte, letter in MOVED:
+                letters = letters.replace(byte, letter)
+            return self.merged(letters)
+        if sum(map(len, pieces)) < len(word):
+            return self.whole(word)
+        return b"".join(map(self.__getitem__, pieces))
+
+    def merged(self, piece: str) -> bytes:
+        return array("H", [t.id for t in self.merge(piece)]).tobytes()
+
+    def whole(self, text: bytes) -> bytes:
+        return array("H", self.model.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids).tobytes()
+
+    def age(self) -> None:
+        if len(self) > CACHE:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Token ids of whole texts as 16-bit numbers, from the ids of their words.
 
     The tokenizer never joins characters across the six white-space bytes, so a text's ids are the ids of its
     words one after the other, in either case of letters; each distinct word is encoded once while it is cached.
+    Special tokens are the exception, they are known in lower case alone: a word that may hold one keeps its case.
     """
 
     def __init__(self, path: str):
         self.model = tokenizer(path)
         if self.model.get_vocab_size() > 1 << 16:
             raise ValueError("a vocabulary of more than 65,536 ids does not fit two bytes")
-        self.cache: dict[bytes, bytes] = {}
-        self.bar = int(np.frombuffer(self.ids_of(BAR), "<u2")[0])
+        self.words = WordIds(self.model)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [POINT.sub(rb" \1", t.lower()).split() for t in texts]
-        out: list[bytes | None] = [self.known(w) for w in split]
-        missed = [k for k, ids in enumerate(out) if ids is None]
-        fresh = set().union(*(split[k] for k in missed)) - self.cache.keys()
-        if len(self.cache) + len(fresh) > CACHE:
-            self.cache.clear()
-            fresh = set().union(*(split[k] for k in missed))
-        odd = [w for w in fresh if BAR in w]
-        plain = [w for w in fresh if BAR not in w]
-        for s in range(0, len(plain), 2000):
-            self.learn(plain[s:s + 2000])
-        for w in odd:
-            self.cache[w] = self.ids_of(w)
-        for k in missed:
-            out[k] = self.known(split[k])
-        return out
-
-    def ids_of(self, text: bytes) -> bytes:
-        return np.array(self.model.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, "<u2").tobytes()
-
-    def learn(self, some: list[bytes]) -> None:
-        """Encode words in one call with a bar between them, whose one id marks where each word's ids end."""
-        ids = self.ids_of(b" | ".join(some))
-        cut = 2 * np.flatnonzero(np.frombuffer(ids, "<u2") == self.bar)
-        if len(cut) != len(some) - 1:
-            self.cache.update((w, self.ids_of(w)) for w in some)
-        else:
-            self.cache.update((w, ids[a:b]) for w, a, b in zip(some, [0, *(cut + 2).tolist()], [*cut.tolist(), len(ids)]))
-
-    def known(self, found: list[bytes]) -> bytes | None:
-        """Ids of words that are all cached, else None."""
-        try:
-            return b"".join(map(self.cache.__getitem__, found))
-        except KeyError:
-            return None
+        return [self.ids(t) for t in texts]
+
+    def ids(self, text: bytes) -> bytes:
+        self.words.age()
+        if SPECIAL in text:
+            return b"".join([self.words.whole(w) if SPECIAL in w else self.words[w.lower()] for w in text.split()])
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -297,6 +297,17 @@ def test_word_encoder_equals_whole_texts():
     assert encoder.encode([t.encode() for t in odd]) == want
 
 
+def test_word_encoder_equals_the_tokenizer_on_mixed_characters(monkeypatch):
+    """Every byte of ASCII, small letters beyond it, other letters, spaces and special tokens, with a cache that ages all the time."""
+    monkeypatch.setattr(packing, "CACHE", 40)
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(8)
+    some = [*map(chr, range(128)), *"abcABC.,'|<>  \néÉßàí÷ÿİ中…½²ªµﬁ\u0301\u00a0\u2003\x85", "'s", "'re", "'LL", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endoftext|>"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    want = [np.array(encoder.model.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert encoder.encode([t.encode() for t in texts]) == want
+
+
 def test_packing_mixture_in_windows():
     packer = packing.Packer(0, 100, 1, {"a": 0.5, "b": 0.3, "c": 0.2}, {})
     for source, n in (("a", 5000), ("b", 3000), ("c", 2000)):
