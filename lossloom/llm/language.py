@@ -14,7 +14,7 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 512
-CHUNK = 1 << 20
+CHUNK = 1 << 16  # n-grams summed at once: at most CHUNK x MAX_LANGUAGES numbers, 256 MB at 512 languages, 8 MB at 16
 BLANK = 32
 
 
@@ -25,11 +25,11 @@ def letters() -> np.ndarray:
 
 
 def features(text: bytes) -> np.ndarray:
-    """Buckets of all n-grams of a whole text: lower case, every run of other than letters one blank; empty without a letter."""
+    """Buckets (two bytes each) of all n-grams of a whole text: lower case, every run of other than letters one blank; empty without a letter."""
     codes = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le", "replace"), "<u4")
     is_letter = letters()[codes]
     if not is_letter.any():
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint16)
     codes = np.where(is_letter, codes, BLANK)
     codes = codes[is_letter | np.r_[True, is_letter[:-1]]]
     codes = np.r_[codes[:0], BLANK, codes, BLANK].astype(np.uint32) if codes[0] != BLANK else np.r_[codes, BLANK].astype(np.uint32)
@@ -40,7 +40,7 @@ def features(text: bytes) -> np.ndarray:
             break
         value = value[:len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1:] + np.uint32(n)
         mixed = value * np.uint32(0x9E3779B1)
-        out.append((mixed >> np.uint32(16)).astype(np.int64))
+        out.append((mixed >> np.uint32(16)).astype(np.uint16))
     return np.concatenate(out)
 
 
