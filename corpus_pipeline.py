@@ -34,7 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = rows.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
     kept = materialise(first.select(F.col("first.row").alias("row")))
-    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
+    # The numbers that stay are the hashed side, so that texts are streamed past them and not sorted.
+    return rows.join(kept.hint("shuffle_hash"), "row", "left_semi").select(*COLUMNS)
 
 
 def drop_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
