@@ -17,6 +17,8 @@ from lossloom.session import materialise
 
 SHINGLE = 5
 MIN_WORDS = 20
+# Short lines are joined to at most so many times the least number of words.
+LONGEST = 8
 # 1 - (1 - 0.8^3)^10 = 0.9992 of the pairs with Jaccard 0.8 collide in a band, and more of the closer ones.
 BANDS, BAND_ROWS = 10, 3
 PIECE = 1 << 14
@@ -47,30 +49,64 @@ def bands(found: list[bytes]) -> list[int]:
     return [xxhash.xxh64_intdigest(keys[b].tobytes(), b) - (1 << 63) for b in range(BANDS)]
 
 
+def paragraphs_of(text: bytes, min_words: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first line, lines, words) of the paragraphs of a text.
+
+    A line of `min_words` words or more is one. Shorter lines that follow each other (lines without a word between them do not part
+    them) are joined until they have `min_words` words and the hash of their last line is even, or LONGEST times as many words: borders
+    depend on the lines around them, so a passage in short lines is cut alike wherever it stands. What is left at the end of such a run
+    belongs to the paragraph before it; a run with fewer words in all is no paragraph.
+    """
+    run: list[tuple[int, int, list[bytes]]] = []
+    start, held, end = -1, [], -1
+
+    def rest() -> list[tuple[int, int, list[bytes]]]:
+        if len(held) >= max(1, min_words):
+            run.append((start, end - start, held))
+        elif held and run:
+            first, _, words = run.pop()
+            run.append((first, end - first, words + held))
+        return run
+
+    for place, line in enumerate(text.lower().split(b"\n")):
+        found = line.split()
+        if len(found) >= min_words:
+            yield from rest()
+            yield place, 1, found
+            run, held = [], []
+        elif found:
+            if not held:
+                start = place
+            held, end = held + found, place + 1
+            if len(held) >= min_words and (len(held) >= LONGEST * min_words or xxhash.xxh64_intdigest(b" ".join(found)) % 2 == 0):
+                if run:
+                    yield run.pop()
+                run, held = [(start, end - start, held)], []
+    yield from rest()
+
+
 def paragraph_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, place, digest, n_words, bands) of every line with `min_words` words or more."""
+    """(doc_id, text_hash, place, span, digest, n_words, bands) of every paragraph: it begins at line `place` and has `span` lines."""
 
     def make():
         def step(batch: dict) -> dict | None:
             if not batch:
                 return None
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(7)]
             for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
                 seen: dict[bytes, list[int]] = {}
-                for place, line in enumerate(text.split(b"\n")):
-                    found = line.lower().split()
-                    if len(found) >= min_words:
-                        digest = blake2b(b" ".join(found), digest_size=16).digest()
-                        if digest not in seen:
-                            seen[digest] = bands(found)
-                        for column, value in zip(rows, (doc_id, text_hash, place, digest, len(found), seen[digest])):
-                            column.append(value)
-            return dict(zip(("doc_id", "text_hash", "place", "digest", "n_words", "bands"), rows))
+                for place, span, found in paragraphs_of(text, min_words):
+                    digest = blake2b(b" ".join(found), digest_size=16).digest()
+                    if digest not in seen:
+                        seen[digest] = bands(found)
+                    for column, value in zip(rows, (doc_id, text_hash, place, span, digest, len(found), seen[digest])):
+                        column.append(value)
+            return dict(zip(("doc_id", "text_hash", "place", "span", "digest", "n_words", "bands"), rows))
 
         return step
 
     return arrow_pass(docs.select("doc_id", "text_hash", as_bytes(F.col("text")).alias("text")),
-                      "doc_id long, text_hash long, place int, digest binary, n_words int, bands array<long>", make)
+                      "doc_id long, text_hash long, place int, span int, digest binary, n_words int, bands array<long>", make)
 
 
 def jaccard_edges(rows: list[tuple[bytes, list[bytes]]], threshold: float) -> Iterator[tuple[bytes, bytes]]:
@@ -111,11 +147,12 @@ def verified_edges(distinct: DataFrame, docs: DataFrame, threshold: float, block
     dealt = materialise(cells(keyed, F.xxhash64("short", F.lit(3)), block_rows).select("cell", "key", "short"))
     wanted = distinct.select("digest", "rep", short).join(dealt.select("short").distinct(), "short", "left_semi").select("digest", "rep")
     places = materialise(wanted.groupBy(F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")).agg(
-        F.collect_list(F.struct(F.col("rep.place").alias("place"), "digest")).alias("wanted")))
+        F.collect_list(F.struct(F.col("rep.place").alias("place"), F.col("rep.span").alias("span"), "digest")).alias("wanted")))
     # One copy of the document is enough: rows of one id and hash have the same text.
     texts = docs.join(places, docs["doc_id"].eqNullSafe(places["doc_id"]) & (docs["text_hash"] == places["text_hash"])).select(
         F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"), F.explode("wanted").alias("w")).select(
-        F.col("w.digest").alias("digest"), F.get("lines", F.col("w.place")).alias("line"))
+        F.col("w.digest").alias("digest"), 
+        F.array_join(F.slice("lines", F.col("w.place") + 1, F.col("w.span")), " ").alias("line"))
     texts = materialise(texts.groupBy("digest").agg(F.min("line").alias("line")))
     rows = by_cell(dealt.join(texts.select("digest", "line", short), "short").select("cell", "key", "digest", F.col("line").cast("binary").alias("line")), spark)
 
@@ -149,7 +186,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256
     # A line feed separates words like a blank, so a text is one line of the same words.
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("text_hash"), F.translate("text", "\n", " ").alias("text"))
     lines = materialise(paragraph_rows(keys, 0))
-    distinct = materialise(lines.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "place")).alias("rep"), F.first("bands").alias("bands")))
+    distinct = materialise(lines.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "place", "span")).alias("rep"), F.first("bands").alias("bands")))
     linked = components(verified_edges(distinct, keys, threshold, block_rows))
     return lines.select("doc_id", "digest").join(linked, F.col("digest") == linked["node"], "left").select(
         "doc_id", F.coalesce("component", "digest").alias("component"))
@@ -158,11 +195,12 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256
 def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_WORDS, block_rows: int = 512) -> DataFrame:
     """Columns of `docs(doc_id, text, ...)` with the repeated paragraphs taken out of `text`, and what was found.
 
-    Paragraphs are lines of `min_words` words or more, compared in lower case (A to Z) by their sets of five-word shingles.
-    Lines linked by Jaccard `threshold` or more, within a document or across, form a class; the first of a class by
-    (doc_id, place) stays and the others go. n_paragraphs counts the lines looked at, n_repeated those in a class of
-    two lines or more (kept ones included), n_removed and words_removed what went, kept_in lists the documents that hold the kept lines.
-    Shorter lines and a null text stay as they are. Rows equal in id and text are one document and treated alike; null
+    Paragraphs are those of paragraphs_of(): lines of `min_words` words or more, and neighbouring shorter lines joined. They are compared
+    in lower case (A to Z) by their sets of five-word shingles.
+    Paragraphs linked by Jaccard `threshold` or more, within a document or across, form a class; the first of a class by
+    (doc_id, place) stays and the others go. n_paragraphs counts the paragraphs looked at, n_repeated those in a class of
+    two or more (kept ones included), n_removed and words_removed what went, kept_in lists the documents that hold the kept ones.
+    Runs of short lines with fewer than `min_words` words in all (headings, greetings) and a null text stay as they are. Rows equal in id and text are one document and treated alike; null
     ids come first in the order. Existing columns of the six new names are replaced, others keep their values whatever their names. has_repeated
     says plainly that n_repeated is not 0. A very long text is looked at as a whole, an empty table stays empty.
     """
@@ -173,7 +211,7 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("text_hash"), "text")
     lines = materialise(paragraph_rows(keys, min_words))
     distinct = materialise(lines.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "text_hash", "place")).alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")))
+        F.min(F.struct("doc_id", "text_hash", "place", "span")).alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")))
     linked = components(verified_edges(distinct.select("digest", "rep", "bands"), keys, threshold, block_rows))
     named = distinct.join(linked, distinct["digest"] == linked["node"], "left").select(
         "digest", "rep", "n", F.coalesce("component", "digest").alias("class"))
@@ -181,14 +219,14 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     classes = materialise(named.groupBy("class").agg(F.min("rep").alias("keeper"), F.sum("n").alias("n")).filter("n > 1"))
     members = materialise(named.join(classes.select("class", "keeper"), "class").select("digest", "keeper"))
     found = lines.drop("bands").join(members, "digest", "left").select(
-        "doc_id", "text_hash", "place", "n_words", "keeper",
-        (~F.struct("doc_id", "text_hash", "place").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull()).alias("gone"))
+        "doc_id", "text_hash", "place", "span", "n_words", "keeper",
+        (~F.struct("doc_id", "text_hash", "place", "span").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull()).alias("gone"))
     per_doc = materialise(found.groupBy("doc_id", "text_hash", "place").agg(
-        F.first("n_words").alias("n_words"), F.first("keeper").alias("keeper"), F.first("gone").alias("gone")).groupBy("doc_id", "text_hash").agg(
+        F.first("n_words").alias("n_words"), F.first("span").alias("span"), F.first("keeper").alias("keeper"), F.first("gone").alias("gone")).groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("n_paragraphs"), F.count("keeper").alias("n_repeated"), F.count_if("gone").alias("n_removed"),
         F.coalesce(F.sum(F.when(F.col("gone"), F.col("n_words"))), F.lit(0)).cast("long").alias("words_removed"),
         F.array_sort(F.collect_set("keeper.doc_id")).alias("kept_in"),
-        F.collect_list(F.when(F.col("gone"), F.col("place"))).alias(own_places)).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}))
+        F.flatten(F.collect_list(F.when(F.col("gone"), F.sequence("place", F.col("place") + F.col("span") - 1)))).alias(own_places)).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}))
 
     @F.pandas_udf("string")
     def without(texts, places):

@@ -118,10 +118,8 @@ def test_repeated_paragraphs(spark, docs, texts):
     rows = paragraphs.drop_repeated(docs, block_rows=3).collect()
     lines = []
     for k, text in enumerate(texts):
-        for place, line in enumerate((text or "").split("\n")):
-            found = line.encode().lower().split()
-            if len(found) >= paragraphs.MIN_WORDS:
-                lines.append(((k, place), frozenset(paragraphs.shingles(found))))
+        for place, span, found in paragraphs.paragraphs_of((text or "").encode(), paragraphs.MIN_WORDS):
+            lines.append(((k, place, span), frozenset(paragraphs.shingles(found))))
     label = list(range(len(lines)))
     for i, (_, a) in enumerate(lines):
         for j in range(i):
@@ -129,17 +127,55 @@ def test_repeated_paragraphs(spark, docs, texts):
             if len(a & b) >= 0.8 * len(a | b):
                 low, high = sorted((label[i], label[j]))
                 label = [low if x == high else x for x in label]
-    gone = {lines[i][0] for i in range(len(lines)) if label[i] != i}
+    removed = [lines[i][0] for i in range(len(lines)) if label[i] != i]
+    gone = {(k, place + j) for k, place, span in removed for j in range(span)}
     got = by_row(rows)
     for k, text in enumerate(texts):
         key = k if k != 3 else None
         kept = "\n".join(x for p, x in enumerate((text or "").split("\n")) if (k, p) not in gone)
         assert (got[key]["text"] or "") == kept
-        assert got[key]["n_removed"] == sum(d == k for d, _ in gone)
-    assert len(gone) > 5 and len(rows) == len(texts)
+        assert got[key]["n_removed"] == sum(d == k for d, _, _ in removed)
+    assert len(removed) > 5 and len(rows) == len(texts)
     assert paragraphs.drop_repeated(empty(spark)).count() == 0
 
 
+def test_short_lines_are_joined():
+    """Every run of short lines with MIN_WORDS words is covered once and in order; long lines stand alone; nothing else is."""
+    rng = random.Random(11)
+    for _ in range(200):
+        sizes = [rng.choice([0, 1, 3, 8, 15, 19, 20, 45]) for _ in range(rng.randint(0, 30))]
+        lines = [" ".join(f"W{rng.randrange(50)}" for _ in range(n)).encode() for n in sizes]
+        found = list(paragraphs.paragraphs_of(b"\n".join(lines), 20))
+        covered = [p for place, span, _ in found for p in range(place, place + span)]
+        assert covered == sorted(set(covered))
+        for place, span, words in found:
+            assert words == b" ".join(lines[place:place + span]).lower().split() and len(words) >= 20
+            assert span == 1 or max(sizes[place:place + span]) < 20
+        run: list[int] = []
+        for place in range(len(sizes) + 1):
+            if place < len(sizes) and sizes[place] < 20:
+                run += [place] if sizes[place] else []
+                continue
+            assert (set(run) <= set(covered)) == (not run or sum(sizes[p] for p in run) >= 20)
+            run = []
+            assert place == len(sizes) or (place, 1) in [(p, s) for p, s, _ in found]
+
+
+def test_passage_in_short_lines_is_found(spark):
+    """A passage of 240 words in lines of six stands in the middle of other short lines, which differ, and is cut alike."""
+    rng = random.Random(5)
+
+    def lines(n):
+        return [" ".join(f"w{rng.randrange(10_000)}" for _ in range(6)) for _ in range(n)]
+
+    passage = lines(40)
+    held = make_docs(spark, ["\n".join(lines(9 + k) + passage + lines(7)) for k in range(3)] + ["\n".join(lines(50)) for _ in range(5)])
+    got = [r["has_repeated"] for r in paragraphs.drop_repeated(held).orderBy(F.col("text").isNull(), F.col("doc_id").asc_nulls_last()).collect()]
+    assert sum(got) == 3
+    left = paragraphs.drop_repeated(held).agg(F.sum("words_removed")).first()[0]
+    assert left >= 0.7 * 2 * 240
+
+
 @pytest.mark.parametrize("step", [2, 3])
 def test_top_inner_products(spark, step):
     rng = np.random.default_rng(step)
