@@ -199,7 +199,7 @@ def nmf_topics(t: Tables):
     grams = docs.select("doc_id", "source", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
     model, _ = V.tfidf_model(grams, "terms", 500)
     vectors = V.tfidf_vectors(grams, model).select("doc_id", "source", "tfidf")
-    factors = P.fit_factors(vectors, "tfidf", 500, topics=10, iterations=20)
+    factors = P.fit_factors(vectors, "tfidf", 500, topics=10)
     loadings = P.factor_loadings(vectors, "tfidf", factors)
     return P.topic_shares(loadings, "doc_id", "loadings", 10, "Topic_AN_")
 

@@ -54,6 +54,8 @@ class TopicFactors:
 
     matrix: np.ndarray
     inner: int
+    # How the fit went: passes over the documents, and the squared error of each pass.
+    errors: tuple[float, ...] = ()
 
     def top_terms(self, terms: list[str], n: int = 20) -> list[list[str]]:
         return [[terms[i] for i in np.argsort(-row, kind="stable")[:n]] for row in self.matrix]
@@ -73,24 +75,43 @@ def _loadings(flat: np.ndarray, amounts: np.ndarray, sizes: np.ndarray, matrix:
     return loads
 
 
+def topic_sweeps(matrix: np.ndarray, cross: np.ndarray, gram: np.ndarray, sweeps: int) -> np.ndarray:
+    """Topics x terms after block-wise updates for fixed loadings, of which only the sums of a pass are needed.
+
+    A sweep sets each topic in turn to its exact minimum given the others; sweeps end when they no longer move the matrix.
+    """
+    matrix = matrix.copy()
+    for _ in range(sweeps):
+        before = matrix.copy()
+        for t in range(len(matrix)):
+            if gram[t, t] > TINY:
+                matrix[t] = np.maximum(matrix[t] + (cross[t] - gram[t] @ matrix) / gram[t, t], TINY)
+        if np.abs(matrix - before).max() < 1e-6 * max(np.abs(matrix).max(), TINY):
+            break
+    return matrix
+
+
 def fit_factors(vectors: DataFrame, vector: str, width: int, topics: int = 10, iterations: int = 500,
-                tolerance: float = 1e-4, inner: int = 20, seed: int = 1) -> TopicFactors:
+                tolerance: float = 1e-5, inner: int = 20, seed: int = 1, sweeps: int = 50) -> TopicFactors:
     """Non-negative factors of a sparse document x term matrix, zeros included.
 
     The loadings of a document follow from its row and the current topics alone, so they are recomputed inside each
-    pass and never stored; a pass returns only the sums that update the topics x terms matrix. That matrix is
-    bounded by topics * width and is all the driver holds.
+    pass and never stored; a pass returns only the sums that update the topics x terms matrix, and its squared error. That matrix is
+    bounded by topics * width and is all the driver holds. The sums of one pass serve up to `sweeps` block-wise updates of all topics.
+    Passes end when the squared error has fallen by less than `tolerance` of itself in each of two passes, or after `iterations`; the topics with the
+    least error are returned.
     """
     if topics * width > FACTOR_LIMIT:
         raise ValueError("topics * width is too large for the driver; limit the vocabulary")
     stored = materialise(vectors.select(F.unwrap_udt(vector).alias("v")).select("v.indices", "v.values"))
     matrix = np.random.default_rng(seed).uniform(0.1, 1.0, (topics, width))
     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    best, errors = matrix, []
     for _ in range(iterations):
         matrix_now = matrix
 
         def pass_sums(batches):
-            cross, gram = np.zeros((topics, width)), np.zeros((topics, topics))
+            cross, gram, square = np.zeros((topics, width)), np.zeros((topics, topics)), 0.0
             for batch in batches:
                 indices, values = batch.column("indices"), batch.column("values")
                 sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -98,22 +119,26 @@ def fit_factors(vectors: DataFrame, vector: str, width: int, topics: int = 10, i
                 amounts = values.flatten().to_numpy(zero_copy_only=False)
                 loads = _loadings(flat, amounts, sizes, matrix_now, inner)
                 gram += loads.T @ loads
+                square += float(amounts @ amounts)
                 spread = np.repeat(loads, sizes, axis=0) * amounts[:, None]
                 for t in range(topics):
                     cross[t] += np.bincount(flat, weights=spread[:, t], minlength=width)
-            yield pa.RecordBatch.from_pydict({"sums": [np.concatenate([cross.ravel(), gram.ravel()])]})
+            yield pa.RecordBatch.from_pydict({"sums": [np.concatenate([cross.ravel(), gram.ravel(), [square]])]})
 
         partial = stored.mapInArrow(pass_sums, "sums array<double>").select(
             array_to_vector("sums").alias("sums"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("slot"))
         folded = partial.groupBy("slot").agg(Summarizer.sum(F.col("sums")).alias("sums"))
         total = folded.agg(Summarizer.sum(F.col("sums")).alias("sums")).first()["sums"].toArray()
-        cross, gram = total[: topics * width].reshape(topics, width), total[topics * width:].reshape(topics, topics)
-        matrix = matrix_now * cross / (gram @ matrix_now + TINY)
+        cross, gram = total[: topics * width].reshape(topics, width), total[topics * width:-1].reshape(topics, topics)
+        errors.append(float(total[-1] - 2 * (cross * matrix_now).sum() + (gram * (matrix_now @ matrix_now.T)).sum()))
+        if errors[-1] <= min(errors):
+            best = matrix_now
+        if len(errors) > 2 and all(a - b < tolerance * max(a, TINY) for a, b in zip(errors[-3:-1], errors[-2:])):
+            break
+        matrix = topic_sweeps(matrix_now, cross, gram, sweeps)
         lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
         matrix = matrix / np.where(lengths > 0, lengths, 1.0)
-        if np.abs(matrix - matrix_now).max() < tolerance:
-            break
-    return TopicFactors(matrix, inner)
+    return TopicFactors(best, inner, tuple(errors))
 
 
 def factor_loadings(vectors: DataFrame, vector: str, factors: TopicFactors, name: str = "loadings") -> DataFrame:

@@ -232,3 +232,31 @@ def test_fallback_and_terms_use_the_split(spark, no_broadcast, monkeypatch):
     assert sum(r["n"] for r in found) == 1200 and sum(r["n"] for r in found if r["stem"] == "com") == 800
     weights = V.tfidf_table(docs.withColumn("toks", F.when(F.col("doc") == 0, F.array(F.lit("w0"))).otherwise(F.col("toks"))), "doc", "toks", V.log2_idf).collect()
     assert {r["df"] for r in weights if r["term"] == "common"} == {399} and sum(r["term"] == "common" for r in weights) == 399
+
+
+def test_factors_in_few_passes(spark):
+    """Several topic updates a pass end in far fewer passes than single ones, at an error within a thousandth of theirs."""
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(4)
+    dense = np.maximum(rng.gamma(0.3, 1.0, (300, 4)) @ rng.gamma(0.2, 1.0, (4, 30)) + rng.normal(0, 0.05, (300, 30)), 0) * (rng.random((300, 30)) < 0.7)
+    dense[7] = 0
+    rows = [(Vectors.sparse(30, [(j, float(x)) for j, x in enumerate(r) if x > 0]),) for r in dense]
+    found = P.fit_factors(spark.createDataFrame(rows, ["v"]).repartition(3), "v", 30, topics=4)
+
+    def loads(matrix):
+        product, gram = dense @ matrix.T, matrix @ matrix.T
+        out = np.where(product > 0, 1.0, 0.0) * product.mean(1, keepdims=True)
+        for _ in range(20):
+            out *= product / (out @ gram + 1e-12)
+        return out
+
+    matrix = np.random.default_rng(1).uniform(0.1, 1.0, (4, 30))
+    for _ in range(500):
+        held = loads(matrix)
+        matrix = matrix * (held.T @ dense) / (held.T @ held @ matrix + 1e-12)
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    single = ((dense - loads(matrix) @ matrix) ** 2).sum()
+    own = ((dense - loads(found.matrix) @ found.matrix) ** 2).sum()
+    assert own == pytest.approx(min(found.errors)) and own <= 1.001 * single
+    assert len(found.errors) < 150 and (found.matrix >= 0).all()
