@@ -18,7 +18,11 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay, with the language found; texts without a letter or of an unsure language go."""
+    """Documents in a learned language stay, with the language found; texts without a letter or of an unsure language go.
+
+    Null and empty texts have no letter. Equal rows are judged alike and stay as often as they come. A very long text is read as a whole, other
+    columns go, an empty table stays empty.
+    """
     found = language.identify(docs).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
@@ -39,19 +43,32 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated paragraphs go from the texts; a document of which no word is left goes."""
+    """Repeated paragraphs go from the texts; a document of which no word is left goes, so does one with a null or empty text.
+
+    Rows equal in id and text are one document to the operator: what is taken from one is taken from each. Null ids come first in the order of
+    which paragraph stays. A very long text is looked at as a whole, other columns go, an empty table stays empty.
+    """
     found = paragraphs.drop_repeated(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row is repeated as often as the mix takes it; ids need not be unique and may be null."""
+    """Every row is repeated as often as the mix takes it; ids need not be unique and may be null.
+
+    Repeated rows are rows of their own. A null or empty text has size 0, so the mix may take it or not; where its source is taken whole, it is.
+    A very long text counts with all its words, other columns go, an empty table stays empty.
+    """
     rows = keyed(docs)
     taken = materialise(mixing.mix(rows, carry=("row",)).filter("times > 0").select("row", "times"))
     return rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows, as packing.pack() gives them.
+
+    A null or empty text is one end token. Repeated rows are packed as often as they come, null ids stay null, a very long text is cut into as
+    many pieces as it needs, columns other than id, text and source are ignored, an empty table gives no piece.
+    """
     return packing.pack(docs)
 
 
