@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lossloom.llm import simhash
@@ -63,3 +64,35 @@ def test_mix_takes_rows_without_or_with_repeated_ids(spark):
     got = corpus_pipeline.mix_sources(spark, docs, SF_DIR).collect()
     # One source: its target is its size, so every row is taken once.
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+
+
+def test_stages_on_empty_tables_and_odd_rows(spark):
+    """No row gives no row; nulls in any column, repeated rows, a long text and columns with names that stages use inside pass through all stages."""
+    rng = random.Random(8)
+    line = lambda n: " ".join(f"w{rng.randrange(5_000)}" for _ in range(n))
+    texts = [line(60) for _ in range(12)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [
+        (None, line(40), "en", None, None), (50, line(30_000), None, "s", 2), (51, None, "en", "s", None), (52, "", None, None, 0), (1, texts[1], "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    # Stages read the five columns; these are there besides.
+    extra = {"row": "x", "component_id": "y", "guess": "z", "places": "p", "size": "q", "copy": "r"}
+    plain = spark.createDataFrame(rows, schema)
+    for start, odd in ((spark.createDataFrame([], schema), False), (plain, True)):
+        docs = start
+        for name, stage in corpus_pipeline.STAGES:
+            if odd and name in ("language", "repeated_paragraphs", "packing"):
+                docs = docs.withColumns({n: F.lit(v) for n, v in extra.items()})
+            docs = corpus_pipeline.materialise(stage(spark, docs, SF_DIR))
+            if not odd:
+                assert docs.count() == 0
+            elif name == "near_duplicates":
+                kept = Counter(r["doc_id"] for r in docs.collect())
+                assert kept[1] == 1 and kept[None] == 1 and kept[50] == 1 and kept[51] == 0
+            ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+            if odd and name == "repeated_paragraphs":
+                assert ids == {None, *range(12), 50}
+            # The mix leaves out what its targets do not want; packing gives pieces of every row it gets.
+            assert name != "packing" or ids == mixed
+            mixed = ids
+            if name != "packing":
+                assert docs.columns == list(corpus_pipeline.COLUMNS)
