@@ -4,6 +4,10 @@ Points are assigned to the nearest of a bounded set of pivots. An upper bound on
 cell follows from the pivots, and a point travels only to the cells its distance allows (triangle inequality), so
 the result is exact. Equal vectors are merged first, so a large group of copies costs one vector. Cells are cut
 into blocks of bounded size; a block returns k candidates per point, never all pairs.
+
+The points that would travel are counted first. Where the pivots part little (vectors of many components that lie about
+equally far from each other), that is more than to let every pair of hashed blocks meet once, and the blocks do it: the
+work is quadratic then, as exact neighbours of such vectors are, but a task holds two blocks and n * blocks rows travel.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +24,10 @@ from lossloom.session import materialise
 
 PIVOT_LIMIT = 1024
 BLOCK = 2048
+# Components of a block where all pairs of blocks meet: 4 MB of doubles; rows compared and rows sent at once.
+BLOCK_COMPONENTS = 1 << 19
+STEP = 512
+SENT = 8192
 
 
 def _smallest(df: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
@@ -37,9 +46,55 @@ def _slack(points: np.ndarray) -> float:
     return 1e-6 * (1.0 + float(np.abs(points).max(initial=0.0)))
 
 
+def _nearest(ids: np.ndarray, points: np.ndarray, other_ids: np.ndarray, others: np.ndarray, k: int) -> list[pd.DataFrame]:
+    """(vid, nvid, distance): the k nearest of the others for each point, its own id left out; STEP points at a time."""
+    out = []
+    slack = max(_slack(points), _slack(others))
+    for s in range(0, len(points), STEP):
+        away = _distances(points[s:s + STEP], others)
+        away[ids[s:s + STEP, None] == other_ids[None, :]] = np.inf
+        keep = min(k, away.shape[1])
+        limit = np.partition(away, keep - 1, axis=1)[:, keep - 1] + slack
+        rows, columns = np.nonzero((away <= limit[:, None]) & np.isfinite(away))
+        exact = np.sqrt(((points[s + rows] - others[columns]) ** 2).sum(1))
+        found = pd.DataFrame({"vid": ids[s + rows], "nvid": other_ids[columns], "distance": exact})
+        out.append(found.sort_values(["vid", "distance", "nvid"]).groupby("vid", sort=False).head(k))
+    return out
+
+
+def block_pairs(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
+    """(vid, nvid, distance) candidates of every vector from each block: all pairs of `blocks` hashed blocks meet once, for both sides.
+
+    A row travels `blocks` times and a group holds two blocks, however many vectors there are.
+    """
+    own = F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int").alias("own")
+    rows = vectors.select("vid", "vec", own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        ids = group["vid"].to_numpy()
+        points = np.asarray(group["vec"].chunk(0).flatten()).reshape(len(ids), -1)
+        first = group["own"].to_numpy() == group["a"][0].as_py()
+        if first.all():
+            found = _nearest(ids, points, ids, points, k) if group["a"][0] == group["b"][0] else []
+        elif not first.any():
+            found = []
+        else:
+            found = (_nearest(ids[first], points[first], ids[~first], points[~first], k)
+                     + _nearest(ids[~first], points[~first], ids[first], points[first], k))
+        columns = pd.concat(found) if found else pd.DataFrame({"vid": [], "nvid": [], "distance": []})
+        return pa.table({"vid": pa.array(columns["vid"], pa.int64()), "nvid": pa.array(columns["nvid"], pa.int64()),
+                         "distance": pa.array(columns["distance"], pa.float64())})
+
+    return rows.select("vid", "vec", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).groupBy("a", "b").applyInArrow(
+        meet, "vid bigint, nvid bigint, distance double")
+
+
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """(vid, nvid, distance): the k nearest other vectors of each, ties by nvid. `vectors`: distinct vid, vec."""
     n = vectors.count()
+    if not n:
+        return vectors.sparkSession.createDataFrame([], "vid bigint, nvid bigint, distance double")
     wanted = min(PIVOT_LIMIT, max(1, math.isqrt(n)))
     chosen = vectors.orderBy(F.xxhash64("vid"), "vid").limit(wanted).collect()
     pivots = np.array([r["vec"] for r in chosen])
@@ -66,17 +121,34 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     allowed = reach + bound + _slack(pivots)
     occupied = sizes > 0
 
+    def reached(vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.nonzero((_distances(vecs, pivots) <= allowed[None, :]) & occupied[None, :])
+
+    def count_sent(batches):
+        total = np.zeros(len(pivots), dtype=np.int64)
+        for batch in batches:
+            for s in range(0, len(batch), STEP):
+                total += np.bincount(reached(np.array(batch["vec"].iloc[s:s + STEP].tolist()))[1], minlength=len(pivots))
+        yield pd.DataFrame({"cell": np.flatnonzero(total).astype("int32"), "n": total[total > 0]})
+
     def send(batches):
         for batch in batches:
-            if not len(batch):
-                continue
-            away = _distances(np.array(batch["vec"].tolist()), pivots)
-            rows, cells = np.nonzero((away <= allowed[None, :]) & occupied[None, :])
-            yield pd.DataFrame({"vid": batch["vid"].to_numpy()[rows], "vec": [batch["vec"].iloc[i] for i in rows],
-                                "cell": cells.astype("int32")})
-
-    sent = materialise(placed.select("vid", "vec").mapInPandas(send, "vid bigint, vec array<double>, cell int"))
-    counts = {r["cell"]: r["n"] for r in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+            for s in range(0, len(batch), STEP):
+                part = batch.iloc[s:s + STEP]
+                ids, vecs = part["vid"].to_numpy(), part["vec"].tolist()
+                rows, cells = reached(np.array(vecs))
+                for at in range(0, len(rows), SENT):
+                    r, c = rows[at:at + SENT], cells[at:at + SENT]
+                    yield pd.DataFrame({"vid": ids[r], "vec": [vecs[i] for i in r], "cell": c.astype("int32")})
+
+    reaching = placed.select("vec").mapInPandas(count_sent, "cell int, n bigint")
+    counts = {r["cell"]: r["n"] for r in reaching.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
+    copies = sum(m * max(1, math.ceil(int(sizes[c]) / BLOCK)) + int(sizes[c]) * math.ceil(m / BLOCK) for c, m in counts.items())
+    block = min(4 * BLOCK, max(BLOCK, BLOCK_COMPONENTS // max(1, pivots.shape[1])))
+    if copies > n * math.ceil(n / block):
+        return _smallest(block_pairs(placed.select("vid", "vec"), k, math.ceil(n / block)), "vid", ["distance", "nvid"], k)
+
+    sent = placed.select("vid", "vec").mapInPandas(send, "vid bigint, vec array<double>, cell int")
     blocks = F.create_map(*[F.lit(x) for c, m in counts.items() for x in (c, math.ceil(m / BLOCK))])
     query_blocks = F.create_map(*[F.lit(x) for c in counts for x in (c, max(1, math.ceil(int(sizes[c]) / BLOCK)))])
 
@@ -91,16 +163,8 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"vid": [], "nvid": [], "distance": []})
-        points, others = np.array(left["vec"].tolist()), np.array(right["vec"].tolist())
-        ids, other_ids = left["vid"].to_numpy(), right["vid"].to_numpy()
-        away = _distances(points, others)
-        away[ids[:, None] == other_ids[None, :]] = np.inf
-        keep = min(k, away.shape[1])
-        limit = np.partition(away, keep - 1, axis=1)[:, keep - 1] + _slack(others)
-        rows, columns = np.nonzero((away <= limit[:, None]) & np.isfinite(away))
-        exact = np.sqrt(((points[rows] - others[columns]) ** 2).sum(1))
-        found = pd.DataFrame({"vid": ids[rows], "nvid": other_ids[columns], "distance": exact})
-        return found.sort_values(["vid", "distance", "nvid"]).groupby("vid", sort=False).head(k)
+        found = _nearest(left["vid"].to_numpy(), np.array(left["vec"].tolist()), right["vid"].to_numpy(), np.array(right["vec"].tolist()), k)
+        return pd.concat(found)
 
     keys = ["cell", "qb", "cb"]
     found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(best, "vid bigint, nvid bigint, distance double")
