@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lossloom.catalog.registry import Tables, query
 from lossloom.operators import filters as L
 from lossloom.plans import features as B
+from lossloom.session import dealt
 
 AS_OF = "2002-01-01"
 
@@ -19,7 +20,7 @@ def _days(moment: str, days: str):
 def _lines(t: Tables) -> DataFrame:
     """One line per (order, number), as an exposure needs an id of its own."""
     least = [F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_shipdate")]
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(*least).withColumns({
+    return dealt(t.lineitem, "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(*least).withColumns({
         "id": F.expr("l_orderkey * 10 + l_linenumber"),
         "side": F.expr("case l_returnflag when 'R' then '10001' when 'A' then '10002' end")})
 

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MASK_BITS = 60
+
+
 def sum_when(condition: Column, amount: Column) -> Column:
     return F.sum(F.when(condition, amount).otherwise(F.lit(0)))
 
@@ -24,6 +27,20 @@ def any_when(condition: Column) -> Column:
     return F.max(F.coalesce(condition, F.lit(False)).cast("int"))
 
 
+def flag_masks(conditions: Sequence[Column], name: str = "__mask") -> list[Column]:
+    """Conditions of a row as bits of as few whole numbers as hold them (MASK_BITS each): a group keeps a number, not a column a condition."""
+    masks = []
+    for s in range(0, len(conditions), MASK_BITS):
+        bits = [F.when(c, F.lit(1 << i)).otherwise(0).cast("bigint") for i, c in enumerate(conditions[s:s + MASK_BITS])]
+        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"{name}{s // MASK_BITS}"))
+    return masks
+
+
+def flag_of(place: int, name: str = "__mask") -> Column:
+    """0 or 1: the condition at `place` of flag_masks()."""
+    return F.shiftright(F.col(f"{name}{place // MASK_BITS}"), place % MASK_BITS).bitwiseAND(F.lit(1))
+
+
 def tri_state(flag: Column) -> Column:
     """1 if some row is set, 0 if rows are known but none set, null if none is known."""
     return F.max(F.when(flag == 1, 1).when(flag.isNotNull(), 0))
@@ -42,7 +59,7 @@ def count_distinct_with_null(column: Column) -> Column:
 def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Mapping[str, Column]]) -> DataFrame:
     """Many conditional distinct counts at once: {id column: {measure: condition}}.
 
-    One row per (key, id kind, id) is built first with the conditions folded by `max`, then summed. Rows grow by
+    One row per (key, id kind, id) is built first with the conditions folded as bits of a number, then summed. Rows grow by
     the number of id columns, not by the number of measures, and a key with many rows is spread over its ids.
     """
     names = [m for conditions in measures.values() for m in conditions]
@@ -50,18 +67,16 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, M
     id_type = kinds.pop() if len(kinds) == 1 else "string"
     slots = []
     for kind, (identifier, conditions) in enumerate(measures.items()):
-        flags = [
-            (F.coalesce(conditions[m], F.lit(False)).cast("int") if m in conditions else F.lit(0)).alias(m)
-            for m in names
-        ]
-        slots.append(F.struct(F.lit(kind).alias("kind"), F.col(identifier).cast(id_type).alias("id"), *flags))
+        masks = flag_masks([conditions.get(m, F.lit(False)) for m in names])
+        slots.append(F.struct(F.lit(kind).alias("kind"), F.col(identifier).cast(id_type).alias("id"), *masks))
+    held = [f"__mask{i}" for i in range(-(-len(names) // MASK_BITS))]
     per_id = (
         df.select(*keys, F.explode(F.array(*slots)).alias("slot")).select(*keys, "slot.*")
-        .groupBy(*keys, "kind", "id").agg(*[F.max(m).alias(m) for m in names])
+        .groupBy(*keys, "kind", "id").agg(*[F.bit_or(m).alias(m) for m in held])
     )
     # The group of missing ids stays, so that a key without any id keeps its row of zeros.
     known = F.col("id").isNotNull()
-    return per_id.groupBy(*keys).agg(*[F.sum(F.when(known, F.col(m)).otherwise(0)).alias(m) for m in names])
+    return per_id.groupBy(*keys).agg(*[F.sum(F.when(known, flag_of(i)).otherwise(0)).alias(m) for i, m in enumerate(names)])
 
 
 def pivot_counts(df: DataFrame, key: str, column: str, values: Sequence, prefix: str,

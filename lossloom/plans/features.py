@@ -362,13 +362,15 @@ def claim_measures(fact: DataFrame) -> DataFrame:
               "claimant_tenure_wt": "claimant_tenure", "previous_claim_duration": "prev_claim_duration",
               "MAX_PREV_CLM_PER_YR": "PREV_CLM_PER_YR"}
     # A distinct count of the claim itself inside its own group is 0 or 1, hence a flag.
-    sides = [A.any_when((party == side) & vehicle.isin(*types)).alias(f"{label}_{suffix}")
-             for suffix, types in VEHICLE_KINDS.items() for label, side in PARTY_SIDES.items()]
-    places = [A.any_when((party == side) & (F.col(f"{place}_match") == 1)).alias(f"{label.lower()}_{short}_match")
+    flags = {f"{label}_{suffix}": (party == side) & vehicle.isin(*types)
+             for suffix, types in VEHICLE_KINDS.items() for label, side in PARTY_SIDES.items()}
+    flags |= {f"{label.lower()}_{short}_match": (party == side) & (F.col(f"{place}_match") == 1)
               for place, short in (("postal_code", "postal"), ("city", "city"), ("state", "state"))
-              for label, side in PARTY_SIDES.items()]
-    plain = fact.groupBy("claimid").agg(
-        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(n) for n, c in maxima.items()], *sides, *places)
+              for label, side in PARTY_SIDES.items()}
+    masks = [f"__mask{i}" for i in range(-(-len(flags) // A.MASK_BITS))]
+    plain = fact.select("claimid", *sums, *maxima.values(), *A.flag_masks(list(flags.values()))).groupBy("claimid").agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(n) for n, c in maxima.items()], *[F.bit_or(m).alias(m) for m in masks])
+    plain = plain.withColumns({n: A.flag_of(i).cast("int") for i, n in enumerate(flags)}).drop(*masks)
     always = F.lit(True)
     distinct = A.distinct_counts(fact, ["claimid"], {
         "exposureid": {"exposure_Count": always,
