@@ -8,6 +8,7 @@ from lossloom.catalog.registry import Tables, query
 from lossloom.functions import text as X
 from lossloom.operators import joins as J
 from lossloom.operators import terms as V
+from lossloom.session import materialise
 
 # Stop words of the term queries, the same list in the SQL.
 STOPS = ("that", "with", "this", "from", "which", "there")
@@ -124,7 +125,9 @@ counts as (select g.doc_id, g.term, count(*) * (ln((select count(*) from documen
 select doc_id, term, round(raw / sqrt(sum(raw * raw) over (partition by doc_id)), 4) as weight from counts""")
 def tfidf(t: Tables):
     """Top 500 bigrams and trigrams, idf = ln(N / df) + 1, unit length per document."""
-    grams = documents_with_tokens(t).select("doc_id", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
+    # Read three times: texts are cut once.
+    docs = materialise(documents_with_tokens(t))
+    grams = docs.select("doc_id", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
     model, positions = V.tfidf_model(grams, "terms", 500)
     entries = V.vector_entries(V.tfidf_vectors(grams, model), ["doc_id"], "tfidf")
     return entries.join(F.broadcast(positions), "pos").select("doc_id", "term", F.round("weight", 4).alias("weight"))

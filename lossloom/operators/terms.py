@@ -21,6 +21,8 @@ from lossloom.operators.joins import folded_join, hot_keys
 from lossloom.session import materialise
 
 VOCABULARY_LIMIT = 100_000
+# Up to so many kept terms are looked for inside the row.
+ROW_TERMS = 2_000
 
 
 def entries(terms: str) -> Column:
@@ -50,7 +52,15 @@ def vocabulary(docs: DataFrame, terms: str, max_features: int | None = None, min
 def _frequent_terms(docs: DataFrame, terms: str, max_features: int) -> DataFrame:
     """Occurrences decide which terms stay, so documents are counted for those terms only."""
     counts = docs.select(entries(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
-    kept = F.broadcast(counts.orderBy(F.col("tf").desc(), "term").limit(max_features))
+    kept = counts.orderBy(F.col("tf").desc(), "term").limit(max_features)
+    if max_features <= ROW_TERMS:
+        # The kept terms are a short list: only entries that are in it leave the row.
+        rows = kept.collect()
+        listed = F.array(*[F.lit(r["term"]) for r in rows]).cast("array<string>")
+        frequency = docs.select(F.explode(F.array_intersect(terms, listed)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        table = docs.sparkSession.createDataFrame([(r["term"], r["tf"]) for r in rows], "term string, tf bigint")
+        return frequency.join(F.broadcast(table), "term").select("term", "df", "tf").orderBy(F.col("tf").desc(), "term")
+    kept = F.broadcast(kept)
     found = docs.select(F.explode(F.array_distinct(terms)).alias("term")).join(kept, "term")
     return (
         found.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.first("tf").alias("tf"))
