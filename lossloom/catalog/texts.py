@@ -107,7 +107,8 @@ with {_TOKENS}, stems(token, stem) as (select distinct w, substr(w, 1, 5) from w
 select doc_id, coalesce(stem, w) as stem, count(*) as n from words left join stems on w = token group by 1, 2""")
 def stem_table(t: Tables):
     """Tokens replaced through a token-to-stem table that is itself data."""
-    docs = documents_with_tokens(t)
+    # Read twice: texts are cut once.
+    docs = materialise(documents_with_tokens(t))
     seen = docs.select(F.explode("toks").alias("token")).filter(F.length("token") > 7).distinct()
     return V.stem_by_table(docs, "doc_id", "toks", seen.select("token", F.substring("token", 1, 5).alias("stem")))
 

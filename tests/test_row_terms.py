@@ -1,7 +1,9 @@
 """Frequent terms are counted alike inside the row and by a join."""
 
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from lossloom.operators import terms as V
 
 
@@ -14,3 +16,8 @@ def test_listed_terms_are_counted_inside_the_row(spark, monkeypatch):
     monkeypatch.setattr(V, "ROW_TERMS", 0)
     assert [(r.term, r.df, r.tf) for r in V.vocabulary(docs, "terms", 3).collect()] == want
     assert V.vocabulary(docs.filter(F.lit(False)), "terms", 3).count() == 0
+
+
+def test_stem_table_cuts_texts_once(spark):
+    plan = queries()["stem_table"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
