@@ -174,11 +174,12 @@ def partial_dependence(t: Tables):
 @query()
 def lda_topics(t: Tables):
     """Topic shares from a fitted vocabulary and model, both saved and loaded before use."""
-    docs = documents_with_tokens(t)
+    # Read several times: texts are cut once, vectors made once.
+    docs = materialise(documents_with_tokens(t))
     counts, _ = V.tfidf_model(docs, "toks", 500)
     path = scratch_path(t.spark, "vocabulary")
     sinks.save_model(counts, path)
-    vectors = readers.load_model(path).transform(docs).select("doc_id", F.col("__counts").alias("features"))
+    vectors = materialise(readers.load_model(path).transform(docs).select("doc_id", F.col("__counts").alias("features")))
     model = P.fit_lda(vectors, "features", topics=5, passes=4, chunk=1_000)
     return P.topic_distribution(vectors, model).drop("features")
 

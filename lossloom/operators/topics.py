@@ -8,12 +8,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lossloom.operators import online_lda
+from lossloom.operators.online_lda import TopicModel
 from lossloom.session import materialise
 
 FACTOR_LIMIT = 20_000_000
@@ -21,25 +23,21 @@ TINY = 1e-12
 
 
 def fit_lda(vectors: DataFrame, vector: str, topics: int = 30, passes: int = 10, chunk: int = 10_000,
-            documents: int | None = None, seed: int = 1) -> LDAModel:
-    """Online LDA; each step samples about `chunk` documents, `passes` times over the corpus.
+            documents: int | None = None, seed: int = 1) -> TopicModel:
+    """Online LDA: `passes` passes over the corpus in steps of `chunk` documents, each of which reads its own documents only.
 
-    The vectors are written once, since every step reads them.
+    Time grows with passes * documents. See online_lda.fit().
     """
-    stored = materialise(vectors.select(vector))
-    n = documents or stored.count()
-    rate = min(1.0, chunk / max(n, 1))
-    return LDA(k=topics, maxIter=max(1, round(passes / rate)), optimizer="online", subsamplingRate=rate, seed=seed,
-               featuresCol=vector, topicDistributionCol="topics").fit(stored)
+    return online_lda.fit(vectors, vector, topics, passes, chunk, documents, seed)
 
 
-def topic_distribution(vectors: DataFrame, model: LDAModel, prefix: str = "TOPIC_NEW_") -> DataFrame:
+def topic_distribution(vectors: DataFrame, model: LDAModel | TopicModel, prefix: str = "TOPIC_NEW_") -> DataFrame:
     """One column per topic; new documents are encoded with the vocabulary the model was fitted on."""
     shares = model.transform(vectors).withColumn("__t", vector_to_array(model.getTopicDistributionCol()))
     return shares.select(*vectors.columns, *[F.col("__t")[i].alias(f"{prefix}{i}") for i in range(model.getK())])
 
 
-def topic_terms(model: LDAModel, vocabulary: list[str], n: int = 10) -> DataFrame:
+def topic_terms(model: LDAModel | TopicModel, vocabulary: list[str], n: int = 10) -> DataFrame:
     """(topic, rank, term, weight) of the heaviest terms."""
     described = model.describeTopics(n)
     names = F.array(*[F.lit(t) for t in vocabulary])

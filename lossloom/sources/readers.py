@@ -10,7 +10,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 
+from lossloom.operators.online_lda import TopicModel
 from lossloom.operators.topics import TopicFactors
+from lossloom.session import _hadoop_path
 
 
 def jdbc_options(url: str, query: str | None = None, table: str | None = None, partition_column: str | None = None,
@@ -74,8 +76,10 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_lda(path: str) -> LocalLDAModel:
-    return LocalLDAModel.load(path)
+def load_lda(path: str) -> LocalLDAModel | TopicModel:
+    """A topic model that `save_model` wrote; models that Spark's own LDA wrote are read as well."""
+    at, files = _hadoop_path(SparkSession.getActiveSession(), f"{path.rstrip('/')}/metadata")
+    return LocalLDAModel.load(path) if files.exists(at) else TopicModel.load(path)
 
 
 def load_factors(spark: SparkSession, path: str) -> TopicFactors:
