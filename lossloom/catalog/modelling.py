@@ -141,11 +141,11 @@ def gbt_score(t: Tables):
 @query()
 def rf_score(t: Tables):
     """Text choice, 1-3-gram weights and a balanced forest."""
-    docs = t.documents.join(t.labels, "doc_id").select(
-        "doc_id", F.col("quality").cast("double").alias("label"), X.tokens(F.col("text")).alias("toks"))
-    grams = docs.select("doc_id", "label", X.ngram_range(F.col("toks"), 1, 3).alias("terms"))
-    vectors, _ = V.tfidf_model(grams, "terms", 500, min_df=2, output="features")
-    frame = G.balanced_weights(materialise(V.tfidf_vectors(grams, vectors).drop("terms", "toks")), "label")
+    docs = V.in_pieces(t.documents.join(t.labels, "doc_id"), "doc_id").select(
+        "doc_id", "piece", F.col("quality").cast("double").alias("label"), X.tokens(F.col("text")).alias("toks"))
+    grams = docs.select("doc_id", "piece", "label", X.ngram_range(F.col("toks"), 1, 3).alias("terms"))
+    vectors, _ = V.tfidf_model(grams, "terms", 500, min_df=2, output="features", by="piece")
+    frame = G.balanced_weights(materialise(V.tfidf_vectors(grams, vectors).drop("terms", "toks", "piece")), "label")
     return G.score(frame, G.forest(trees=10, depth=8).fit(frame), ["doc_id", "label"], places=4)
 
 

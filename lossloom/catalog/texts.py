@@ -28,6 +28,11 @@ def documents_with_tokens(t: Tables):
     return t.documents.select("doc_id", X.tokens(F.col("text"), STOPS).alias("toks"))
 
 
+def pieces_with_tokens(t: Tables):
+    """Dealt before texts are cut, since a text is smaller than its tokens."""
+    return V.in_pieces(t.documents.select("doc_id", "text"), "doc_id").select("piece", X.tokens(F.col("text"), STOPS).alias("toks"))
+
+
 @query("""
 select doc_id,
   case when contains(upper(text), 'THE') or contains(upper(text), 'ING') then 1 else 0 end as fire,
@@ -98,8 +103,8 @@ with {_NGRAMS}
 select term, count(*) as n, count(distinct doc_id) as docs from grams group by 1""")
 def ngrams(t: Tables):
     """Bigrams and trigrams with occurrences and documents."""
-    grams = documents_with_tokens(t).select("doc_id", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
-    return V.vocabulary(grams, "terms").select("term", F.col("tf").alias("n"), F.col("df").alias("docs"))
+    grams = pieces_with_tokens(t).select("piece", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
+    return V.vocabulary(grams, "terms", by="piece").select("term", F.col("tf").alias("n"), F.col("df").alias("docs"))
 
 
 @query(f"""
@@ -115,7 +120,7 @@ def stem_table(t: Tables):
 
 @query(f"""with {_TOKENS} select w as term, count(distinct doc_id) as df, count(*) as tf from words group by 1""")
 def term_counts(t: Tables):
-    return V.vocabulary(documents_with_tokens(t), "toks")
+    return V.vocabulary(pieces_with_tokens(t), "toks", by="piece")
 
 
 @query(f"""

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.text import MAX_LENGTH
 from lossloom.operators.joins import folded_join, hot_keys
-from lossloom.session import materialise
+from lossloom.session import file_parts, materialise
 
 VOCABULARY_LIMIT = 100_000
 # Up to so many kept terms are looked for inside the row.
 ROW_TERMS = 2_000
+# File bytes of documents whose terms one task counts, and groups of documents a task: about 1.5 million bigrams and trigrams.
+TERM_BYTES, TERM_PIECES = 4 << 20, 8
 
 
 def entries(terms: str) -> Column:
@@ -31,19 +33,33 @@ def entries(terms: str) -> Column:
     return F.explode(F.slice(F.col(terms), 1, MAX_LENGTH))
 
 
-def vocabulary(docs: DataFrame, terms: str, max_features: int | None = None, min_df: int = 1) -> DataFrame:
+def _term_parts(docs: DataFrame) -> int:
+    return max(file_parts(docs, TERM_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
+
+
+def in_pieces(docs: DataFrame, key: str, piece: str = "piece") -> DataFrame:
+    """Documents dealt by `key` to tasks whose number grows with the files read; `piece` numbers groups of them that lie in one task."""
+    parts = _term_parts(docs)
+    return docs.withColumn(piece, F.pmod(F.xxhash64(key), F.lit(parts * TERM_PIECES))).repartition(parts, piece)
+
+
+def vocabulary(docs: DataFrame, terms: str, max_features: int | None = None, min_df: int = 1, by: str | None = None) -> DataFrame:
     """(term, df, tf): documents that hold the term and its occurrences, one pass, combined before the shuffle.
 
-    With `max_features` the most frequent terms stay; equal counts are kept in term order.
+    With `max_features` the most frequent terms stay; equal counts are kept in term order. With `by`, the piece column of documents
+    that in_pieces() dealt, terms are counted in each piece first and then dealt to tasks whose number grows with the files read, so that no task has to spill.
     """
     if max_features is not None and min_df <= 1:
         return _frequent_terms(docs, terms, max_features)
     once = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
     each = F.transform(F.col(terms), lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
-    counted = (
-        docs.select(F.explode(F.concat(once, each)).alias("e")).select("e.*")
-        .groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
-    )
+    sums = (F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    if by is None:
+        counted = docs.select(F.explode(F.concat(once, each)).alias("e")).select("e.*").groupBy("term").agg(*sums)
+    else:
+        # Counted in a piece of documents without an exchange, so that a frequent term is one row a piece.
+        found = docs.select(by, F.explode(F.concat(once, each)).alias("e")).groupBy(by, "e.term").agg(F.sum("e.df").alias("df"), F.sum("e.tf").alias("tf"))
+        counted = found.select("term", "df", "tf").repartition(_term_parts(docs), "term").groupBy("term").agg(*sums)
     if min_df > 1:
         counted = counted.filter(F.col("df") >= min_df)
     return counted if max_features is None else counted.orderBy(F.col("tf").desc(), "term").limit(max_features)
@@ -79,7 +95,7 @@ def log2_idf(n: Column, df: Column) -> Column:
 
 
 def tfidf_model(docs: DataFrame, terms: str, max_features: int = 500, min_df: int = 1,
-                output: str = "tfidf") -> tuple[PipelineModel, DataFrame]:
+                output: str = "tfidf", by: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """A saved-model-ready pipeline (counts, idf scaling, unit length) and its (position, term, df, tf, idf) table.
 
     Only the vocabulary, at most `max_features` terms, comes to the driver.
@@ -87,7 +103,7 @@ def tfidf_model(docs: DataFrame, terms: str, max_features: int = 500, min_df: in
     if max_features > VOCABULARY_LIMIT:
         raise ValueError("use tfidf_table for larger vocabularies")
     n = docs.count()
-    rows = vocabulary(docs, terms, max_features, min_df).collect()
+    rows = vocabulary(docs, terms, max_features, min_df, by).collect()
     idf = [math.log(n / r["df"]) + 1 for r in rows]
     counts = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol=terms, outputCol="__counts")
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__counts", outputCol="__scaled")

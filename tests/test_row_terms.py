@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from lossloom.operators import terms as V
+from lossloom.session import file_parts
 
 
 def test_listed_terms_are_counted_inside_the_row(spark, monkeypatch):
@@ -21,3 +22,15 @@ def test_listed_terms_are_counted_inside_the_row(spark, monkeypatch):
 def test_stem_table_cuts_texts_once(spark):
     plan = queries()["stem_table"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in plan
+
+
+def test_terms_are_counted_in_tasks_that_grow_with_the_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(V, "TERM_BYTES", 20)
+    rows = [(i % 40, ["a", f"t{i % 7}", "a"] if i % 5 else None) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id int, terms array<string>").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    wanted = max(8, file_parts(docs, 20))
+    found = V.vocabulary(V.in_pieces(docs, "doc_id"), "terms", by="piece")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert wanted > 8 and plan.count(f", {wanted})") == 2 and plan.count("Exchange") == 2
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in V.vocabulary(docs, "terms").collect()}
