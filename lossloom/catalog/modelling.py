@@ -196,10 +196,11 @@ def lda_terms(t: Tables):
 @query()
 def nmf_topics(t: Tables):
     """Topic shares per source from non-negative factors of the TF-IDF vectors."""
-    docs = t.documents.select("doc_id", "source", X.topic_words(F.col("text")).alias("toks"))
+    # Read several times: texts are cut once, vectors made once.
+    docs = materialise(t.documents.select("doc_id", "source", X.topic_words(F.col("text")).alias("toks")))
     grams = docs.select("doc_id", "source", X.ngram_range(F.col("toks"), 2, 3).alias("terms"))
     model, _ = V.tfidf_model(grams, "terms", 500)
-    vectors = V.tfidf_vectors(grams, model).select("doc_id", "source", "tfidf")
+    vectors = materialise(V.tfidf_vectors(grams, model).select("doc_id", "source", "tfidf"))
     factors = P.fit_factors(vectors, "tfidf", 500, topics=10)
     loadings = P.factor_loadings(vectors, "tfidf", factors)
     return P.topic_shares(loadings, "doc_id", "loadings", 10, "Topic_AN_")

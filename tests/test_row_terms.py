@@ -1,5 +1,6 @@
 """Frequent terms are counted alike inside the row and by a join."""
 
+import numpy as np
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
@@ -34,3 +35,15 @@ def test_terms_are_counted_in_tasks_that_grow_with_the_files(spark, monkeypatch,
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert wanted > 8 and plan.count(f", {wanted})") == 2 and plan.count("Exchange") == 2
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in V.vocabulary(docs, "terms").collect()}
+
+
+def test_topic_queries_cut_texts_once(spark, monkeypatch):
+    from lossloom.operators import topics as P
+
+    read = []
+    monkeypatch.setattr(P, "fit_factors", lambda vectors, *a, **k: read.append(vectors) or P.TopicFactors(np.ones((10, 500)), 2))
+    monkeypatch.setattr(P, "fit_lda", lambda vectors, *a, **k: read.append(vectors) or P.TopicModel(np.ones((5, 500)), np.ones(5)))
+    frames = [queries()[n](spark, SF_DIR) for n in ("nmf_topics", "lda_topics")]
+    for df in frames + read:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "split(" not in plan and "__counts" not in plan
