@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossloom.llm import language, mixing, packing, paragraphs, simhash
-from lossloom.session import materialise
+from lossloom.session import materialise, trimmed
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
@@ -27,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+@trimmed
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows linked by fingerprints (four-word shingles, 4 of 64 bits) one stays, that with the smallest id (null last).
 
@@ -52,6 +53,7 @@ def drop_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+@trimmed
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row is repeated as often as the mix takes it; ids need not be unique and may be null.
 
@@ -81,10 +83,16 @@ STAGES = [
 ]
 
 
+@trimmed
+def written(stage, spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of a stage as a table; what the stage has written for itself goes."""
+    return materialise(stage(spark, docs, sf_dir))
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        docs = written(stage, spark, docs, sf_dir)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossloom.llm.common import word_count
-from lossloom.session import materialise
+from lossloom.session import materialise, trimmed
 
 BUCKETS = 4096
 # The dynamic programme covers this many words of the budget at most; what lies above is taken in proportion.
@@ -105,6 +105,7 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, shared: bo
     return taken
 
 
+@trimmed
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of `docs(doc_id, text, source)`.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.llm.common import arrow_pass, as_bytes, by_cell, cells, components, tree_edges, unused
-from lossloom.session import materialise
+from lossloom.session import materialise, trimmed
 
 SHINGLE = 5
 MIN_WORDS = 20
@@ -177,6 +177,13 @@ def verified_edges(distinct: DataFrame, docs: DataFrame, threshold: float, block
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+@trimmed
+def linked_digests(distinct: DataFrame, docs: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """(node, component) of the digests that verified edges link; the tables of the comparison go with the call."""
+    return components(verified_edges(distinct, docs, threshold, block_rows))
+
+
+@trimmed
 def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256) -> DataFrame:
     """(doc_id, component binary) for every row of `docs(doc_id, text)`, whose ids must be unique and not null.
 
@@ -187,11 +194,12 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("text_hash"), F.translate("text", "\n", " ").alias("text"))
     lines = materialise(paragraph_rows(keys, 0))
     distinct = materialise(lines.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "place", "span")).alias("rep"), F.first("bands").alias("bands")))
-    linked = components(verified_edges(distinct, keys, threshold, block_rows))
+    linked = linked_digests(distinct, keys, threshold, block_rows)
     return lines.select("doc_id", "digest").join(linked, F.col("digest") == linked["node"], "left").select(
         "doc_id", F.coalesce("component", "digest").alias("component"))
 
 
+@trimmed
 def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_WORDS, block_rows: int = 512) -> DataFrame:
     """Columns of `docs(doc_id, text, ...)` with the repeated paragraphs taken out of `text`, and what was found.
 
@@ -212,7 +220,7 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     lines = materialise(paragraph_rows(keys, min_words))
     distinct = materialise(lines.groupBy("digest").agg(
         F.min(F.struct("doc_id", "text_hash", "place", "span")).alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")))
-    linked = components(verified_edges(distinct.select("digest", "rep", "bands"), keys, threshold, block_rows))
+    linked = linked_digests(distinct.select("digest", "rep", "bands"), keys, threshold, block_rows)
     named = distinct.join(linked, distinct["digest"] == linked["node"], "left").select(
         "digest", "rep", "n", F.coalesce("component", "digest").alias("class"))
     named = materialise(named)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.llm.common import arrow_pass, as_bytes, by_cell, cells, components, tree_edges
-from lossloom.session import materialise
+from lossloom.session import materialise, trimmed
 
 SEED = 42
 BITS = 64
@@ -210,6 +210,7 @@ def link_edges(nodes: DataFrame, radius: int = 4, blocks: int = 6, block_rows: i
     return dealt.mapInArrow(run, "a long, b long")
 
 
+@trimmed
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, block_rows: int = 2048) -> DataFrame:
     """(doc_id, fp, component_id) for every row of `docs(doc_id, text)`.
 
