@@ -21,6 +21,8 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        # Exposure lines that a query has written once, as many of its parts read them.
+        self.lines: DataFrame | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")

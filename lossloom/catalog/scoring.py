@@ -10,6 +10,7 @@ from lossloom.catalog.registry import Tables, query
 from lossloom.functions import text as X
 from lossloom.plans import features as B
 from lossloom.plans import scoring as S
+from lossloom.session import materialise
 
 # Values that stand for the coded columns, which the driver's tables do not have; the same text is read by both sides.
 _CODED = {
@@ -50,7 +51,7 @@ def _parts(t: Tables, heads: DataFrame, fact: DataFrame) -> list[DataFrame]:
     notes = t.documents.selectExpr("doc_id as ClaimID", f"{_NOTE} as Body",
                                    "timestamp_ntz '2001-12-01' + make_interval(0, 0, 0, cast(doc_id % 60 as int)) as AuthoringDate")
     topics = lines.groupBy(F.col("l_orderkey").alias("claimid")).agg(*[
-        F.avg((F.col("l_partkey") % S.TOPICS == i).cast("double")).alias(f"TOPIC_NEW_{i}") for i in range(S.TOPICS)])
+        F.try_divide(F.count_if(F.col("l_partkey") % S.TOPICS == i), F.count("l_partkey")).alias(f"TOPIC_NEW_{i}") for i in range(S.TOPICS)])
     return [
         B.collision_flags(heads.withColumnRenamed("claimid", "ID"), fact, contains_form=True),
         B.body_part_counts(lines.selectExpr("id as ID", "l_orderkey as ClaimID"), lines.selectExpr(
@@ -138,6 +139,7 @@ left join nm n1 on claimant_name = n1.name left join nm n2 on insured_name = n2.
 def scoring_frame(t: Tables):
     """All 187 inputs of every claim, from the finished fact and the claim's notes, reports, body parts and factors."""
     flag = lambda n, r=0: (F.col("exposureid") % n == r).cast("int")
+    t.lines = materialise(C._lines(t))
     fact = C._side_fact(t).withColumns({
         "line": F.col("exposureid") % 10, "VehicleDriveable": F.when(F.col("exposureid") % 3 > 0, (F.col("exposureid") % 2).cast("int")),
         "Ext_EntireSideDamaged": F.lit(0), "VehicleParked": F.lit(0), "TotalLoss": flag(19), "Ext_LowImpactIncident": flag(5, 1)})

@@ -56,8 +56,8 @@ def count_distinct_with_null(column: Column) -> Column:
     return F.count_distinct(column) + F.max(column.isNull().cast("int"))
 
 
-def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Mapping[str, Column]]) -> DataFrame:
-    """Many conditional distinct counts at once: {id column: {measure: condition}}.
+def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Mapping[str, Column]], missing: bool = False) -> DataFrame:
+    """Many conditional distinct counts at once: {id column: {measure: condition}}; with `missing` a missing id counts as one more value.
 
     One row per (key, id kind, id) is built first with the conditions folded as bits of a number, then summed. Rows grow by
     the number of id columns, not by the number of measures, and a key with many rows is spread over its ids.
@@ -75,7 +75,7 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, M
         .groupBy(*keys, "kind", "id").agg(*[F.bit_or(m).alias(m) for m in held])
     )
     # The group of missing ids stays, so that a key without any id keeps its row of zeros.
-    known = F.col("id").isNotNull()
+    known = F.lit(True) if missing else F.col("id").isNotNull()
     return per_id.groupBy(*keys).agg(*[F.sum(F.when(known, flag_of(i)).otherwise(0)).alias(m) for i, m in enumerate(names)])
 
 

@@ -145,6 +145,16 @@ def assemble_wide(base: DataFrame, key: str, parts: Sequence[DataFrame]) -> Data
     return reduce(lambda acc, part: acc.join(part, key, "left"), parts, base)
 
 
+def assemble_packed(base: DataFrame, key: str, parts: Sequence[DataFrame]) -> DataFrame:
+    """assemble_wide() for rows of many columns: each part travels through the joins that follow as one value, not column by column."""
+    def packed(df: DataFrame, i: int) -> DataFrame:
+        return df.select(key, F.struct(*[F.col(f"`{c}`") for c in df.columns if c != key]).alias(f"__part{i}"))
+
+    frames = [base, *parts]
+    wide = assemble_wide(packed(base, 0), key, [packed(p, i) for i, p in enumerate(parts, 1)])
+    return wide.select(key, *[F.col(f"__part{i}")[c].alias(c) for i, p in enumerate(frames) for c in p.columns if c != key])
+
+
 def latest_status(df: DataFrame, history: DataFrame, on: str, defaults: Mapping[str, object]) -> DataFrame:
     """Attach history columns and fill the missing ones with defaults."""
     return df.join(history, on, "left").fillna(dict(defaults))

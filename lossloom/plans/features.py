@@ -335,9 +335,13 @@ def collision_flags(claims: DataFrame, fact: DataFrame, contains_form: bool = Fa
         F.greatest("__coll", "__coll_inc").alias("collision_final"))
 
 
+def vehicle_flag_measures() -> list[Column]:
+    return [A.tri_state(F.col(f)).alias(f) for f in VEHICLE_FLAGS]
+
+
 def vehicle_flags(fact: DataFrame) -> DataFrame:
     """Five tri-state flags per claim in one pass."""
-    return fact.groupBy("claimid").agg(*[A.tri_state(F.col(f)).alias(f) for f in VEHICLE_FLAGS])
+    return fact.groupBy("claimid").agg(*vehicle_flag_measures())
 
 
 def match_reason_list(reports: DataFrame) -> DataFrame:
@@ -404,33 +408,50 @@ def reserve_and_payment(claims: DataFrame, transactions: DataFrame) -> DataFrame
     return joined.select("claimid", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("RESERVE", "PAYMENT")])
 
 
-def vehicle_age_by_side(fact: DataFrame) -> DataFrame:
-    """Oldest vehicle of each side: 0 for the other side's rows, 4 when unknown, kept inside 0..50."""
+def side_age_measures() -> list[Column]:
     age = lambda side: F.when(F.coalesce(F.col("LossParty"), F.lit("0")) == side, F.col("vehicle_age")).otherwise(0)
-    oldest = fact.groupBy("claimid").agg(F.max(age("10001")).alias("FP_V_AGE"), F.max(age("10002")).alias("TP_V_AGE"))
+    return [F.max(age("10001")).alias("FP_V_AGE"), F.max(age("10002")).alias("TP_V_AGE")]
+
+
+def clamped_ages(oldest: DataFrame) -> DataFrame:
     return oldest.withColumns({n: M.clamp(F.col(n), 0, 50, default=4) for n in ("FP_V_AGE", "TP_V_AGE")})
 
 
-def location_matches(fact: DataFrame) -> DataFrame:
-    """Does the party's address match the loss location, per side and for either side."""
-    measures = []
+def vehicle_age_by_side(fact: DataFrame) -> DataFrame:
+    """Oldest vehicle of each side: 0 for the other side's rows, 4 when unknown, kept inside 0..50."""
+    return clamped_ages(fact.groupBy("claimid").agg(*side_age_measures()))
+
+
+def location_flags() -> dict[str, Column]:
+    flags = {}
     for label, flag in (("CITY", "city_match"), ("ZIP", "postal_code_match"), ("STATE", "state_match")):
         first, third = ((F.col("LossParty") == side) & (F.col(flag) == 1) for side in ("10001", "10002"))
-        measures += [A.any_when(first).alias(f"LOSSLOC_{label}_FP_F"), A.any_when(third).alias(f"LOSSLOC_{label}_TP_F"),
-                     A.any_when(first | third).alias(f"LOSSLOC_{label}_FP_TP_F")]
-    return fact.groupBy("claimid").agg(*measures)
+        flags |= {f"LOSSLOC_{label}_FP_F": first, f"LOSSLOC_{label}_TP_F": third, f"LOSSLOC_{label}_FP_TP_F": first | third}
+    return flags
 
 
-def party_counts(fact: DataFrame, types: Sequence[str] = tuple(str(c) for c in (*range(10001, 10012), 10014))) -> DataFrame:
-    """Distinct parties per claimant type (a missing party counts as one) and rows per party side and vehicle kind."""
+def location_matches(fact: DataFrame) -> DataFrame:
+    """Does the party's address match the loss location, per side and for either side."""
+    return fact.groupBy("claimid").agg(*[A.any_when(c).alias(n) for n, c in location_flags().items()])
+
+
+def vehicle_kind_counts(fact: DataFrame) -> DataFrame:
+    """Different rows of a claim per party side and vehicle kind."""
     rows = fact.select("claimid", "exposureid", "incidentid", F.col("ClaimantDenormID_exp").alias("party"), "LossParty",
                        "cov_rollup_3", "ClaimantType", "VehicleType").distinct()
-    per_type = rows.groupBy("claimid", "ClaimantType").agg(A.count_distinct_with_null(F.col("party")).alias("n"))
-    by_type = A.pivot_counts(per_type, "claimid", "ClaimantType", list(types), "CLAIMANTDENORMID_", F.first("n"))
-    kinds = rows.groupBy("claimid").agg(*[
+    return rows.groupBy("claimid").agg(*[
         F.sum(C.indicator((F.col("LossParty") == side) & F.col("VehicleType").isin(*codes))).alias(f"{label}_{suffix}".upper())
         for suffix, codes in VEHICLE_KINDS.items() for label, side in (("INSURED", "10001"), ("TP", "10002"))])
-    return kinds.join(by_type, "claimid", "left")
+
+
+def claimant_type_conditions(types: Sequence[str]) -> dict[str, Column]:
+    return {f"CLAIMANTDENORMID_{c}": F.col("ClaimantType") == c for c in types}
+
+
+def party_counts(fact: DataFrame, types: Sequence[str] = tuple(str(c) for c in (*range(10001, 10012), 10014))) -> DataFrame:
+    """Distinct parties per claimant type (a missing party counts as one) and rows per party side and vehicle kind."""
+    by_type = A.distinct_counts(fact, ["claimid"], {"ClaimantDenormID_exp": claimant_type_conditions(types)}, missing=True)
+    return vehicle_kind_counts(fact).join(by_type, "claimid", "left")
 
 
 def injured_counts(fact: DataFrame, exclude_default: bool = False) -> DataFrame:

@@ -83,14 +83,23 @@ def model_inputs(topics: int = TOPICS, phrases: Sequence[str] = X.KEY_PHRASES) -
     return [Input(n, s, FILLS.get(n, 0), "string" if isinstance(FILLS.get(n), str) else "double") for n, s in named.items()]
 
 
-def fact_counts(fact: DataFrame) -> DataFrame:
-    """Exposures per coverage category and party side, incidents (a missing one is one more), and the injury indicator, in one pass."""
-    category, party = F.upper("cov_rollup_3"), F.col("LossParty")
-    return fact.groupBy("claimid").agg(
-        *[A.count_when(category == c).alias(f"COV_ROLLUP_3_{c}") for c in CATEGORIES], A.count_when(category.isNull()).alias("COV_ROLLUP_3_NAN"),
+def fact_features(fact: DataFrame) -> list[DataFrame]:
+    """What the inputs take from the fact, one row a claim: three passes, each with all measures of its kind.
+
+    Counts of rows, maxima and flags (bits of one number) per coverage category, party side, vehicle and location; different rows by vehicle
+    kind; distinct incidents, exposures and parties by claimant type, where a missing incident or party is one more.
+    """
+    category, party, always = F.upper("cov_rollup_3"), F.col("LossParty"), F.lit(True)
+    flags = {**B.location_flags(), "BI": F.col("cov_rollup_3").isin(*B.INJURY_CATEGORIES)}
+    plain = fact.select("*", category.alias("__category"), *A.flag_masks(list(flags.values()))).groupBy("claimid").agg(
+        *[A.count_when(F.col("__category") == c).alias(f"COV_ROLLUP_3_{c}") for c in CATEGORIES], A.count_when(F.col("__category").isNull()).alias("COV_ROLLUP_3_NAN"),
         *[A.count_when(party == p).alias(f"LOSSPARTYID_{p}") for p in PARTIES], A.count_when(party.isNull()).alias("LOSSPARTYID_NAN"),
-        A.count_distinct_with_null(F.col("incidentid")).alias("INCIDENTID"), A.count_distinct_with_null(F.col("exposureid")).alias("exposure_Count"),
-        F.max("claimant_tenure").alias("claimant_tenure_wt"), A.any_in(F.col("cov_rollup_3"), B.INJURY_CATEGORIES).alias("BI"))
+        F.max("claimant_tenure").alias("claimant_tenure_wt"), *B.vehicle_flag_measures(), *B.side_age_measures(), F.bit_or("__mask0").alias("__mask0"))
+    plain = B.clamped_ages(plain).withColumns({n: A.flag_of(i).cast("int") for i, n in enumerate(flags)}).drop("__mask0")
+    distinct = A.distinct_counts(fact, ["claimid"], {
+        "incidentid": {"INCIDENTID": always}, "exposureid": {"exposure_Count": always},
+        "ClaimantDenormID_exp": B.claimant_type_conditions(CLAIMANT_TYPES)}, missing=True)
+    return [plain, B.vehicle_kind_counts(fact), distinct]
 
 
 def policy_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
@@ -142,9 +151,7 @@ def input_frame(claims: DataFrame, fact: DataFrame, parts: Sequence[DataFrame],
     `parts` hold further columns, one row a claim. A source that no part has stops the job with its name; a claim that a part lacks
     gets the input's fill.
     """
-    own = [claim_head(claims), fact_counts(fact), B.party_counts(fact, CLAIMANT_TYPES), B.vehicle_flags(fact), B.vehicle_age_by_side(fact),
-           B.location_matches(fact)]
-    wide = J.assemble_wide(own[0], "claimid", [*own[1:], *parts])
+    wide = J.assemble_packed(claim_head(claims), "claimid", [*fact_features(fact), *parts])
     known = {c.lower(): c for c in wide.columns}
     missing = sorted(i.name for i in inputs if i.source.lower() not in known)
     if missing:
