@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.llm.common import arrow_pass, as_bytes, by_cell, cells, components, tree_edges, unused
+from lossloom.llm.passages import drop_passages
 from lossloom.session import materialise, trimmed
 
 SHINGLE = 5
@@ -200,23 +201,8 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, block_rows: int = 256
 
 
 @trimmed
-def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_WORDS, block_rows: int = 512) -> DataFrame:
-    """Columns of `docs(doc_id, text, ...)` with the repeated paragraphs taken out of `text`, and what was found.
-
-    Paragraphs are those of paragraphs_of(): lines of `min_words` words or more, and neighbouring shorter lines joined. They are compared
-    in lower case (A to Z) by their sets of five-word shingles.
-    Paragraphs linked by Jaccard `threshold` or more, within a document or across, form a class; the first of a class by
-    (doc_id, place) stays and the others go. n_paragraphs counts the paragraphs looked at, n_repeated those in a class of
-    two or more (kept ones included), n_removed and words_removed what went, kept_in lists the documents that hold the kept ones.
-    Runs of short lines with fewer than `min_words` words in all (headings, greetings) and a null text stay as they are. Rows equal in id and text are one document and treated alike; null
-    ids come first in the order. Existing columns of the six new names are replaced, others keep their values whatever their names. has_repeated
-    says plainly that n_repeated is not 0. A very long text is looked at as a whole, an empty table stays empty.
-    """
-    new = ("n_paragraphs", "n_repeated", "n_removed", "words_removed", "kept_in")
-    kept = [c for c in docs.columns if c not in (*new, "has_repeated")]
-    mark, own_id, own_hash, own_places = (unused(docs, f"__{n}") for n in ("text_hash", "id", "hash", "places"))
-    docs = docs.select(*kept, F.xxhash64("text").alias(mark))
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("text_hash"), "text")
+def removals(keys: DataFrame, threshold: float, min_words: int, block_rows: int) -> DataFrame:
+    """(doc_id, text_hash, the counts of drop_repeated(), places: lines that go) of the documents with paragraphs; all other tables of the search go."""
     lines = materialise(paragraph_rows(keys, min_words))
     distinct = materialise(lines.groupBy("digest").agg(
         F.min(F.struct("doc_id", "text_hash", "place", "span")).alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")))
@@ -229,12 +215,35 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     found = lines.drop("bands").join(members, "digest", "left").select(
         "doc_id", "text_hash", "place", "span", "n_words", "keeper",
         (~F.struct("doc_id", "text_hash", "place", "span").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull()).alias("gone"))
-    per_doc = materialise(found.groupBy("doc_id", "text_hash", "place").agg(
+    return materialise(found.groupBy("doc_id", "text_hash", "place").agg(
         F.first("n_words").alias("n_words"), F.first("span").alias("span"), F.first("keeper").alias("keeper"), F.first("gone").alias("gone")).groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("n_paragraphs"), F.count("keeper").alias("n_repeated"), F.count_if("gone").alias("n_removed"),
         F.coalesce(F.sum(F.when(F.col("gone"), F.col("n_words"))), F.lit(0)).cast("long").alias("words_removed"),
         F.array_sort(F.collect_set("keeper.doc_id")).alias("kept_in"),
-        F.flatten(F.collect_list(F.when(F.col("gone"), F.sequence("place", F.col("place") + F.col("span") - 1)))).alias(own_places)).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}))
+        F.flatten(F.collect_list(F.when(F.col("gone"), F.sequence("place", F.col("place") + F.col("span") - 1)))).alias("places")))
+
+
+@trimmed
+def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_WORDS, block_rows: int = 512) -> DataFrame:
+    """Columns of `docs(doc_id, text, ...)` with the repeated paragraphs taken out of `text`, and what was found.
+
+    Paragraphs are those of paragraphs_of(): lines of `min_words` words or more, and neighbouring shorter lines joined. They are compared
+    in lower case (A to Z) by their sets of five-word shingles.
+    Paragraphs linked by Jaccard `threshold` or more, within a document or across, form a class; the first of a class by
+    (doc_id, place) stays and the others go. n_paragraphs counts the paragraphs looked at, n_repeated those in a class of
+    two or more (kept ones included), n_removed and words_removed what went, kept_in lists the documents that hold the kept ones.
+    Runs of short lines with fewer than `min_words` words in all (headings, greetings) and a null text stay as they are. Rows equal in id and text are one document and treated alike; null
+    ids come first in the order. Existing columns of the seven new names are replaced, others keep their values whatever their names. has_repeated
+    says plainly that n_repeated or n_passages is not 0. What is left is then searched for runs of 50 words or more that another document
+    has too, wherever in a line: n_passages counts them, and they go from all documents but the first (see passages.py), their words
+    counted in words_removed. A very long text is looked at as a whole, an empty table stays empty.
+    """
+    new = ("n_paragraphs", "n_repeated", "n_removed", "words_removed", "kept_in")
+    kept = [c for c in docs.columns if c not in (*new, "has_repeated", "n_passages")]
+    mark, own_id, own_hash, own_places, number, cut = (unused(docs, f"__{n}") for n in ("text_hash", "id", "hash", "places", "number", "cut"))
+    docs = docs.select(*kept, F.xxhash64("text").alias(mark))
+    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("text_hash"), "text")
+    per_doc = removals(keys, threshold, min_words, block_rows).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash, "places": own_places})
 
     @F.pandas_udf("string")
     def without(texts, places):
@@ -250,5 +259,10 @@ def drop_repeated(docs: DataFrame, threshold: float = 0.8, min_words: int = MIN_
     touched = joined.filter("n_removed > 0").withColumn("text", without("text", own_places))
     same = joined.filter("coalesce(n_removed, 0) = 0")
     zero = {n: F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in new[:-1]}
-    columns = [*kept, (F.coalesce("n_repeated", F.lit(0)) > 0).alias("has_repeated"), *zero.values(), F.coalesce("kept_in", F.array().cast("array<bigint>")).alias("kept_in")]
-    return touched.select(*columns).unionByName(same.select(*columns))
+    columns = [*kept, mark, *zero.values(), F.coalesce("kept_in", F.array().cast("array<bigint>")).alias("kept_in")]
+    # Written, so that a row's number is the same in every pass over what is left.
+    rest = materialise(touched.select(*columns).unionByName(same.select(*columns)).withColumn(number, F.monotonically_increasing_id()))
+    found = drop_passages(rest, number, "doc_id", mark, cut)
+    return found.select(
+        *kept, ((F.col("n_repeated") > 0) | (F.col(f"{cut}.n_passages") > 0)).alias("has_repeated"), "n_paragraphs", "n_repeated", "n_removed",
+        (F.col("words_removed") + F.col(f"{cut}.words_removed")).alias("words_removed"), "kept_in", F.col(f"{cut}.n_passages").alias("n_passages"))
