@@ -20,12 +20,14 @@ from lossloom.llm.common import arrow_pass, as_bytes
 from lossloom.session import scratch_path
 
 END = 1
-CACHE = 250_000
+CACHE = 500_000
 # What the tokenizer's own pattern cuts a word into, for words of ASCII and of the small letters from U+00DF to U+00FF. The bar is
 # left out: only the two special tokens hold it, and words with it go to the tokenizer whole, as do words with any other character.
 LETTER_RUN = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
 PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + LETTER_RUN + rb"|[0-9]|[!-/:-@\[-`{}~]+")
 SPECIAL = b"<|"
+# A run of these, at the end of a word of letters, is one piece.
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"
 
 
 def byte_letters() -> dict[int, int]:
@@ -66,6 +68,9 @@ class WordIds(dict):
         return ids
 
     def from_pieces(self, word: bytes) -> bytes:
+        core = word.rstrip(MARKS)
+        if core.isalpha():
+            return self[core] + self[word[len(core):]]
         pieces = PIECES.findall(word)
         if len(pieces) == 1 and len(pieces[0]) == len(word):
             letters = word.decode("latin-1")
@@ -112,11 +117,17 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
+@functools.cache
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a Python worker: words that one task has met are known to the next tasks of the worker."""
+    return WordEncoder(path)
+
+
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, source, ids binary of 16-bit numbers, n) with the end id appended."""
 
     def make():
-        encoder = WordEncoder(vocabulary)
+        encoder = word_encoder(vocabulary)
         end = np.array([END], "<u2").tobytes()
 
         def step(batch: dict) -> dict | None:
