@@ -95,46 +95,82 @@ def class_scores(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, bef
 def row_sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
     """(rows, width) sums of the rows of `values` that have each number."""
     width = values.shape[1]
-    cell = at[:, None] * width + np.arange(width)
+    cell = np.multiply(at, width, dtype=np.int64)[:, None] + np.arange(width)
     return np.bincount(cell.reshape(-1), values.reshape(-1), rows * width).reshape(rows, width).astype(np.float32)
 
 
 def gradient(m: dict[str, np.ndarray], x: np.ndarray, prior: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the weighted positions and its gradient."""
-    own, q, k, v, a, o, h, y = forward(m, x, prior)
     t, w = target.reshape(-1), weight.reshape(-1).astype(np.float32)
-    w = w / max(1.0, float(w.sum()))
-    p = powers(y)
-    z = p.sum(1, keepdims=True)
-    loss = float((w * (np.log(z[:, 0]) - 16 * np.log(y[np.arange(len(t)), t]))).sum())
-    p /= z
-    p[np.arange(len(t)), t] -= 1
-    p *= (16 * w)[:, None] / y
-    p[y <= LEAST] = 0
-    g = {"u": h.T @ p, "c": p.sum(0)}
-    dh = (p @ m["u"].T) * (h > 0)
-    g["b"], g["o"] = dh.sum(0), o.T @ dh
-    g["r"] = row_sums(len(m["r"]), own.reshape(-1), dh)
+    w /= max(1.0, float(w.sum()))
+    own, q, k, v, a, o, h, y = forward(m, x, prior)
+    rows = np.arange(len(t))
+    hit = y[rows, t]
+    # The loss has the slope 16 (y ** 15 / z - [target] / y); no value falls below LEAST.
+    low = y <= LEAST if y.min() <= LEAST else None
+    p = y * y
+    p *= y
+    fourth = p * y
+    p *= fourth
+    np.multiply(fourth, fourth, out=fourth)
+    p *= fourth
+    z = np.einsum("ij,ij->i", p, y)
+    scale = 16 * w
+    p *= (scale / z)[:, None]
+    p[rows, t] -= scale / hit
+    if low is not None:
+        p[low] = 0
+    ones = np.ones(len(t), np.float32)
+    loss = float((w * (np.log(z) - 16 * np.log(hit))).sum())
+    g = {"u": h.T @ p, "c": ones @ p}
+    dh = p @ m["u"].T
+    dh *= h > 0
+    g["b"], g["o"] = ones @ dh, o.T @ dh
     do = (dh @ m["o"].T).reshape(len(x), HALF, VALUE)
-    da = np.matmul(do, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), do)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
+    ds = np.matmul(do, v.transpose(0, 2, 1))
+    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    ds *= a
     g["gap"] = np.bincount(GAP.reshape(-1), ds.sum(0).reshape(-1), SPAN).astype(np.float32)
-    for name, at, d, width in (("q", own, np.matmul(ds, k), KEY), ("k", x, np.matmul(ds.transpose(0, 2, 1), q), KEY), ("v", x, dv, VALUE)):
-        g[name] = row_sums(len(m[name]), at.reshape(-1), d.reshape(-1, width))
+    # The tables of one position share a sum: q and r of its own, k and v of every one that is seen.
+    mine = np.concatenate([np.matmul(ds, k).reshape(-1, KEY), dh], 1)
+    seen = np.empty((len(x), SPAN, KEY + VALUE), np.float32)
+    np.matmul(ds.transpose(0, 2, 1), q, out=seen[:, :, :KEY])
+    np.matmul(a.transpose(0, 2, 1), do, out=seen[:, :, KEY:])
+    mine = row_sums(len(m["q"]), own.reshape(-1), mine)
+    seen = row_sums(len(m["k"]), x.reshape(-1), seen.reshape(-1, KEY + VALUE))
+    g["q"], g["r"], g["k"], g["v"] = mine[:, :KEY], mine[:, KEY:], seen[:, :KEY], seen[:, KEY:]
     return loss, g
 
 
 class Adam:
+    """Adam steps on a model, whose arrays become views of one vector."""
+
     def __init__(self, model: dict[str, np.ndarray], rate: float):
-        self.model, self.rate, self.step = model, rate, 0
-        self.first = {k: np.zeros_like(v) for k, v in model.items()}
-        self.second = {k: np.zeros_like(v) for k, v in model.items()}
+        self.rate, self.step = rate, 0
+        self.all = np.concatenate([v.reshape(-1) for v in model.values()])
+        self.slope, self.room = np.empty_like(self.all), np.empty_like(self.all)
+        self.first, self.second = np.zeros_like(self.all), np.zeros_like(self.all)
+        self.model, self.own = model, {}
+        at = 0
+        for k, v in model.items():
+            model[k], self.own[k] = (vector[at:at + v.size].reshape(v.shape) for vector in (self.all, self.slope))
+            at += v.size
 
     def update(self, g: dict[str, np.ndarray]) -> None:
         self.step += 1
         rate = np.float32(self.rate * (1 - 0.99 ** self.step) ** 0.5 / (1 - 0.9 ** self.step))
-        for k, v in self.model.items():
-            self.first[k] += np.float32(0.1) * (g[k] - self.first[k])
-            self.second[k] += np.float32(0.01) * (g[k] ** 2 - self.second[k])
-            v -= rate * self.first[k] / (np.sqrt(self.second[k]) + np.float32(1e-7))
+        for k, v in self.own.items():
+            v[...] = g[k]
+        slope, room = self.slope, self.room
+        np.multiply(slope, slope, out=room)
+        self.first *= np.float32(0.9)
+        slope *= np.float32(0.1)
+        self.first += slope
+        self.second *= np.float32(0.99)
+        room *= np.float32(0.01)
+        self.second += room
+        np.sqrt(self.second, out=room)
+        room += np.float32(1e-7)
+        np.divide(self.first, room, out=room)
+        room *= rate
+        self.all -= room

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lossloom.llm import attention
 from lossloom.llm.attention import BEGIN, HALF
 from lossloom.llm.common import arrow_pass, as_bytes, fold
-from lossloom.llm.packing import WordEncoder
+from lossloom.llm.packing import word_encoder
 from lossloom.session import materialise
 
 END_WORD = b"\n"  # no word holds a line feed
@@ -135,15 +135,20 @@ class TextScorer:
     """Ids of texts as model input, and their scores."""
 
     def __init__(self, vocabulary: str, symbols: Symbols | None = None, model: dict | None = None):
-        self.encoder = WordEncoder(vocabulary)
+        self.encoder = word_encoder(vocabulary)
         self.size = self.encoder.model.get_vocab_size()
         self.end = self.size - 1
         tokens = sorted(self.encoder.model.get_vocab().items(), key=lambda t: t[1])
         self.ends = np.array([t.endswith("</w>") for t, _ in tokens])
         self.symbols, self.model = symbols, model
 
+    def packed(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts and their ends as 16-bit numbers."""
+        end = np.array([self.end], "<u2").tobytes()
+        return [e + end for e in self.encoder.encode(texts)]
+
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        return [np.r_[np.frombuffer(e, "<u2"), self.end].astype(np.int32) for e in self.encoder.encode(texts)]
+        return [np.frombuffer(e, "<u2").astype(np.int32) for e in self.packed(texts)]
 
     def examples(self, ids: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         """Windows, symbols before, target ids and weights (0 beyond a text's end) of their positions, and windows by text."""
@@ -181,14 +186,13 @@ class TextScorer:
         for _ in range(passes):
             for s in range(0, len(x), 256):
                 part = order[s:s + 256]
-                prior = self.symbols.prior[before[part].reshape(-1)]
-                adam.update(attention.gradient(adam.model, x[part], prior, kind[part], weight[part])[1])
+                prior = self.symbols.prior.take(before.take(part, 0).reshape(-1), 0)
+                adam.update(attention.gradient(adam.model, x.take(part, 0), prior, kind.take(part, 0), weight.take(part, 0))[1])
         return len(x)
 
-    def scores(self, texts: list[bytes]) -> list[float]:
-        """log10 probability of each whole text and its end."""
+    def scores(self, found: list[np.ndarray]) -> list[float]:
+        """log10 probability of each whole text and its end, from its ids."""
         out: list[float] = []
-        found = self.ids(texts)
         at = 0
         while at < len(found):
             stop, total = at, 0
@@ -278,38 +282,46 @@ def id_counts(counts: DataFrame, vocabulary: str) -> Symbols:
 
 
 def text_pieces(texts: DataFrame, vocabulary: str) -> DataFrame:
-    """(draw, place, ids binary) of `texts(draw, text)`: all ids of every text and its end, PIECE at a time.
+    """id_pieces() of `texts(draw, text)`: all ids of every text and its end."""
+
+    def make():
+        scorer = TextScorer(vocabulary)
+        return lambda batch: {"draw": batch["draw"], "ids": scorer.packed(batch["text"])} if batch else None
+
+    return id_pieces(arrow_pass(texts.select("draw", F.col("text").cast("binary").alias("text")), "draw long, ids binary", make))
+
+
+def id_pieces(texts: DataFrame) -> DataFrame:
+    """(draw, place, ids binary) of `texts(draw, ids)`, 16-bit numbers: all ids of every text, PIECE at a time.
 
     Pieces after the first (place 0) begin with the CONTEXT ids before them, so the windows of all pieces are those of the
     whole text.
     """
 
     def make():
-        scorer = TextScorer(vocabulary)
-
         def step(batch: dict) -> dict | None:
             if not batch:
                 return None
             out: dict[str, list] = {"draw": [], "place": [], "ids": []}
-            for draw, ids in zip(batch["draw"], scorer.ids(batch["text"])):
-                for at in range(0, len(ids), PIECE):
+            for draw, ids in zip(batch["draw"], batch["ids"]):
+                for at in range(0, len(ids) // 2, PIECE):
                     out["draw"].append(draw)
                     out["place"].append(at // PIECE)
-                    out["ids"].append(ids[max(0, at - CONTEXT):at + PIECE].astype("<u2").tobytes())
+                    out["ids"].append(ids[2 * max(0, at - CONTEXT):2 * (at + PIECE)])
             return out
 
         return step
 
-    return arrow_pass(texts.select("draw", F.col("text").cast("binary").alias("text")), "draw long, place int, ids binary", make)
+    return arrow_pass(texts.select("draw", "ids"), "draw long, place int, ids binary", make)
 
 
 def train(texts: DataFrame, vocabulary: str, symbols: Symbols) -> dict[str, np.ndarray]:
-    """Attention model from all windows of all training texts.
+    """Attention model from all windows of all training texts `texts(draw, ids)`.
 
     A bounded sample gives the start; then tasks share the pieces of all texts for ROUNDS rounds, each round a share of them, and
     the mean of their models, weighted by windows, begins the next round. What reaches the driver is one model a task.
     """
-    pieces = materialise(text_pieces(texts, vocabulary))
+    pieces = materialise(id_pieces(texts))
     spark = texts.sparkSession
     total = pieces.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     workers = int(min(max(WORKERS, -(-total // (ROUNDS * WORKER_IDS))), MOST_WORKERS))
@@ -382,13 +394,9 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     under = np.log10(total + 0.5 * (distinct + 1))
     head = spark.sparkContext.broadcast(head_counts(counts))
-    symbols = id_counts(counts, vocabulary)
-    model = train(learn.select(F.xxhash64("doc_id", F.lit(5)).alias("draw"), "text"), vocabulary, symbols)
-    shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
 
     def make():
-        symbols, model = pickle.loads(shared.value)
-        scorer = TextScorer(vocabulary, symbols, model)
+        scorer = TextScorer(vocabulary)
         values = {w: float(np.log10(n + 0.5) - under) for w, n in head.value.items()}
         value = values.get
         task, number = TaskContext.get().partitionId() << 40, [0]
@@ -396,40 +404,50 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         def step(batch: dict) -> dict | None:
             if not batch:
                 return None
-            out: dict[str, list] = {k: [] for k in ("row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "word", "times")}
+            out: dict[str, list] = {k: [] for k in ("n_tokens", "known", "base", "words", "times")}
             size = len(batch["text"])
-            tails: list[Counter] = []
             for text in batch["text"]:
                 found = text.lower().split()
                 found.append(END_WORD)
                 known = np.array(list(map(value, found)), np.float64)  # not a number where a word is rare
                 rare = np.isnan(known)
-                tails.append(Counter(compress(found, rare.tolist())))
+                tail = Counter(compress(found, rare.tolist()))
                 out["n_tokens"].append(len(found))
                 out["known"].append(len(found) - int(rare.sum()))
                 out["base"].append(float(np.nansum(known)))
-            ids = [task + number[0] + k for k in range(size)]
+                out["words"].append(list(tail))
+                out["times"].append(list(tail.values()))
+            out["row"] = [task + number[0] + k for k in range(size)]
             number[0] += size
-            out["row"], out["doc_id"], out["held_out"] = ids, batch["doc_id"], batch["held_out"]
-            out["score"] = scorer.scores(batch["text"])
-            out["word"], out["times"] = [None] * size, [None] * size
-            extra = [(i, w, n) for i, tail in zip(ids, tails) for w, n in tail.items()]
-            out["row"] = ids + [e[0] for e in extra]
-            out["word"] += [e[1] for e in extra]
-            out["times"] += [e[2] for e in extra]
-            for k in ("doc_id", "held_out", "n_tokens", "known", "base", "score"):
-                out[k] = out[k] + [None] * len(extra)
+            out["doc_id"], out["held_out"], out["ids"] = batch["doc_id"], batch["held_out"], scorer.packed(batch["text"])
             return out
 
         return step
 
-    # Row numbers are made once: both parts are read from the written table.
+    # Row numbers are made once, and texts are cut into ids once: what follows reads the written table.
     passed = materialise(arrow_pass(rows.select("doc_id", "held_out", F.col("text").cast("binary").alias("text")),
-                                    "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, word binary, times long", make))
-    rare = passed.filter("word is not null").select("row", "word", "times").join(counts, "word", "left")
+                                    "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, words array<binary>, times array<long>, ids binary", make))
+    symbols = id_counts(counts, vocabulary)
+    model = train(passed.filter("not held_out").select(F.xxhash64("doc_id", F.lit(5)).alias("draw"), "ids"), vocabulary, symbols)
+    shared = spark.sparkContext.broadcast(pickle.dumps((symbols, model)))
+
+    def make_scores():
+        scorer = TextScorer(vocabulary, *pickle.loads(shared.value))
+
+        def step(batch: dict) -> dict | None:
+            if not batch:
+                return None
+            ids = [np.frombuffer(i, "<u2").astype(np.int32) for i in batch.pop("ids")]
+            return {**batch, "score": scorer.scores(ids)}
+
+        return step
+
+    scored = arrow_pass(passed.drop("words", "times"), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double", make_scores)
+    rare = passed.select("row", F.explode(F.arrays_zip("words", "times")).alias("tail")).select(
+        "row", F.col("tail.words").alias("word"), F.col("tail.times").alias("times")).join(counts, "word", "left")
     rest = rare.groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.5)) - F.lit(float(under)))).alias("rest"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"))
-    return passed.filter("word is null").join(rest, "row", "left").select(
+    return scored.join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(int(total)).alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
