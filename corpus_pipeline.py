@@ -71,7 +71,7 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null or empty text is one end token. Repeated rows are packed as often as they come, null ids stay null, a very long text is cut into as
     many pieces as it needs, columns other than id, text and source are ignored, an empty table gives no piece.
     """
-    return packing.pack(docs)
+    return packing.pack(docs, keep_words=False)
 
 
 STAGES = [

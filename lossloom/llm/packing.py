@@ -123,11 +123,11 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, keep_words: bool = True) -> DataFrame:
     """(doc_id, source, ids binary of 16-bit numbers, n) with the end id appended."""
 
     def make():
-        encoder = word_encoder(vocabulary)
+        encoder = word_encoder(vocabulary) if keep_words else WordEncoder(vocabulary)
         end = np.array([END], "<u2").tobytes()
 
         def step(batch: dict) -> dict | None:
@@ -207,7 +207,7 @@ class Packer:
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, shares: dict[str | None, float] | None = None, window: int = 2048,
-         quantum: int = 16, part_tokens: int = 4_000_000) -> DataFrame:
+         quantum: int = 16, part_tokens: int = 4_000_000, keep_words: bool = True) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source) of every row of `docs(doc_id, text, source)`.
 
     Documents are dealt by a hash to parts of about `part_tokens` tokens, so that every part holds the mix of the
@@ -215,6 +215,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, shares: dict[str | None
     proportions of the sources (default: their shares of all tokens). The deficit that the parts before leave to a
     source, tokens it should have had less tokens it had, is its credit when the part begins; within a part it is
     carried from window to window. A source that runs out leaves its room to the others, so every token is packed once.
+    With `keep_words` a Python worker keeps the words it met after its task, and their memory.
     A null or empty text is its end id alone, a null source is a source, rows with one id are documents of their own.
     """
     spark = docs.sparkSession
@@ -223,7 +224,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, shares: dict[str | None
 
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
     path = scratch_path(spark, "ids")
-    encoded = encode_documents(docs, vocabulary)
+    encoded = encode_documents(docs, vocabulary, keep_words)
     encoded.write.option("compression", "zstd").parquet(path)
     ids = spark.read.schema(encoded.schema).parquet(path)
     total = ids.agg(F.sum("n")).first()[0] or 0
