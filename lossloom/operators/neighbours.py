@@ -5,14 +5,17 @@ cell follows from the pivots, and a point travels only to the cells its distance
 the result is exact. Equal vectors are merged first, so a large group of copies costs one vector. Cells are cut
 into blocks of bounded size; a block returns k candidates per point, never all pairs.
 
-The points that would travel are counted first. Where the pivots part little (vectors of many components that lie about
-equally far from each other), that is more than to let every pair of hashed blocks meet once, and the blocks do it: the
-work is quadratic then, as exact neighbours of such vectors are, but a task holds two blocks and n * blocks rows travel.
+The points that would travel are counted first, and they travel in rounds of a few times the table, so the disk that
+shuffles take does not grow faster than the table. Where the pivots part little (vectors of many components that lie about
+equally far from each other), every pair of blocks meets once instead: the work is quadratic then, as exact neighbours of such
+vectors are, but vectors are shuffled once, into a table of packed blocks, and a task reads two parts of that table. What
+the tasks give out is k candidates per point and part.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,14 +23,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossloom.session import materialise
+from lossloom.session import materialise, materialise_all, setting, trimmed
 
 PIVOT_LIMIT = 1024
 BLOCK = 2048
-# Components of a block where all pairs of blocks meet: 4 MB of doubles; rows compared and rows sent at once.
+# Components of a block where all pairs of blocks meet: 4 MB of doubles; rows and columns compared and rows sent at once.
 BLOCK_COMPONENTS = 1 << 19
 STEP = 512
+WIDE = 1024
 SENT = 8192
+# Bytes of vectors in a part of the table of blocks; a task holds one part and streams another.
+PART_BYTES = 64 << 20
+# Rows that a round sends to cells, as a multiple of all vectors.
+ROUND = 4
 
 
 def _smallest(df: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
@@ -46,50 +54,164 @@ def _slack(points: np.ndarray) -> float:
     return 1e-6 * (1.0 + float(np.abs(points).max(initial=0.0)))
 
 
-def _nearest(ids: np.ndarray, points: np.ndarray, other_ids: np.ndarray, others: np.ndarray, k: int) -> list[pd.DataFrame]:
-    """(vid, nvid, distance): the k nearest of the others for each point, its own id left out; STEP points at a time."""
-    out = []
-    slack = max(_slack(points), _slack(others))
-    for s in range(0, len(points), STEP):
-        away = _distances(points[s:s + STEP], others)
-        away[ids[s:s + STEP, None] == other_ids[None, :]] = np.inf
-        keep = min(k, away.shape[1])
-        limit = np.partition(away, keep - 1, axis=1)[:, keep - 1] + slack
-        rows, columns = np.nonzero((away <= limit[:, None]) & np.isfinite(away))
-        exact = np.sqrt(((points[s + rows] - others[columns]) ** 2).sum(1))
-        found = pd.DataFrame({"vid": ids[s + rows], "nvid": other_ids[columns], "distance": exact})
-        out.append(found.sort_values(["vid", "distance", "nvid"]).groupby("vid", sort=False).head(k))
-    return out
+def _points(column) -> np.ndarray:
+    """Rows of an Arrow list column as a matrix."""
+    return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+class _Found:
+    """The k nearest that each of some points has met so far, ties by id."""
+
+    def __init__(self, ids: np.ndarray, k: int):
+        self.ids = ids
+        self.distance = np.full((len(ids), k), np.inf)
+        self.other = np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def add(self, rows: np.ndarray, distance: np.ndarray, other: np.ndarray) -> None:
+        near = distance <= self.distance[rows, -1]
+        rows, distance, other = rows[near], distance[near], other[near]
+        if not len(rows):
+            return
+        k = self.distance.shape[1]
+        changed = np.unique(rows)
+        rows = np.concatenate([np.repeat(changed, k), rows])
+        distance = np.concatenate([self.distance[changed].ravel(), distance])
+        other = np.concatenate([self.other[changed].ravel(), other])
+        order = np.lexsort((other, distance, rows))
+        first = order[np.searchsorted(rows[order], changed)[:, None] + np.arange(k)]
+        self.distance[changed], self.other[changed] = distance[first], other[first]
+
+    def columns(self) -> dict[str, np.ndarray]:
+        rows, at = np.nonzero(np.isfinite(self.distance))
+        return {"vid": self.ids[rows], "nvid": self.other[rows, at], "distance": self.distance[rows, at]}
+
+
+def _bounds(found: _Found, part: slice, away: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """Squared distance beyond which no row of `away` has one of its k nearest. A point may meet itself once."""
+    with np.errstate(over="ignore"):
+        limit = (found.distance[part, -1] ** 2 + slack).astype(away.dtype)
+    new = np.flatnonzero(np.isinf(limit))
+    if len(new) and away.shape[1] > k:
+        limit[new] = np.partition(away[new], k, axis=1)[:, k] + away.dtype.type(slack)
+        limit[np.isnan(limit)] = np.inf
+    return limit
+
+
+def _true_at(mask: np.ndarray) -> np.ndarray:
+    """Positions of the few true cells of a flat mask; eight cells are looked at together."""
+    if mask.size % 8:
+        return np.flatnonzero(mask)
+    words = np.flatnonzero(mask.view(np.uint64))
+    word, byte = np.nonzero(mask.reshape(-1, 8)[words])
+    return words[word] * 8 + byte
+
+
+def _meet(points: np.ndarray, found: _Found, others: np.ndarray, other_found: _Found, both: bool) -> None:
+    """Points meet others and keep their k nearest; if `both`, the others keep theirs too.
+
+    Squared distances come from one product of matrices in single precision, STEP x WIDE at a time; what they and their
+    rounding do not exclude is computed exactly. Where single precision excludes too little, double precision goes on.
+    """
+    if not len(points) or not len(others):
+        return
+    k, width = found.distance.shape[1], points.shape[1]
+    squares, other_squares = (points**2).sum(1), (others**2).sum(1)
+    scale = sum(math.sqrt(s[np.isfinite(s)].max(initial=0.0)) for s in (squares, other_squares)) ** 2
+
+    def prepared(kind: type) -> tuple[np.ndarray, np.ndarray, float]:
+        left = np.column_stack([-2 * points, squares, np.ones(len(points))]).astype(kind)
+        right = np.ascontiguousarray(np.column_stack([others, np.ones(len(others)), other_squares]).T.astype(kind))
+        return left, right, 2 * (width + 8) * float(np.finfo(kind).eps) * scale + float(np.finfo(kind).tiny)
+
+    single = 1e-30 < scale < 1e30
+    with np.errstate(invalid="ignore", over="ignore"):
+        left, right, slack = prepared(np.float32 if single else np.float64)
+        for s in range(0, len(points), STEP):
+            for c in range(0, len(others), WIDE):
+                mine, theirs = slice(s, s + STEP), slice(c, c + WIDE)
+                while True:
+                    away = left[mine] @ right[:, theirs]
+                    mask = away <= _bounds(found, mine, away, k, slack)[:, None]
+                    if both:
+                        mask |= away <= _bounds(other_found, theirs, away.T, k, slack)[None, :]
+                    at = _true_at(mask.ravel())
+                    if not single or len(at) <= mask.size // 16 + 4 * (k + 1) * sum(mask.shape):
+                        break
+                    single = False
+                    left, right, slack = prepared(np.float64)
+                rows, columns = np.divmod(at, mask.shape[1])
+                for h in range(0, len(at), SENT):
+                    r, q = s + rows[h:h + SENT], c + columns[h:h + SENT]
+                    exact = np.sqrt(((points[r] - others[q]) ** 2).sum(1))
+                    use = (found.ids[r] != other_found.ids[q]) & np.isfinite(exact)
+                    r, q, exact = r[use], q[use], exact[use]
+                    found.add(r, exact, other_found.ids[q])
+                    if both:
+                        other_found.add(q, exact, found.ids[r])
+
+
+def packed_blocks(vectors: DataFrame, blocks: int) -> DataFrame:
+    """(block, ids, points): about `blocks` rows, each with the ids and vectors of a block as bytes. A block is named by one of its ids."""
+    n, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    size = math.ceil(n / blocks)
+    parts = max(math.ceil(8 * n * (width or 1) / PART_BYTES), min(blocks, vectors.sparkSession.sparkContext.defaultParallelism))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(count: int) -> pa.RecordBatch:
+            nonlocal held
+            table = pa.Table.from_batches(held).combine_chunks()
+            ids, points = table["vid"][:count].to_numpy(), _points(table["vec"][:count].combine_chunks())
+            held = table[count:].to_batches()
+            return pa.RecordBatch.from_pydict({
+                "block": pa.array([ids[0]], pa.int64()), "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+                "points": pa.array([points.astype(np.float64).tobytes()], pa.binary())})
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            while sum(b.num_rows for b in held) >= size:
+                yield row(size)
+        if any(b.num_rows for b in held):
+            yield row(size)
+
+    return materialise(vectors.select("vid", "vec").repartition(parts, "vid").mapInArrow(pack, "block bigint, ids binary, points binary"))
 
 
 def block_pairs(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
-    """(vid, nvid, distance) candidates of every vector from each block: all pairs of `blocks` hashed blocks meet once, for both sides.
+    """(vid, nvid, distance): the k nearest of every vector; all pairs of about `blocks` blocks meet once, for both sides.
 
-    A row travels `blocks` times and a group holds two blocks, however many vectors there are.
+    Vectors are shuffled once, into a table of blocks. A task takes two parts of that table and gives out k candidates for each of their vectors.
     """
-    own = F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int").alias("own")
-    rows = vectors.select("vid", "vec", own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
-
-    def meet(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        ids = group["vid"].to_numpy()
-        points = np.asarray(group["vec"].chunk(0).flatten()).reshape(len(ids), -1)
-        first = group["own"].to_numpy() == group["a"][0].as_py()
-        if first.all():
-            found = _nearest(ids, points, ids, points, k) if group["a"][0] == group["b"][0] else []
-        elif not first.any():
-            found = []
-        else:
-            found = (_nearest(ids[first], points[first], ids[~first], points[~first], k)
-                     + _nearest(ids[~first], points[~first], ids[first], points[first], k))
-        columns = pd.concat(found) if found else pd.DataFrame({"vid": [], "nvid": [], "distance": []})
-        return pa.table({"vid": pa.array(columns["vid"], pa.int64()), "nvid": pa.array(columns["nvid"], pa.int64()),
-                         "distance": pa.array(columns["distance"], pa.float64())})
-
-    return rows.select("vid", "vec", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).groupBy("a", "b").applyInArrow(
-        meet, "vid bigint, nvid bigint, distance double")
+    packed = packed_blocks(vectors, blocks)
+    others = packed.select(F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("points").alias("other_points"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, _Found] = {}
 
+        def side(batch: pa.RecordBatch, i: int, name: str, ids: str, points: str) -> tuple[int, np.ndarray]:
+            block, own = batch[name][i].as_py(), np.frombuffer(batch[ids][i].as_buffer(), np.int64)
+            if block not in met:
+                met[block] = _Found(own.copy(), k)
+            return block, np.frombuffer(batch[points][i].as_buffer(), np.float64).reshape(len(own), -1)
 
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, points = side(batch, i, "block", "ids", "points")
+                b, other_points = side(batch, i, "other", "other_ids", "other_points")
+                _meet(points, met[a], other_points, met[b], both=a != b)
+        for found in met.values():
+            columns = found.columns()
+            for s in range(0, len(columns["vid"]), SENT):
+                yield pa.RecordBatch.from_pydict({name: values[s:s + SENT] for name, values in columns.items()})
+
+    pairs = packed.hint("shuffle_replicate_nl").crossJoin(others).filter("block <= other")
+    found = pairs.mapInArrow(meet, "vid bigint, nvid bigint, distance double")
+    # Files are not read together beyond a part, so that what a task holds does not depend on the session.
+    with setting(vectors.sparkSession, "spark.sql.files.maxPartitionBytes", str(PART_BYTES)):
+        return materialise(_smallest(found, "vid", ["distance", "nvid"], k))
+
+
+@trimmed
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """(vid, nvid, distance): the k nearest other vectors of each, ties by nvid. `vectors`: distinct vid, vec."""
     n = vectors.count()
@@ -99,13 +221,16 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     chosen = vectors.orderBy(F.xxhash64("vid"), "vid").limit(wanted).collect()
     pivots = np.array([r["vec"] for r in chosen])
 
-    def assign(batches):
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = np.array(batch["vec"].tolist()) if len(batch) else np.zeros((0, pivots.shape[1]))
-            away = _distances(points, pivots)
-            yield batch.assign(cell=away.argmin(1).astype("int32"), away=away.min(1) if len(batch) else [])
-
-    placed = materialise(vectors.mapInPandas(assign, "vid bigint, vec array<double>, cell int, away double"))
+            points = _points(batch["vec"])
+            cell, least = np.zeros(len(points), dtype="int32"), np.zeros(len(points))
+            for s in range(0, len(points), STEP):
+                away = _distances(points[s:s + STEP], pivots)
+                cell[s:s + STEP], least[s:s + STEP] = away.argmin(1), away.min(1)
+            yield pa.RecordBatch.from_arrays([batch["vid"], batch["vec"], pa.array(cell), pa.array(least)], ["vid", "vec", "cell", "away"])
+
+    placed = materialise(vectors.select("vid", "vec").mapInArrow(assign, "vid bigint, vec array<double>, cell int, away double"))
     reach = np.zeros(len(pivots))
     sizes = np.zeros(len(pivots), dtype=np.int64)
     for r in placed.groupBy("cell").agg(F.max("away").alias("far"), F.count(F.lit(1)).alias("n")).collect():
@@ -119,56 +244,78 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
         reach[i] + np.partition((between[i][:, None] + close).ravel(), min(k, close.size - 1))[min(k, close.size - 1)]
         for i in range(len(pivots))])
     allowed = reach + bound + _slack(pivots)
-    occupied = sizes > 0
 
-    def reached(vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero((_distances(vecs, pivots) <= allowed[None, :]) & occupied[None, :])
+    def reached(vecs: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the vectors reach which of the cells."""
+        rows, at = np.nonzero(_distances(vecs, pivots[cells]) <= allowed[None, cells])
+        return rows, cells[at]
 
-    def count_sent(batches):
+    def count_sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(pivots), dtype=np.int64)
         for batch in batches:
-            for s in range(0, len(batch), STEP):
-                total += np.bincount(reached(np.array(batch["vec"].iloc[s:s + STEP].tolist()))[1], minlength=len(pivots))
-        yield pd.DataFrame({"cell": np.flatnonzero(total).astype("int32"), "n": total[total > 0]})
-
-    def send(batches):
-        for batch in batches:
-            for s in range(0, len(batch), STEP):
-                part = batch.iloc[s:s + STEP]
-                ids, vecs = part["vid"].to_numpy(), part["vec"].tolist()
-                rows, cells = reached(np.array(vecs))
-                for at in range(0, len(rows), SENT):
-                    r, c = rows[at:at + SENT], cells[at:at + SENT]
-                    yield pd.DataFrame({"vid": ids[r], "vec": [vecs[i] for i in r], "cell": c.astype("int32")})
-
-    reaching = placed.select("vec").mapInPandas(count_sent, "cell int, n bigint")
+            points = _points(batch["vec"])
+            for s in range(0, len(points), STEP):
+                total += np.bincount(reached(points[s:s + STEP], everywhere)[1], minlength=len(pivots))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": cells.astype("int32"), "n": total[cells]})
+
+    everywhere = np.flatnonzero(sizes > 0)
+    reaching = placed.select("vec").mapInArrow(count_sent, "cell int, n bigint")
     counts = {r["cell"]: r["n"] for r in reaching.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
-    copies = sum(m * max(1, math.ceil(int(sizes[c]) / BLOCK)) + int(sizes[c]) * math.ceil(m / BLOCK) for c, m in counts.items())
-    block = min(4 * BLOCK, max(BLOCK, BLOCK_COMPONENTS // max(1, pivots.shape[1])))
-    if copies > n * math.ceil(n / block):
-        return _smallest(block_pairs(placed.select("vid", "vec"), k, math.ceil(n / block)), "vid", ["distance", "nvid"], k)
-
-    sent = placed.select("vid", "vec").mapInPandas(send, "vid bigint, vec array<double>, cell int")
-    blocks = F.create_map(*[F.lit(x) for c, m in counts.items() for x in (c, math.ceil(m / BLOCK))])
-    query_blocks = F.create_map(*[F.lit(x) for c in counts for x in (c, max(1, math.ceil(int(sizes[c]) / BLOCK)))])
-
-    def blocked(df: DataFrame, own: Column, own_name: str, other: Column, other_name: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64("vid"), F.try_element_at(own, F.col("cell"))).cast("int")
-        others = F.explode(F.sequence(F.lit(0), F.try_element_at(other, F.col("cell")) - 1))
-        return df.select("vid", "vec", "cell", mine.alias(own_name), others.alias(other_name))
-
-    queries = blocked(placed.select("vid", "vec", "cell"), query_blocks, "qb", blocks, "cb")
-    candidates = blocked(sent, blocks, "cb", query_blocks, "qb")
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"vid": [], "nvid": [], "distance": []})
-        found = _nearest(left["vid"].to_numpy(), np.array(left["vec"].tolist()), right["vid"].to_numpy(), np.array(right["vec"].tolist()), k)
-        return pd.concat(found)
-
-    keys = ["cell", "qb", "cb"]
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(best, "vid bigint, nvid bigint, distance double")
-    return _smallest(found, "vid", ["distance", "nvid"], k)
+    query_blocks = {c: math.ceil(int(sizes[c]) / BLOCK) for c in counts}
+    # Rows sent so that one block of a cell's vectors meets all vectors that reach the cell.
+    copies = {c: m + math.ceil(int(sizes[c]) / query_blocks[c]) * math.ceil(m / BLOCK) for c, m in counts.items()}
+    compared = sum(int(sizes[c]) * m for c, m in counts.items())
+    # A row sent costs about as much as BLOCK rows compared. A cell that nothing reaches has vectors without distances.
+    if len(counts) < len(everywhere) or compared + BLOCK * sum(copies[c] * query_blocks[c] for c in counts) > n * n:
+        block = min(4 * BLOCK, max(BLOCK, BLOCK_COMPONENTS // max(1, pivots.shape[1])))
+        return block_pairs(placed.select("vid", "vec"), k, math.ceil(n / block))
+
+    def nearest_in(ranges: dict[int, tuple[int, int]]) -> DataFrame:
+        """(vid, nvid, distance): the k nearest of the vectors in some blocks (first, last) of some cells; all that can be one are sent there."""
+        here = np.array(list(ranges))
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                points = _points(batch["vec"])
+                for s in range(0, len(points), STEP):
+                    rows, to = reached(points[s:s + STEP], here)
+                    for at in range(0, len(rows), SENT):
+                        r = pa.array(s + rows[at:at + SENT])
+                        yield pa.RecordBatch.from_arrays([batch["vid"].take(r), batch["vec"].take(r), pa.array(to[at:at + SENT].astype("int32"))],
+                                                         ["vid", "vec", "cell"])
+
+        def by_cell(value: Callable[[int], int]) -> Column:
+            return F.try_element_at(F.create_map(*[F.lit(x) for c in ranges for x in (c, value(c))]), F.col("cell"))
+
+        def block_of(blocks: Column) -> Column:
+            return F.pmod(F.xxhash64("vid"), blocks).cast("int")
+
+        blocks, first, last = by_cell(lambda c: math.ceil(counts[c] / BLOCK)), by_cell(lambda c: ranges[c][0]), by_cell(lambda c: ranges[c][1])
+        own = placed.filter(F.col("cell").isin(list(ranges))).withColumn("qb", block_of(by_cell(query_blocks.get))).filter(F.col("qb").between(first, last))
+        queries = own.select("vid", "vec", "cell", "qb", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("cb"))
+        sent = placed.select("vid", "vec").mapInArrow(send, "vid bigint, vec array<double>, cell int")
+        candidates = sent.select("vid", "vec", "cell", block_of(blocks).alias("cb"), F.explode(F.sequence(first, last)).alias("qb"))
+
+        def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            found, others = _Found(left["vid"].to_numpy(), k), _Found(right["vid"].to_numpy(), k)
+            if len(left) and len(right):
+                _meet(np.array(left["vec"].tolist()), found, np.array(right["vec"].tolist()), others, both=False)
+            return pd.DataFrame(found.columns())
+
+        keys = ["cell", "qb", "cb"]
+        found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(best, "vid bigint, nvid bigint, distance double")
+        return _smallest(found, "vid", ["distance", "nvid"], k)
+
+    rounds, filled = [{}], 0
+    for c in sorted(counts):
+        for q in range(query_blocks[c]):
+            if filled and filled + copies[c] > ROUND * n:
+                rounds.append({})
+                filled = 0
+            rounds[-1][c] = (rounds[-1].get(c, (q, q))[0], q)
+            filled += copies[c]
+    return materialise_all(nearest_in(ranges) for ranges in rounds)
 
 
 def nearest_neighbours(points: DataFrame, key: str, vector: str, k: int) -> DataFrame:
@@ -244,23 +391,30 @@ def tomek_links(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     )
 
 
+@trimmed
 def without_tomek_links(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """Both ends of every link are removed."""
-    links = tomek_links(df, key, vector, label)
+    # Written, so that the tables and shuffles of the search are gone when the rows are read again.
+    links = materialise(tomek_links(df, key, vector, label))
     ends = links.select(F.explode(F.array("first", "second")).alias(key))
     return df.join(ends, key, "left_anti")
 
 
-def balance(df: DataFrame, key: str, vector: str, label: str, minority, k: int = 5, seed: int = 1) -> DataFrame:
-    """Over-sample the minority, then remove Tomek links: (key, vector, label, synthetic).
-
-    Synthetic points get negative keys made from their source and copy number, unique by construction.
-    """
+@trimmed
+def _with_synthetic(df: DataFrame, key: str, vector: str, label: str, minority, k: int, seed: int) -> DataFrame:
+    """(key, vector, label, synthetic), written once: the given points and those that over-sampling makes."""
     original = df.select(F.col(key).cast("bigint").alias(key), F.col(vector).cast("array<double>").alias(vector), label,
                          F.lit(0).alias("synthetic"))
     # Read twice: written, so that the neighbour search runs once.
     made = materialise(oversample(df, key, vector, label, minority, k, seed))
     most = made.agg(F.max("copy")).first()[0] or 1
     renamed = made.select((-(F.col("source") * F.lit(most) + F.col("copy")) - 1).alias(key), vector, label, F.lit(1).alias("synthetic"))
-    return without_tomek_links(materialise(original.unionByName(renamed)), key, vector, label)
+    return materialise(original.unionByName(renamed))
 
+
+def balance(df: DataFrame, key: str, vector: str, label: str, minority, k: int = 5, seed: int = 1) -> DataFrame:
+    """Over-sample the minority, then remove Tomek links: (key, vector, label, synthetic).
+
+    Synthetic points get negative keys made from their source and copy number, unique by construction.
+    """
+    return without_tomek_links(_with_synthetic(df, key, vector, label, minority, k, seed), key, vector, label)
